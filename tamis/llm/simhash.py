@@ -34,6 +34,8 @@ MAX_BITS = 4
 #: generates the Golay code.
 SEGMENTS = (22, 21, 21)
 GENERATOR = 0b101011100011
+#: Of the filter that spares keys met by fewer than three fingerprints a second shuffle: 1 MB.
+FILTER_BITS = 23
 _PIECE = 1 << 16
 
 
@@ -130,8 +132,8 @@ def golay_keys(fp: np.ndarray, code: Golay) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(keys)
 
 
-def fingerprint_keys(fps: DataFrame) -> DataFrame:
-    """(key, fp) rows for distinct fingerprints."""
+def fingerprint_keys(fps: DataFrame, within: np.ndarray | None = None) -> DataFrame:
+    """(key, fp) rows for distinct fingerprints; ``within`` leaves out keys that its bits rule out."""
 
     def make():
         code = Golay()
@@ -139,6 +141,10 @@ def fingerprint_keys(fps: DataFrame) -> DataFrame:
         def step(batch):
             fp = batch.column("fp").to_numpy(zero_copy_only=False)
             rows, keys = golay_keys(fp.view(np.uint64), code)
+            if within is not None:
+                at = _mix(keys)
+                kept = (within[at >> 6] >> (at & 63)) & 1 == 1
+                rows, keys = rows[kept], keys[kept]
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(fp[rows])], names=["key", "fp"])
 
         return step
@@ -146,6 +152,22 @@ def fingerprint_keys(fps: DataFrame) -> DataFrame:
     return arrow_map(fps, ["fp"], "key long, fp long", make)
 
 
+def _mix(keys: np.ndarray) -> np.ndarray:
+    return (((keys & 0x7FFFFFFF) * 0x9E3779B1 ^ (keys >> 31) * 0x85EBCA77) >> 7) & ((1 << FILTER_BITS) - 1)
+
+
+def key_filter(keys: DataFrame) -> np.ndarray:
+    """A set of keys as ``1 << FILTER_BITS`` hashed bits: a fixed size, however many keys there are. Absent keys may
+    pass, present ones always do."""
+    mixed = "(((key & 2147483647) * 2654435761L) ^ (shiftright(key, 31) * 2246822519L))"
+    at = F.expr(f"shiftright({mixed}, 7) & {(1 << FILTER_BITS) - 1}L")
+    words = keys.select(at.alias("at")).groupBy(F.expr("shiftright(at, 6)").alias("w")).agg(F.expr("bit_or(shiftleft(1L, int(at & 63)))").alias("b"))
+    got = words.toPandas()
+    out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    out[got["w"].to_numpy(np.int64)] = got["b"].to_numpy(np.int64)
+    return out
+
+
 def _close(a: str, b: str, bits: int):
     return F.expr(f"bit_count({a} ^ {b}) <= {bits}")
 
@@ -160,7 +182,8 @@ def link_fingerprints(fps: DataFrame, bits: int = MAX_BITS) -> DataFrame:
     )
     pairs = met.where(_close("lo", "hi", bits)).select(F.col("lo").alias("a"), F.col("hi").alias("b"))
     many = met.where("n > 2")
-    members = materialise(keys.join(many, "key").select("key", "fp", "lo", "hi"), "members")
+    again = fingerprint_keys(fps, key_filter(many.select("key")))
+    members = materialise(again.join(many, "key").select("key", "fp", "lo", "hi"), "members")
     stars = members.where(_close("fp", "lo", bits)).select(F.col("fp").alias("a"), F.col("lo").alias("b")).unionByName(
         members.where(_close("fp", "hi", bits)).select(F.col("fp").alias("a"), F.col("hi").alias("b"))
     )
