@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tamis.llm import packing, pii, simhash, toxicity
+from tamis.llm import decontaminate, packing, pii, simhash, toxicity
 from tamis.llm.common import table
 
 
@@ -22,12 +22,16 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op5_pii, op7_simhash_near_dedup, op10_best_fit_packing)}
+    return {f.__name__: f for f in (op1_toxicity, op5_pii, op7_simhash_near_dedup, op8_benchmark_decontamination, op10_best_fit_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
