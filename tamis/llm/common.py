@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tamis.session import reach
+
 _own_dirs: dict[str, str] = {}
 
 
@@ -51,6 +53,7 @@ def arrow_map(df: DataFrame, columns: list, schema: str, make: Callable[[], Call
             for small in slices(batch):
                 yield from step(small)
 
+    reach(df.sparkSession)
     return df.select(*columns).mapInArrow(run, schema)
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tamis.llm import decontaminate, html_text, packing, pii, simhash, toxicity
+from tamis.llm import decontaminate, html_text, packing, pii, simhash, toxicity, warc
 from tamis.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -35,7 +39,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op4_html_extraction, op5_pii, op7_simhash_near_dedup, op8_benchmark_decontamination, op10_best_fit_packing)}
+    return {f.__name__: f for f in (op1_toxicity, op3_warc_zip, op4_html_extraction, op5_pii, op7_simhash_near_dedup, op8_benchmark_decontamination, op10_best_fit_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
