@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tamis.llm import decontaminate, html_text, packing, pii, simhash, toxicity, warc
+from tamis.llm import decontaminate, html_text, packing, pii, shards, simhash, toxicity, warc
 from tamis.llm.common import table
 
 
@@ -34,12 +34,16 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.round_trip(spark, table(spark, sf_dir, "documents"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op3_warc_zip, op4_html_extraction, op5_pii, op7_simhash_near_dedup, op8_benchmark_decontamination, op10_best_fit_packing)}
+    return {f.__name__: f for f in (op1_toxicity, op3_warc_zip, op4_html_extraction, op5_pii, op7_simhash_near_dedup, op8_benchmark_decontamination, op9_token_shards, op10_best_fit_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
