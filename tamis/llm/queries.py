@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tamis.llm import decontaminate, html_text, packing, pii, shards, simhash, toxicity, warc
+from tamis.llm import decontaminate, html_text, packing, pii, quality, shards, simhash, toxicity, warc
 from tamis.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -43,7 +47,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op3_warc_zip, op4_html_extraction, op5_pii, op7_simhash_near_dedup, op8_benchmark_decontamination, op9_token_shards, op10_best_fit_packing)}
+    return {f.__name__: f for f in (op1_toxicity, op3_warc_zip, op4_html_extraction, op5_pii, op6_quality_classifier, op7_simhash_near_dedup, op8_benchmark_decontamination, op9_token_shards, op10_best_fit_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
