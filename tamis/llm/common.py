@@ -44,7 +44,7 @@ def materialise(df: DataFrame, name: str, compression: str = "zstd") -> DataFram
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def arrow_map(df: DataFrame, columns: list, schema: str, make: Callable[[], Callable[[pa.RecordBatch], Iterator]]) -> DataFrame:
+def arrow_map(df: DataFrame, columns: list, schema, make: Callable[[], Callable[[pa.RecordBatch], Iterator]]) -> DataFrame:
     """``mapInArrow`` over some columns; ``make`` builds the batch function once in each task."""
 
     def run(batches):
@@ -54,7 +54,8 @@ def arrow_map(df: DataFrame, columns: list, schema: str, make: Callable[[], Call
                 yield from step(small)
 
     reach(df.sparkSession)
-    return df.select(*columns).mapInArrow(run, schema)
+    named = [f"`{c}`" if isinstance(c, str) else c for c in columns]
+    return df.select(*named).mapInArrow(run, schema)
 
 
 def slices(batch: pa.RecordBatch, rows: int = 512, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:

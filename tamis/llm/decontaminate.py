@@ -274,5 +274,4 @@ def _filter_block(docs: DataFrame, block: list[tuple[int, str]], text_col: str)
 
         return step
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return arrow_map(docs, docs.columns, kinds, make)
+    return arrow_map(docs, docs.columns, docs.schema, make)
