@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tamis.llm import decontaminate, html_text, packing, pii, quality, shards, simhash, toxicity, warc
+from tamis.llm import decontaminate, html_text, media, packing, pii, quality, shards, simhash, toxicity, warc
 from tamis.llm.common import table
 
 
@@ -14,6 +14,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_audio_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clips = media.rendered(table(spark, sf_dir, "embeddings"))
+    return media.search(clips, "id").withColumnRenamed("id", "vec_id")
+
+
 def op3_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -47,7 +52,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op3_warc_zip, op4_html_extraction, op5_pii, op6_quality_classifier, op7_simhash_near_dedup, op8_benchmark_decontamination, op9_token_shards, op10_best_fit_packing)}
+    return {f.__name__: f for f in (op1_toxicity, op2_audio_fingerprints, op3_warc_zip, op4_html_extraction, op5_pii, op6_quality_classifier, op7_simhash_near_dedup, op8_benchmark_decontamination, op9_token_shards, op10_best_fit_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
