@@ -1,0 +1,126 @@
+"""Near-duplicates by cosine similarity: exact greedy selection, automatic radius and density clustering.
+
+Pairs come from blocks: each collection's rows are dealt into blocks of bounded size, each pair of blocks meets in one
+task and NumPy multiplies the two matrices; only pairs above the threshold leave it. Greedy selection (keep a frame
+unless a better kept one is too similar) is the lexicographically first maximal independent set of that graph, found by
+rounds of joins (Blelloch, Fineman and Shun, 2012); clusters are connected components by the same kind of rounds.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from tamis.functions.vectors import cosine
+from tamis.session import reach
+from tamis.storage import materialise
+
+BLOCK = 1024
+
+
+def similar_pairs(nodes: DataFrame, threshold: float, inclusive: bool = False, slack: float = 0.0) -> DataFrame:
+    """(video_id, a, b, cos) with a < b by ``ord``, of cosine above the threshold. ``nodes(video_id, ord, embed)``;
+    ``ord`` counts from 1 in each collection."""
+    reach(nodes.sparkSession)
+    last = nodes.groupBy("video_id").agg(F.max("ord").alias("last"))
+    block = F.floor((F.col("ord") - 1) / BLOCK)
+    held = nodes.select("video_id", F.col("ord").cast("long").alias("ord"), F.col("embed").cast("array<double>").alias("embed"))
+    sized = held.join(last, "video_id").withColumn("blk", block).withColumn("blocks", F.floor((F.col("last") - 1) / BLOCK) + 1)
+    met = sized.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
+        "video_id", F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi"), "ord", "blk", "embed"
+    )
+
+    def multiply(pdf: pd.DataFrame) -> pd.DataFrame:
+        lo, hi = pdf["lo"].iloc[0], pdf["hi"].iloc[0]
+        m = np.stack(pdf["embed"].to_numpy()).astype(float)
+        m /= np.linalg.norm(m, axis=1, keepdims=True) + 1e-9
+        ordinal, blk = pdf["ord"].to_numpy(), pdf["blk"].to_numpy()
+        left, right = np.flatnonzero(blk == lo), np.flatnonzero(blk == hi)
+        cos = m[left] @ m[right].T
+        on = cos >= threshold - slack if inclusive else cos > threshold
+        i, j = np.nonzero(on & (ordinal[left][:, None] < ordinal[right][None, :]))
+        return pd.DataFrame({"video_id": pdf["video_id"].iloc[0], "a": ordinal[left][i], "b": ordinal[right][j], "cos": cos[i, j]})
+
+    return met.groupBy("video_id", "lo", "hi").applyInPandas(multiply, "video_id string, a long, b long, cos double")
+
+
+def greedy_keep(nodes: DataFrame, threshold: float, most_rounds: int = 1000) -> DataFrame:
+    """(video_id, ord) of the kept nodes; smaller ``ord`` goes first."""
+    edges = materialise(similar_pairs(nodes, threshold).select("video_id", "a", "b"), "edges")
+    open_nodes = materialise(nodes.select("video_id", F.col("ord").cast("long").alias("ord")), "open")
+    kept = None
+    for _ in range(most_rounds):
+        blocked = edges.select("video_id", F.col("b").alias("ord")).distinct()
+        won = materialise(open_nodes.join(blocked, ["video_id", "ord"], "left_anti"), "won")
+        kept = won if kept is None else kept.unionByName(won)
+        if edges.isEmpty():
+            return kept
+        lost = edges.join(won.withColumnRenamed("ord", "a"), ["video_id", "a"]).select("video_id", F.col("b").alias("ord")).distinct()
+        gone = materialise(won.unionByName(lost), "gone")
+        open_nodes = materialise(open_nodes.join(gone, ["video_id", "ord"], "left_anti"), "open")
+        for end in ("a", "b"):
+            edges = edges.join(gone.withColumnRenamed("ord", end), ["video_id", end], "left_anti")
+        edges = materialise(edges.select("video_id", "a", "b"), "edges")
+    raise RuntimeError("greedy selection did not end")
+
+
+def auto_eps(ordered: DataFrame, quantile: float = 0.9, low: float = 0.02, high: float = 0.30) -> DataFrame:
+    """(video_id, eps): 1 - the quantile of the cosines of neighbours by ``ord``, clamped; 0.10 below three frames."""
+    nxt = F.lead("embed").over(Window.partitionBy("video_id").orderBy("ord"))
+    pairs = ordered.withColumn("next", nxt).withColumn("cos", F.when(F.col("next").isNotNull(), cosine(F.col("embed"), F.col("next")).cast("float")))
+    got = pairs.groupBy("video_id").agg(F.count("*").alias("n"), F.percentile("cos", quantile).alias("q"))
+    eps = F.greatest(F.lit(low), F.least(F.lit(high), 1 - F.col("q")))
+    return got.select("video_id", F.when(F.col("n") < 3, F.lit(0.10)).otherwise(eps).alias("eps"))
+
+
+def components(edges: DataFrame, nodes: DataFrame, most_rounds: int = 200) -> DataFrame:
+    """(video_id, ord, root): the smallest node that each node reaches, by label rounds with pointer jumping."""
+    both = materialise(edges.select("video_id", "a", "b").unionByName(edges.select("video_id", F.col("b").alias("a"), F.col("a").alias("b"))), "both")
+    labels = materialise(nodes.select("video_id", F.col("ord").cast("long").alias("ord")).withColumn("root", F.col("ord")), "labels")
+    for _ in range(most_rounds):
+        near = both.join(labels.select("video_id", F.col("ord").alias("b"), "root"), ["video_id", "b"]).groupBy("video_id", F.col("a").alias("ord")).agg(F.min("root").alias("m"))
+        new = labels.join(near, ["video_id", "ord"], "left").select("video_id", "ord", "root", F.least("root", F.coalesce("m", "root")).alias("now"))
+        jump = new.select("video_id", F.col("ord").alias("now"), F.col("now").alias("far"))
+        new = new.join(jump, ["video_id", "now"]).select("video_id", "ord", F.col("root").alias("was"), F.least("now", "far").alias("root"))
+        new = materialise(new, "labels")
+        changed = not new.where("root <> was").isEmpty()
+        labels = new.select("video_id", "ord", "root")
+        if not changed:
+            return labels
+    raise RuntimeError("components did not converge")
+
+
+def dbscan(nodes: DataFrame, eps: float | DataFrame, min_samples: int = 1) -> DataFrame:
+    """``eps`` is one radius, or a table (video_id, eps) of radii up to 0.30.
+
+    (video_id, ord, label): the smallest core ordinal of the cluster, -1 for noise. Neighbours lie within ``eps`` of
+    1 - cosine and count the point itself; a border point joins the cluster of the smallest label."""
+    if isinstance(eps, DataFrame):
+        wide = similar_pairs(nodes, 1 - 0.30, inclusive=True, slack=1e-12).join(eps, "video_id")
+        near = materialise(wide.where("cos >= 1 - eps - 1e-12").drop("eps"), "near")
+    else:
+        near = materialise(similar_pairs(nodes, 1 - eps, inclusive=True, slack=1e-12), "near")
+    ids = nodes.select("video_id", F.col("ord").cast("long").alias("ord"))
+    if min_samples <= 1:
+        return components(near, ids).withColumnRenamed("root", "label")
+    both = near.select("video_id", F.col("a").alias("ord"), F.col("b").alias("other")).unionByName(near.select("video_id", F.col("b").alias("ord"), F.col("a").alias("other")))
+    degree = both.groupBy("video_id", "ord").agg((F.count("*") + 1).alias("n"))
+    core = materialise(degree.where(F.col("n") >= min_samples).select("video_id", "ord"), "core")
+    inner = near.join(core.withColumnRenamed("ord", "a"), ["video_id", "a"], "left_semi").join(core.withColumnRenamed("ord", "b"), ["video_id", "b"], "left_semi")
+    named = materialise(components(inner, core), "named")
+    border = (
+        both.join(core, ["video_id", "ord"], "left_anti")
+        .join(named.select("video_id", F.col("ord").alias("other"), "root"), ["video_id", "other"])
+        .groupBy("video_id", "ord")
+        .agg(F.min("root").alias("root"))
+    )
+    found = named.unionByName(border)
+    return ids.join(found, ["video_id", "ord"], "left").select("video_id", "ord", F.coalesce("root", F.lit(-1)).alias("label"))
+
+
+def representatives(labelled: DataFrame) -> DataFrame:
+    """The best scored row of each cluster, noise being one cluster; ties by ``ord``."""
+    best = Window.partitionBy("video_id", "label").orderBy(F.desc("ml_score"), "ord")
+    return labelled.withColumn("r", F.row_number().over(best)).where("r = 1").drop("r")
