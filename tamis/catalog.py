@@ -1,15 +1,473 @@
-"""All queries of the curation engine by name, with their SQL."""
+"""All queries of the curation engine by name, with their SQL.
+
+Each query runs over the whole derived view of its table; floating-point results are rounded to six places on both sides.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from tamis import oracle as sql
+from tamis.config import Config
+from tamis.functions import image
+from tamis.functions.vectors import cosine, normalised, scale
+from tamis.operators import dedup, folds, scoring, select, strata
+from tamis.plans import curate
+from tamis.sources import frames
+
+#: Target weights of the shipped settings.
+TARGETS = {
+    "altitude": {"low": 0.5, "high": 0.5},
+    "view": {"nadir": 0.5, "oblique": 0.5},
+    "cover": {"dense": 0.7, "sparse": 0.3},
+    "lighting": {"bright": 0.6, "dark": 0.4},
+}
+CFG = Config(
+    targets=TARGETS, limits={"sparse_max_ratio": 0.30}, novelty_memory=32, novelty_threshold=0.7, high_quality=0.80, cosine_threshold=0.30, eps=0.65
+)
+PARTIAL = CFG.with_(targets={"cover": {"sparse": 0.6}})
+IMAGE = image.ImageSettings(noise_scale=60.0, green_threshold=0.6, lowres=(4, 4))
+IMAGE_CFG = CFG.with_(min_sharpness=19500.5, min_contrast=31.01, sharpness_range=(15000.0, 32000.0), contrast_range=(28.0, 37.0), view_entropy=1.951, cover_ratio=0.33, lighting_mean=127.01)
+SIZE = 12
+
+Query = Callable[[SparkSession, str], DataFrame]
+_queries: dict[str, Query] = {}
+_sql: dict[str, str] = {}
+
+
+def _query(text: str | None):
+    def add(f: Query) -> Query:
+        _queries[f.__name__] = f
+        if text:
+            _sql[f.__name__] = text
+        return f
+
+    return add
+
+
+def _with(*parts: str) -> str:
+    """Common table expressions, then the query."""
+    last = parts[-1]
+    return "WITH RECURSIVE " + ",\n".join(parts[:-1]) + ("\n" if last.startswith("SELECT") else ",\n") + last
+
+
+def _r(*names: str):
+    return [F.round(n, 6).alias(n) for n in names]
+
+
+def _rs(*names: str) -> str:
+    return ", ".join(f"round({n}, 6) AS {n}" for n in names)
+
+
+LABELS = ("altitude", "view", "cover", "lighting")
+_PRE = (sql.light(), sql.prefiltered(CFG))
+_SCORED = (*_PRE, sql.scored(CFG))
+_BINNED = (*_SCORED, sql.binned(CFG), sql.RANKED)
+_CHOSEN = (*_BINNED, sql.stratified(CFG, SIZE), sql.filled(SIZE))
+_FINAL = (*_CHOSEN, sql.NODES, sql.greedy("nodes", CFG.cosine_threshold), sql.LEFT_OVER, sql.refill(SIZE))
+
+
+def _pool(spark: SparkSession, d: str) -> DataFrame:
+    return curate.candidates(frames.light_view(spark, d), CFG)
+
+
+def _final(spark: SparkSession, d: str) -> DataFrame:
+    return curate.curate(frames.light_view(spark, d), CFG, SIZE)
+
+
+# Scans, filters, scores -------------------------------------------------------------------------------------------
+
+
+@_query(_with(sql.light(), f"SELECT video_id, idx, {_rs('t_sec')} FROM light WHERE idx % 3 = 0"))
+def stride_scan(spark, d):
+    return scoring.timestamps(scoring.stride(frames.light_view(spark, d).select("video_id", "idx"), 3), 0).select("video_id", "idx", *_r("t_sec"))
+
+
+@_query(_with(sql.light(), f"SELECT video_id, idx, {_rs('sharpness', 'contrast')} FROM light WHERE sharpness >= 80 AND contrast >= 20"))
+def prefilter_light(spark, d):
+    return scoring.prefilter(frames.light_view(spark, d), CFG).select("video_id", "idx", *_r("sharpness", "contrast"))
+
+
+@_query(_with(*_PRE, f"SELECT video_id, idx, {_rs('quality')} FROM pre"))
+def quality_score(spark, d):
+    pre = scoring.prefilter(frames.light_view(spark, d), CFG)
+    return pre.select("video_id", "idx", scoring.quality(CFG).alias("quality")).select("video_id", "idx", *_r("quality"))
+
+
+@_query(_with(sql.light(), f"SELECT video_id, idx, round({sql.scale('sharpness', 80.0, 300.0)}, 6) AS s, round({sql.scale('contrast', 20.0, 80.0)}, 6) AS c FROM light"))
+def scaled_metrics(spark, d):
+    view = frames.light_view(spark, d)
+    return view.select("video_id", "idx", F.round(scale(F.col("sharpness"), 80.0, 300.0), 6).alias("s"), F.round(scale(F.col("contrast"), 20.0, 80.0), 6).alias("c"))
+
+
+@_query(_with(*_SCORED, f"SELECT video_id, idx, {_rs('quality', 'content_novelty', 'ml_score')} FROM scored"))
+def novelty_fold(spark, d):
+    return folds.score_frames(scoring.prefilter(frames.light_view(spark, d), CFG), CFG).select("video_id", "idx", *_r("quality", "content_novelty", "ml_score"))
+
+
+@_query(_with(sql.light(True), sql.prefiltered(CFG), sql.scored(CFG), f"SELECT idx, {_rs('content_novelty', 'ml_score')} FROM scored"))
+def novelty_fold_single(spark, d):
+    return folds.score_frames(scoring.prefilter(frames.light_view(spark, d, True), CFG), CFG).select("idx", *_r("content_novelty", "ml_score"))
+
+
+# Strata and targets -----------------------------------------------------------------------------------------------
+
+
+@_query(_with(*_BINNED, "SELECT video_id, idx, altitude, view, cover, lighting FROM binned"))
+def assign_strata(spark, d):
+    return _pool(spark, d).select("video_id", "idx", *LABELS)
+
+
+@_query(_with(*_BINNED, "SELECT altitude, view, cover, lighting, count(*) AS n FROM binned GROUP BY ALL"))
+def strata_distribution(spark, d):
+    return strata.strata_distribution(_pool(spark, d))
+
+
+@_query(
+    _with(
+        *_BINNED,
+        "marks AS (UNPIVOT (SELECT altitude, view, cover, lighting FROM binned) ON altitude, view, cover, lighting INTO NAME axis VALUE value)",
+        "SELECT axis, value, count(*) AS n FROM marks GROUP BY ALL",
+    )
+)
+def axes_summary(spark, d):
+    return strata.axes_summary(_pool(spark, d))
+
+
+def _weights(c: Config) -> str:
+    """The shares computed in SQL from the raw weights."""
+    rows = [f"({i}, '{a}', {j}, '{v}', {float((c.targets or {}).get(a, {}).get(v, 1.0))!r}::DOUBLE)" for i, (a, vs) in enumerate(c.axes.items()) for j, v in enumerate(vs)]
+    a, b, e, g = (f"(SELECT * FROM share WHERE axis = '{x}')" for x in c.axes)
+    return _with(
+        f"raw(i, axis, j, value, w) AS (VALUES {', '.join(rows)})",
+        "share AS (SELECT *, w / (sum(w) OVER (PARTITION BY axis) + 1e-12::DOUBLE) AS s FROM raw)",
+        f"""grid AS (SELECT (a.j * 8 + b.j * 4 + e.j * 2 + g.j)::INT AS combo_ord, a.value AS altitude, b.value AS view, e.value AS cover, g.value AS lighting, a.s * b.s * e.s * g.s AS p
+  FROM {a} a, {b} b, {e} e, {g} g)""",
+        "SELECT combo_ord, 'altitude:' || altitude || '|view:' || view || '|cover:' || cover || '|lighting:' || lighting AS combo_key, altitude, view, cover, lighting, "
+        "round(p / (sum(p) OVER () + 1e-12::DOUBLE), 6) AS ratio FROM grid",
+    )
+
+
+@_query(_weights(CFG))
+def compile_targets(spark, d):
+    return strata.targets(spark, CFG).select("combo_ord", "combo_key", *LABELS, *_r("ratio"))
+
+
+@_query(_weights(PARTIAL))
+def compile_targets_partial(spark, d):
+    return strata.targets(spark, PARTIAL).select("combo_ord", "combo_key", *LABELS, *_r("ratio"))
+
+
+@_query(_weights(CFG.with_(targets=None)))
+def compile_targets_uniform(spark, d):
+    return strata.targets(spark, CFG.with_(targets=None)).select("combo_ord", "combo_key", *LABELS, *_r("ratio"))
+
+
+@_query(
+    _with(
+        *_FINAL,
+        f"made AS (SELECT video_id, {sql.KEY} AS combo_key, count(*) AS actual FROM final GROUP BY ALL), sums AS (SELECT video_id, sum(actual)::BIGINT AS total FROM made GROUP BY ALL)",
+        "floors AS (SELECT video_id, combo_ord, combo_key, ratio, total, floor(ratio * total) AS low, ratio * total - floor(ratio * total) AS part FROM sums, goals)",
+        """rated AS (SELECT *, total - sum(low) OVER (PARTITION BY video_id) AS rest, row_number() OVER (PARTITION BY video_id ORDER BY part DESC, combo_ord) AS nth FROM floors)
+SELECT video_id, combo_ord, combo_key, round(ratio, 6) AS ratio, (low + (nth <= rest)::INT)::BIGINT AS expected, coalesce(actual, 0) AS actual,
+  greatest(0, low + (nth <= rest)::INT - coalesce(actual, 0))::BIGINT AS shortfall FROM rated LEFT JOIN made USING (video_id, combo_key)""",
+    )
+)
+def targets_evaluation(spark, d):
+    out = strata.evaluate_targets(_final(spark, d), CFG)
+    return out.withColumn("ratio", F.round("ratio", 6))
+
+
+# Selection --------------------------------------------------------------------------------------------------------
+
+
+@_query(_with(*_BINNED, sql.top_fraction(0.25), f"SELECT video_id, idx, rank, {_rs('ml_score')} FROM chosen"))
+def topk_fraction(spark, d):
+    return scoring.top_fraction(_pool(spark, d), 0.25).select("video_id", "idx", F.col("rank").cast("long").alias("rank"), *_r("ml_score"))
+
+
+@_query(_with(*_BINNED, sql.stratified(CFG, SIZE), "SELECT video_id, idx, rank FROM strat"))
+def stratified_select(spark, d):
+    return select.stratified_select(_pool(spark, d), SIZE, CFG).select("video_id", "idx", F.col("rank").cast("long").alias("rank"))
+
+
+@_query(_with(*_CHOSEN, "SELECT video_id, idx, phase, prelim_ord FROM chosen"))
+def select_fill(spark, d):
+    return select.preliminary(_pool(spark, d), SIZE, CFG).select("video_id", "idx", "phase", F.col("prelim_ord").cast("long").alias("prelim_ord"))
+
+
+@_query(_with(*_FINAL, f"SELECT video_id, idx, phase, final_ord, {_rs('ml_score')} FROM final"))
+def post_dedup_fill(spark, d):
+    return _final(spark, d).select("video_id", "idx", "phase", F.col("final_ord").cast("long").alias("final_ord"), *_r("ml_score"))
+
+
+# Similarity -------------------------------------------------------------------------------------------------------
+
+_VECTORS = f"nodes AS (SELECT 'v' AS video_id, vec_id + 1 AS ord, {sql.UNIT} AS unit FROM (SELECT vec_id, embedding::DOUBLE[] AS embed FROM embeddings))"
+
+
+def _vectors(spark: SparkSession, d: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/embeddings.parquet").select(F.lit("v").alias("video_id"), (F.col("vec_id") + 1).alias("ord"), F.col("embedding").alias("embed"))
+
+
+@_query(_with(_VECTORS, "SELECT a.ord AS a, b.ord AS b, round(list_dot_product(a.unit, b.unit), 6) AS cos FROM nodes a JOIN nodes b ON a.ord < b.ord AND list_dot_product(a.unit, b.unit) > 0.30"))
+def cosine_pairs(spark, d):
+    return dedup.similar_pairs(_vectors(spark, d), 0.30).select("a", "b", *_r("cos"))
+
+
+@_query(
+    _with(
+        sql.light(),
+        f"n AS (SELECT video_id, idx, {sql.UNIT} AS unit, lead({sql.UNIT}) OVER (PARTITION BY video_id ORDER BY idx) AS nxt FROM light)",
+        "SELECT video_id, idx, round(list_dot_product(unit, nxt), 6) AS cos FROM n WHERE nxt IS NOT NULL",
+    )
+)
+def adjacent_cosine(spark, d):
+    nxt = F.lead("embed").over(Window.partitionBy("video_id").orderBy("idx"))
+    view = frames.light_view(spark, d).select("video_id", "idx", "embed").withColumn("nxt", nxt).where("nxt IS NOT NULL")
+    return view.select("video_id", "idx", F.round(cosine(F.col("embed"), F.col("nxt")), 6).alias("cos"))
+
+
+@_query(_with(_VECTORS, sql.greedy("nodes", 0.35), "SELECT ord FROM kept"))
+def greedy_dedup(spark, d):
+    return dedup.greedy_keep(_vectors(spark, d), 0.35).select("ord")
+
+
+@_query(
+    _with(
+        sql.light(),
+        f"n AS (SELECT video_id, {sql.UNIT} AS unit, lead({sql.UNIT}) OVER (PARTITION BY video_id ORDER BY idx) AS nxt FROM light)",
+        """q AS (SELECT video_id, count(*) AS n, quantile_cont(list_dot_product(unit, nxt)::FLOAT, 0.9) AS q FROM n GROUP BY ALL)
+SELECT video_id, round(CASE WHEN n < 3 THEN 0.1::DOUBLE ELSE greatest(0.02::DOUBLE, least(0.95::DOUBLE, 1 - q)) END, 4) AS eps FROM q""",
+    )
+)
+def auto_eps(spark, d):
+    nodes = frames.light_view(spark, d).select("video_id", F.col("idx").alias("ord"), "embed")
+    return dedup.auto_eps(nodes, high=0.95).select("video_id", F.round("eps", 4).alias("eps"))
+
+
+@_query(_with(_VECTORS, sql.reach("nodes", 0.65), "SELECT ord, label FROM labels"))
+def dbscan_components(spark, d):
+    return dedup.dbscan(_vectors(spark, d), 0.65).select("ord", "label")
+
+
+@_query(_with(_VECTORS, sql.reach("nodes", 0.65, 3), "SELECT ord, label FROM labels"))
+def dbscan_core(spark, d):
+    return dedup.dbscan(_vectors(spark, d), 0.65, 3).select("ord", "label")
+
+
+_CLUSTERS = (*_BINNED, sql.top_fraction(0.5), sql.CLUSTER_NODES, sql.reach("nodes", CFG.eps), sql.CLUSTER_KEPT)
+
+
+@_query(_with(*_CLUSTERS, "SELECT video_id, idx FROM kept JOIN nodes USING (video_id, ord)"))
+def cluster_representative(spark, d):
+    chosen = select.preliminary(_pool(spark, d), None, CFG.with_(selection_ratio=0.5))
+    return curate.without_duplicates(chosen, CFG, "dbscan").select("video_id", "idx")
+
+
+# Reports ----------------------------------------------------------------------------------------------------------
+
+
+@_query(_with(*_FINAL, "SELECT count(*) AS n, round(avg(ml_score), 6) AS mean, round(quantile_cont(ml_score, 0.5), 6) AS median, round(min(ml_score), 6) AS low, round(max(ml_score), 6) AS high FROM final"))
+def score_stats(spark, d):
+    return curate.score_stats(_final(spark, d)).select("n", *_r("mean", "median", "low", "high"))
+
+
+@_query(
+    _with(
+        *_FINAL,
+        """a AS (SELECT video_id, count(*) AS candidates FROM binned GROUP BY ALL), b AS (SELECT video_id, count(*) AS selected FROM final GROUP BY ALL)
+SELECT video_id, candidates, coalesce(selected, 0) AS selected, round(coalesce(selected, 0) / candidates::DOUBLE, 6) AS ratio FROM a LEFT JOIN b USING (video_id)""",
+    )
+)
+def selection_ratio(spark, d):
+    out = curate.selection_ratio(_pool(spark, d), _final(spark, d))
+    return out.withColumn("ratio", F.round("ratio", 6))
+
+
+@_query(_with(*_FINAL, sql.satisfaction(CFG, False)))
+def satisfaction_report(spark, d):
+    return strata.satisfaction(_final(spark, d), CFG, False)
+
+
+@_query(_with(*_FINAL, sql.satisfaction(CFG, True)))
+def satisfaction_web(spark, d):
+    return strata.satisfaction(_final(spark, d), CFG, True)
+
+
+@_query(_with(*_FINAL, "SELECT video_id, idx FROM final WHERE cover = 'sparse' OR lighting = 'dark'"))
+def tile_filter(spark, d):
+    return curate.tile_filter(_final(spark, d), ["cover:sparse", "lighting:dark"]).select("video_id", "idx")
+
+
+@_query(
+    _with(
+        *_FINAL,
+        "SELECT f.video_id, final_ord, f.idx, round(t_sec, 6) AS t_sec, round(f.ml_score, 6) AS ml_score, round(quality, 6) AS quality, round(content_novelty, 6) AS content_novelty, "
+        f"{sql.KEY} AS strata FROM final f JOIN (SELECT video_id, idx, t_sec, quality, content_novelty FROM binned) b USING (video_id, idx)",
+    )
+)
+def manifest_frames(spark, d):
+    out = curate.manifest_frames(_final(spark, d))
+    pairs = F.concat_ws("|", *(F.concat(F.lit(f"{a}:"), F.col("strata")[i]) for i, a in enumerate(LABELS)))
+    return out.select("video_id", F.col("final_ord").cast("long").alias("final_ord"), "idx", *_r("t_sec", "ml_score"), F.round("subscores.quality", 6).alias("quality"), F.round("subscores.content_novelty", 6).alias("content_novelty"), pairs.alias("strata"))
+
+
+# End to end -------------------------------------------------------------------------------------------------------
+
+
+@_query(_with(*_BINNED, sql.top_fraction(0.25), sql.NODES, sql.greedy("nodes", CFG.cosine_threshold), sql.LEFT_OVER, sql.refill(None), f"SELECT video_id, idx, final_ord, {_rs('ml_score')}, altitude, view, cover, lighting FROM final"))
+def curate_topk(spark, d):
+    out = curate.curate(frames.light_view(spark, d), CFG)
+    return out.select("video_id", "idx", F.col("final_ord").cast("long").alias("final_ord"), *_r("ml_score"), *LABELS)
+
+
+@_query(_with(*_FINAL, f"SELECT video_id, idx, final_ord, {_rs('ml_score')}, altitude, view, cover, lighting FROM final"))
+def curate_stratified(spark, d):
+    return _final(spark, d).select("video_id", "idx", F.col("final_ord").cast("long").alias("final_ord"), *_r("ml_score"), *LABELS)
+
+
+_DENSITY = (*_CHOSEN, sql.CLUSTER_NODES, sql.reach("nodes", CFG.eps), sql.CLUSTER_KEPT, sql.LEFT_OVER, sql.refill(SIZE))
+
+
+@_query(_with(*_DENSITY, f"SELECT video_id, idx, final_ord, {_rs('ml_score')} FROM final"))
+def curate_dbscan(spark, d):
+    out = curate.curate(frames.light_view(spark, d), CFG, SIZE, "dbscan")
+    return out.select("video_id", "idx", F.col("final_ord").cast("long").alias("final_ord"), *_r("ml_score"))
+
+
+# Images -----------------------------------------------------------------------------------------------------------
+
+_IMAGE = (sql.PIXELS, sql.STENCIL)
+
+
+def _image(spark: SparkSession, d: str) -> DataFrame:
+    return image.features(image.metrics(frames.image_view(spark, d)), IMAGE).drop("pixels")
+
+
+_METRICS = "met AS (SELECT video_id, idx, var_pop(lap) AS sharpness, stddev_pop(l) AS contrast FROM stencil GROUP BY ALL)"
+
+
+@_query(_with(*_IMAGE, _METRICS, f"SELECT video_id, idx, {_rs('sharpness', 'contrast')} FROM met WHERE sharpness >= 19500.5 AND contrast >= 31.01"))
+def prefilter_image(spark, d):
+    return scoring.prefilter(image.metrics(frames.image_view(spark, d)), IMAGE_CFG).select("video_id", "idx", *_r("sharpness", "contrast"))
+
+
+_EXPOSURE = "e AS (SELECT video_id, idx, avg(l) AS mean, count(*) FILTER (l < 10) / (64 + 1e-9::DOUBLE) AS under, count(*) FILTER (l >= 246) / (64 + 1e-9::DOUBLE) AS over FROM px GROUP BY ALL)"
+
+
+@_query(_with(sql.PIXELS, _EXPOSURE, f"SELECT video_id, idx, {_rs('mean', 'under', 'over')} FROM e"))
+def exposure_metrics(spark, d):
+    return _image(spark, d).select("video_id", "idx", *_r("mean", "under", "over"))
+
+
+@_query(
+    _with(
+        sql.PIXELS,
+        _EXPOSURE,
+        "SELECT video_id, idx, round(greatest(0.0::DOUBLE, least(1.0::DOUBLE, 1 - least(1.0::DOUBLE, 0.6::DOUBLE * abs(mean - 128) / 128 + 0.4::DOUBLE * 2 * (under + over)))), 6) AS exposure_score FROM e",
+    )
+)
+def exposure_score(spark, d):
+    m = _image(spark, d)
+    return m.select("video_id", "idx", scoring.exposure_score(F.col("mean"), F.col("under"), F.col("over")).alias("exposure_score")).select("video_id", "idx", *_r("exposure_score"))
+
+
+@_query(
+    _with(
+        *_IMAGE,
+        "SELECT video_id, idx, round(greatest(0.0::DOUBLE, 1 - least(1.0::DOUBLE, stddev_pop(l - blur) / 60)), 6) AS noise_score, round(avg(abs(l - blur)), 6) AS hf_energy FROM stencil GROUP BY ALL",
+    )
+)
+def noise_and_energy(spark, d):
+    return _image(spark, d).select("video_id", "idx", *_r("noise_score", "hf_energy"))
+
+
+_OCTANTS = """oct AS (SELECT video_id, idx, sqrt(gx * gx + gy * gy) AS m, CASE WHEN gy >= 0 AND gx > gy THEN 0 WHEN gy > 0 AND gx > 0 THEN 1 WHEN gx <= 0 AND gy > -gx THEN 2
+  WHEN gx < 0 AND gy > 0 THEN 3 WHEN gy <= 0 AND gx < gy THEN 4 WHEN gy < 0 AND gx < 0 THEN 5 WHEN gx >= 0 AND gy < -gx THEN 6 WHEN gx = 0 AND gy = 0 THEN 0 ELSE 7 END AS bin FROM stencil),
+bins AS (SELECT v.video_id, v.idx, b.bin, coalesce(h, 0) AS h FROM (SELECT DISTINCT video_id, idx FROM stencil) v CROSS JOIN (SELECT unnest(range(8)) AS bin) b
+  LEFT JOIN (SELECT idx, bin, sum(m) AS h FROM oct GROUP BY ALL) s ON s.idx = v.idx AND s.bin = b.bin),
+shares AS (SELECT video_id, idx, h / (sum(h) OVER (PARTITION BY idx) + 1e-9::DOUBLE) AS p FROM bins)"""
+
+
+@_query(_with(*_IMAGE, _OCTANTS, "SELECT video_id, idx, round(-sum(p * ln(p + 1e-9::DOUBLE)), 6) AS view_entropy FROM shares GROUP BY ALL"))
+def view_entropy(spark, d):
+    return _image(spark, d).select("video_id", "idx", *_r("view_entropy"))
+
+
+@_query(
+    _with(
+        sql.PIXELS,
+        "g0 AS (SELECT video_id, idx, 2 * (g + 1e-6::DOUBLE) - (r + 1e-6::DOUBLE) - (b + 1e-6::DOUBLE) AS e FROM px)",
+        "g1 AS (SELECT *, min(e) OVER (PARTITION BY idx) AS lo, max(e) OVER (PARTITION BY idx) AS hi FROM g0)",
+        "SELECT video_id, idx, round(avg(((e - lo) / (hi - lo + 1e-9::DOUBLE) >= 0.6::DOUBLE)::INT), 6) AS green_cover FROM g1 GROUP BY ALL",
+    )
+)
+def green_cover(spark, d):
+    return _image(spark, d).select("video_id", "idx", *_r("green_cover"))
+
+
+@_query(_with(sql.PIXELS, "SELECT video_id, idx, round(avg(l), 6) AS lighting_mean FROM px GROUP BY ALL"))
+def lighting_mean(spark, d):
+    return _image(spark, d).select("video_id", "idx", *_r("lighting_mean"))
+
+
+_HSV = """c0 AS (SELECT video_id, idx, b, g, r, greatest(b, g, r)::DOUBLE AS v, greatest(b, g, r)::DOUBLE - least(b, g, r) AS d FROM px),
+c1 AS (SELECT *, CASE WHEN d = 0 THEN 0 WHEN v = r THEN 60 * (g - b) / d WHEN v = g THEN 120 + 60 * (b - r) / d ELSE 240 + 60 * (r - g) / d END AS h0 FROM c0),
+c2 AS (SELECT video_id, idx, floor((CASE WHEN h0 < 0 THEN h0 + 360 ELSE h0 END) / 2 + 0.5::DOUBLE) % 180 AS h, CASE WHEN v = 0 THEN 0 ELSE floor(255 * d / v + 0.5::DOUBLE) END AS s, v FROM c1),
+c3 AS (SELECT video_id, idx, unnest([least(15, floor(h * 16 / 180)), 16 + least(15, floor(s * 16 / 256)), 32 + least(15, floor(v * 16 / 256))])::INT AS bin FROM c2),
+c4 AS (SELECT video_id, idx, bin, count(*)::DOUBLE AS n FROM c3 GROUP BY ALL),
+hist AS (SELECT video_id, idx, bin, n / (sqrt(sum(n * n) OVER (PARTITION BY idx)) + 1e-9::DOUBLE) AS x FROM c4)"""
+_LOW = """cells AS (SELECT video_id, idx, (y // 2) * 4 + x // 2 AS cell, floor(avg(b) + 0.5::DOUBLE)::BIGINT AS b, floor(avg(g) + 0.5::DOUBLE)::BIGINT AS g, floor(avg(r) + 0.5::DOUBLE)::BIGINT AS r FROM px GROUP BY ALL),
+grays AS (SELECT video_id, idx, cell, ((9798 * r + 19235 * g + 3735 * b + 16384) // 32768)::DOUBLE AS l FROM cells),
+mids AS (SELECT *, l - avg(l) OVER (PARTITION BY idx) AS c FROM grays),
+low AS (SELECT video_id, idx, cell AS bin, c / (sqrt(sum(c * c) OVER (PARTITION BY idx)) + 1e-9::DOUBLE) AS x FROM mids)"""
+
+
+def _unrolled(m: DataFrame, lo: int, hi: int) -> DataFrame:
+    """(video_id, idx, bin, x) of the entries of a part of the embedding, scaled to unit length."""
+    part = F.slice("embed", lo + 1, hi - lo)
+    return m.select("video_id", "idx", F.posexplode(normalised(part)).alias("bin", "x"))
+
+
+@_query(_with(sql.PIXELS, _HSV, "SELECT video_id, idx, bin, round(x, 4) AS x FROM hist"))
+def hsv_hist(spark, d):
+    return _unrolled(_image(spark, d), 0, 48).where("x > 0").select("video_id", "idx", "bin", F.round("x", 4).alias("x"))
+
+
+@_query(_with(sql.PIXELS, _LOW, "SELECT video_id, idx, bin::INT AS bin, round(x, 4) + 0.0 AS x FROM low"))
+def lowres_embed(spark, d):
+    return _unrolled(_image(spark, d), 48, 64).select("video_id", "idx", "bin", (F.round("x", 4) + F.lit(0.0)).alias("x"))
+
+
+@_query(
+    _with(
+        sql.PIXELS,
+        _HSV,
+        _LOW,
+        "both_parts AS (SELECT video_id, idx, bin, x FROM hist UNION ALL SELECT video_id, idx, 48 + bin, x FROM low)",
+        "SELECT video_id, idx, bin::INT AS bin, round(x / (sqrt(sum(x * x) OVER (PARTITION BY idx)) + 1e-9::DOUBLE), 4) + 0.0 AS x FROM both_parts",
+    )
+)
+def combined_embed(spark, d):
+    m = _image(spark, d).select("video_id", "idx", F.posexplode("embed").alias("bin", "x"))
+    return m.where("bin >= 48 OR x <> 0").select("video_id", "idx", "bin", (F.round(F.col("x").cast("double"), 4) + F.lit(0.0)).alias("x"))
+
+
+@_query(None)
+def curate_images(spark, d):
+    """All stages from pixels on; its stages have their SQL one by one above, tests hold the whole against a plain version."""
+    pre = scoring.prefilter(image.metrics(frames.image_view(spark, d)), IMAGE_CFG)
+    out = curate.curate(image.features(pre, IMAGE).drop("pixels"), IMAGE_CFG, SIZE)
+    return out.select("video_id", "idx", F.col("final_ord").cast("long").alias("final_ord"), *_r("ml_score"), *LABELS)
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, Query]:
+    return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_sql)
