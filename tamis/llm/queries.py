@@ -55,5 +55,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_toxicity, op2_audio_fingerprints, op3_warc_zip, op4_html_extraction, op5_pii, op6_quality_classifier, op7_simhash_near_dedup, op8_benchmark_decontamination, op9_token_shards, op10_best_fit_packing)}
 
 
+#: Five bits of the hexadecimal SHA-1 make a base32 digit.
+_NIBBLES = ", ".join(f"'{i:04b}'" for i in range(16))
+_BIT = " + ".join(f"{2 ** (4 - k)} * substr(bits, i * 5 + {k + 1}, 1)::INT" for k in range(5))
+OP3_SQL = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, strlen(h) AS payload_bytes, array_to_string(list_transform(string_split(sha1(h), ''), lambda c: [{_NIBBLES}][strpos('0123456789abcdef', c)]), '') AS bits FROM p),
+e AS (SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + {_BIT}, 1)), '') AS payload_digest FROM d),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM e)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN first <> page_id THEN first END AS refers_to, url FROM f JOIN pages USING (page_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_warc_zip": OP3_SQL}
