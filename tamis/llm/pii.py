@@ -103,22 +103,35 @@ SECRET_CUES = ("password", "passwd", "pwd", "secret", "token", "apikey", "api_ke
 PHONE_CUES = ("phone", "tel", "telephone", "call", "fax", "mobile", "telefon", "teléfono", "téléphone")
 ID_CUES = ("ssn", "iban", "passport", "license", "id", "dni", "nif")
 STATES = ("O", *(f"{p}-{k}" for k in FIELD_KINDS for p in "BI"))
-_CUE = re.compile(r"[0-9=]|(?<!\w)(?:" + "|".join(re.escape(c) for c in TITLES) + r")(?!\w)", re.IGNORECASE)
+_CUE = re.compile(r"[0-9=]|(?<!\w)(?:" + "|".join(re.escape(c) for c in TITLES + SECRET_CUES + PHONE_CUES + ID_CUES) + r")(?!\w)", re.IGNORECASE)
 _WORD = re.compile(r"\S+")
 _AROUND = 60
+_HEX = re.compile(r"[0-9a-fA-F]{16,}")
+_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+_KEY = re.compile(r"[\"']?[\w-]*[\"']?[=:][\"']?")
 
 
 def shape(word: str) -> str:
-    """A word's class: its cue, or its runs of letters, digits and signs, digits with their number."""
+    """A word's class: its cue, the alphabet of a code, or its runs of letters, digits and signs, digits with their number."""
     bare = word.strip(".,;:!?()\"'").lower()
+    if bare in SECRET_CUES and word[-1] == ":":
+        return "secretkey"
     for kind, cues in (("title", TITLES), ("secretcue", SECRET_CUES), ("phonecue", PHONE_CUES), ("idcue", ID_CUES)):
         if bare in cues:
             return kind
     key = re.match(r"(?i)[\"']?([\w-]+)[\"']?[=:](.+)", word)
     if key and key[1].lower() in SECRET_CUES:
         return "key=value"
-    if len(word) > 40:
-        return "long"
+    if word[-1] == "=" and bare.rstrip("=:").strip("\"'") in SECRET_CUES:
+        return "secretkey"
+    if word[0] in "=:" and word.strip("=:\"'"):
+        return "=value"
+    core = word.strip(".,;:!?()\"'#*$%&|")
+    if re.search("[0-9]", core) and re.search("[A-Za-z]", core):
+        if _HEX.fullmatch(core):
+            return "hex"
+        if _BASE64.fullmatch(core) and re.search("[A-Z]", core) and re.search("[a-z]", core):
+            return "base64"
     out = []
     for m in re.finditer(r"[0-9]+|[A-ZÀ-ÖØ-Þ]+|[^\W\d_]+|.", word):
         c = m[0]
@@ -126,6 +139,8 @@ def shape(word: str) -> str:
     text = "".join(out)
     if re.search("d", text) and re.search("[xX]", text):
         return "mixed"
+    if len(text) > 12:
+        return "many"
     return text.rstrip(".,;:!?") or "sign"
 
 
@@ -140,6 +155,7 @@ def _training_table() -> list[tuple[list[str], list[str]]]:
         f, n, m = first[i], last[i], last[(i + 3) % 8]
         t = ("Mr.", "Mrs.", "Dr.", "Herr", "Frau", "Ms.", "Madame", "Señor")[i]
         code = hashlib.sha256(str(i).encode()).hexdigest()
+        base64 = "".join(x.upper() if k % 3 else x for k, x in enumerate(code[20 : 44 + 2 * i] + "gq")) + "="
         area, mid, end = f"{200 + 37 * i}", f"{555 + i}", f"{1000 + 713 * i}"[:4]
         for words, states in (
             ((a, b, t, f, n, c, d), "O O O B-name I-name O O"),
@@ -152,6 +168,33 @@ def _training_table() -> list[tuple[list[str], list[str]]]:
             ((a, f"token={code[8:30]}", b, c), "O B-secret O O"),
             ((a, "api_key:", code[:20], b, c), "O O B-secret O O"),
             ((a, "password", b, c, d), "O O O O O"),
+            ((a, b, "token", "=", f'"{code[:40]}"', c, d), "O O O O B-secret O O"),
+            ((a, "secret", "=", code[: 32 + 4 * i] + ".", b, c), "O O O B-secret O O"),
+            ((a, "password", "=", f'"{(f, n, m, b)[i % 4]}{area}"', b), "O O O B-secret O"),
+            ((a, "password", "=", f'"{b}"', c, d), "O O O B-secret O O"),
+            ((a, "pwd", "=", b, c), "O O O B-secret O"),
+            ((a, "token", "=", base64, b, c), "O O O B-secret O O"),
+            ((a, "token", ":", base64, b), "O O O B-secret O"),
+            ((a, "secret", f'="{code[:40]}"', b, c), "O O B-secret O O"),
+            ((a, "secret", "=", "-".join((f, n, m, "Up", "Down")), b), "O O O B-secret O"),
+            ((a, '"token":', f'"{code[:40]}",', b, c), "O O B-secret O O"),
+            ((a, "token=", code[:40], b, c), "O O B-secret O O"),
+            ((a, "passwd:", f'"{b}"', c), "O O B-secret O"),
+            ((a, "token:", base64, b), "O O B-secret O"),
+            ((a, "api_key:", "-".join((f, n, m, "Up", "Down")), b), "O O B-secret O"),
+            ((a, "password:", b, c, d), "O O O O O"),
+            ((a, "secret", base64, b, c), "O O B-secret O O"),
+            ((a, b, "=", code[:40], c), "O O O O O"),
+            ((a, b, "=", f'"{code[:40]}"', c), "O O O O O"),
+            ((a, b, "=", base64, c), "O O O O O"),
+            ((a, b, "=", f'"{c}"', d), "O O O O O"),
+            ((a, b, "=", mid, d), "O O O O O"),
+            ((a, "token", b, code[:40], c), "O O O O O"),
+            ((a, "token", b, c, "=", d), "O O O O O O"),
+            ((a, code[:40], b, c), "O O O O"),
+            ((a, base64, b, c), "O O O O"),
+            ((a, f"https://{f}.example.org/{n}-of/{m}_x.html".lower(), b), "O O O"),
+            ((a, b, f"={c}", d), "O O O O"),
             ((a, "call", f"({area})", f"{mid}-{end}", b), "O O B-tel I-tel O"),
             ((a, b, f"({area})", f"{mid}-{end}.", fill[2], c), "O O B-tel I-tel O O"),
             ((a, "tel", f"{area}-{mid}-{end}", b, c), "O O B-tel O O"),
@@ -180,14 +223,14 @@ def _training_table() -> list[tuple[list[str], list[str]]]:
 
 
 class Field:
-    """Weights of the chain; features of a place are the shapes of its word, the word before and the word after."""
+    """Weights of the chain; features of a place are the shapes of its word, the word before, the word after and the second word before."""
 
     def __init__(self):
         table = _training_table()
         shapes = sorted({shape(w) for words, _ in table for w in words})
         self.ids = {s: i + 1 for i, s in enumerate(shapes)}  # 0: any other shape or the edge
         n, k = len(shapes) + 1, len(STATES)
-        self.w = np.zeros((3, n, k))
+        self.w = np.zeros((4, n, k))
         self.t = np.zeros((k, k))
         self.ban = np.array([[-1e4 if b[0] == "I" and a[2:] != b[2:] else 0.0 for b in STATES] for a in STATES])
         self.start = np.array([-1e4 if s[0] == "I" else 0.0 for s in STATES])
@@ -203,10 +246,7 @@ class Field:
         return got
 
     def _emissions(self, x: np.ndarray) -> np.ndarray:
-        before = np.pad(x, ((0, 0), (1, 0)))[:, :-1]
-        after = np.pad(x, ((0, 0), (0, 1)))[:, 1:]
-        e = self.w[0][x] + self.w[1][before] + self.w[2][after]
-        return e
+        return sum(w[ids] for w, ids in zip(self.w, _around(x), strict=True))
 
     def _fit(self, table: list, steps: int = 200, rate: float = 0.5, decay: float = 2e-3) -> None:
         longest = max(len(w) for w, _ in table)
@@ -219,7 +259,6 @@ class Field:
         k = len(STATES)
         live = np.arange(longest) < size[:, None]
         gw, gt = np.full_like(self.w, 1e-2), np.full_like(self.t, 1e-2)
-        edge = [np.pad(x, ((0, 0), (1, 0)))[:, :-1], np.pad(x, ((0, 0), (0, 1)))[:, 1:]]
         for _ in range(steps):
             e = self._emissions(x)
             trans = self.t + self.ban
@@ -235,7 +274,7 @@ class Field:
             node = np.exp(np.where(live[..., None], alpha + beta - z[:, None, None], -np.inf))
             d = np.eye(k)[y] * live[..., None] - node
             dw = np.zeros_like(self.w)
-            for f, ids in enumerate((x, *edge)):
+            for f, ids in enumerate(_around(x)):
                 np.add.at(dw[f], ids[live], d[live])
             dt = np.zeros_like(self.t)
             for j in range(1, longest):
@@ -285,6 +324,13 @@ class Field:
         return out
 
 
+def _around(x: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Shape ids of each place, the place before, the one after and the second one before; 0 beyond the edges."""
+    n = x.shape[1]
+    wide = np.pad(x, ((0, 0), (2, 1)))
+    return x, wide[:, 1 : 1 + n], wide[:, 3 : 3 + n], wide[:, :n]
+
+
 def _lse(x: np.ndarray, axis: int) -> np.ndarray:
     top = x.max(axis, keepdims=True)
     return np.squeeze(top, axis) + np.log(np.exp(x - top).sum(axis))
@@ -299,22 +345,26 @@ def field() -> Field:
 def _windows(text: str) -> list[list[tuple[str, int]]]:
     """Words with their starts around each cue, whole words only, touching windows merged."""
     out: list[list[tuple[str, int]]] = []
-    lo = hi = -1
+    hi = -1
     for m in _CUE.finditer(text):
-        if m.start() < hi:
+        a, b = m.span()
+        if b + _AROUND <= hi:
             continue
-        a, b = max(0, m.start() - _AROUND), min(len(text), m.end() + _AROUND)
-        while a > 0 and not text[a - 1].isspace():
+        while a > hi and a > 0 and not text[a - 1].isspace():
+            a -= 1
+        while b < len(text) and not text[b].isspace():
+            b += 1
+        a, b = max(0, hi, a - _AROUND), min(len(text), b + _AROUND)
+        while a > hi and a > 0 and not text[a - 1].isspace():
             a -= 1
         while b < len(text) and not text[b].isspace():
             b += 1
-        if a <= hi and out:
-            a = hi
-            out[-1] += [(w[0], w.start()) for w in _WORD.finditer(text, a, b)]
-        else:
-            out.append([(w[0], w.start()) for w in _WORD.finditer(text, a, b)])
-        lo, hi = a, b
-    del lo
+        if b <= hi:
+            continue
+        if a > hi or not out:
+            out.append([])
+        out[-1] += [(w[0], w.start()) for w in _WORD.finditer(text, a, b)]
+        hi = b
     return out
 
 
@@ -335,8 +385,11 @@ def field_spans(some: list[str]) -> list[list[Span]]:
                 j += 1
             word, start = words[i]
             end = words[j - 1][1] + len(words[j - 1][0].rstrip(".,;:!?\"'"))
-            key = re.match(r"[\"']?[\w-]+[\"']?[=:][\"']?", word) if name[2:] == "secret" else None
-            start += key.end() if key and key.end() < len(word) else 0
+            if name[2:] == "secret":
+                key = _KEY.match(word)
+                start += key.end() if key and key.end() < len(word) else word[0] in "\"'"
+                closed = some[k].find(some[k][start - 1], start, end) if some[k][start - 1 : start] in ("'", '"') else -1
+                end = closed if closed > start else end
             if start < end:
                 out[k].append((name[2:], start, end))
             i = j

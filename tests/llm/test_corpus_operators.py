@@ -237,6 +237,33 @@ def test_pii_field_and_redaction(spark):
     assert rows[2]["text"] is None and rows[2]["n_chars"] == 6
 
 
+def test_pii_planted_secrets_are_removed(spark):
+    docs = common.table(spark, "/root/testdata/sf0.1", "documents").where("text rlike '(?i)token = \"[0-9a-f]{40}\"'")
+    planted = {r["doc_id"]: re.findall(r'(?i)token = "([0-9a-f]{40})"', r["text"]) for r in docs.collect()}
+    assert sum(map(len, planted.values())) > 100
+    for r in pii.redact(docs).collect():
+        assert not any(s in r["text"] for s in planted[r["doc_id"]]) and 'oken = "<SECRET>"' in r["text"].replace("TOKEN", "token")
+
+
+def test_pii_secrets_by_key_and_value():
+    code = hashlib.sha256(b"another").hexdigest()
+    for t, secrets in (
+        (f'so token = "{code[:40]}" is set', [code[:40]]),
+        (f"so secret = {code} is set", [code]),
+        (f'so TOKEN = "{code[:40].upper()}"!! IS', [code[:40].upper()]),
+        (f'so "token": "{code[:40]}", is', [code[:40]]),
+        (f'so token ="{code[:40]}" is set', [code[:40]]),
+        ('so password = "horsebattery" is set', ["horsebattery"]),
+        ('so password: "horsebattery" is set', ["horsebattery"]),
+        (f"so commit = {code[:40]} is set", []),
+        (f"so digest {code[:40]} is set", []),
+        ("so your password was lost by them", []),
+    ):
+        assert [t[a:b] for k, a, b in pii.all_spans([t])[0][1] if k == "secret"] == secrets, t
+    t = "x 5 " + "aaa bbb " * 7 + "Mr. Smith was there"  # the cue lies at the end of the digit's window
+    assert [t[a:b] for _, a, b in pii.all_spans([t])[0][1]] == ["Smith"]
+
+
 # 6 ----------------------------------------------------------------------------------------------------------------
 
 
