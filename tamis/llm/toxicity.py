@@ -13,27 +13,26 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamis.llm.common import arrow_map, texts
+from tamis.llm.common import arrow_map, materialise, texts
 
 WINDOW = 48
 BUCKETS = 1 << 19
 DIMENSIONS = 8
 NGRAMS = (3, 4, 5)
-#: The training sample: at most so many labelled documents of each class, and words of each.
+#: The training sample: at most so many labelled documents of each class, with their whole texts.
 MOST_OF_CLASS = 2000
-MOST_WORDS = 1200
 #: A bucket in so many documents keeps half of its weight; every so many-th document of the sample calibrates.
 SHRINK = 8.0
 CALIBRATE = 5
 WORD = re.compile(r"\w+")
 CACHE_ENTRIES = 500_000
-_LONG = 40
 
 
 def words(text: str) -> list[str]:
@@ -41,14 +40,17 @@ def words(text: str) -> list[str]:
 
 
 def bucket_ids(word: str) -> list[int]:
-    """Buckets of a word and of its n-grams; the n-grams of a very long word are those of its first and last letters."""
+    """Buckets of a word and of all its n-grams."""
     whole = zlib.crc32(word.encode()) % BUCKETS
-    if len(word) > _LONG:
-        word = word[: _LONG // 2] + word[-_LONG // 2 :]
     w = f"<{word}>"
     return [whole, *(zlib.crc32(w[i : i + n].encode()) % BUCKETS for n in NGRAMS for i in range(len(w) - n + 1))]
 
 
+def coded(found: list[str], vocab: dict[str, int]) -> array:
+    """Words as 32-bit places in ``vocab``, which grows by the new ones."""
+    return array("i", [vocab.setdefault(w, len(vocab)) for w in found])
+
+
 class Model:
     """Bucket embeddings and softmax weights, trained by Adagrad on passages."""
 
@@ -60,22 +62,30 @@ class Model:
         self.spread = np.zeros(BUCKETS, np.float32)
         self.scale = self.spread
 
-    def fit(self, docs: list[list[str]], labels: np.ndarray, warm: int = 2, epochs: int = 30, rate: float = 20.0, batch: int = 128, seed: int = 7) -> Model:
-        vocab: dict[str, int] = {}
-        ids = [[vocab.setdefault(w, len(vocab)) for w in d] for d in docs]
-        bags = [np.array(bucket_ids(w), np.int32) for w in vocab]
-        for d in ids:
-            if d:
+    def fit(self, docs: list, labels: np.ndarray, vocab: list[str] | None = None, warm: int = 2, epochs: int = 30, rate: float = 20.0, batch: int = 128, seed: int = 7) -> Model:
+        """``docs`` are word lists or, with ``vocab``, arrays of places in it."""
+        if vocab is None:
+            known: dict[str, int] = {}
+            docs, vocab = [coded(d, known) for d in docs], list(known)
+        bags = {int(w): np.array(bucket_ids(vocab[w]), np.int32) for w in np.unique(np.concatenate([np.zeros(0, np.int32), *(np.unique(d) for d in docs if len(d))]))}
+        for d in docs:
+            if len(d):
                 self.spread[np.unique(np.concatenate([bags[w] for w in set(d)]))] += 1
-        self._flat = np.concatenate([np.zeros(0, np.int32), *bags])
-        self._ends = np.cumsum([0, *map(len, bags)])
-        passages, owner = [], []
-        for k, d in enumerate(ids):
+        self._flat = np.concatenate([np.zeros(0, np.int32), *bags.values()])
+        self._ends = np.cumsum([0, *map(len, bags.values())])
+        place = np.zeros(len(vocab), np.int32)
+        place[list(bags)] = np.arange(len(bags))
+        del bags
+        flat, ends, owner = array("i"), [0], []
+        for k, d in enumerate(docs):
             for lo in range(0, len(d), WINDOW):
-                passages.append(np.array(sorted(set(d[lo : lo + WINDOW])), np.int64))
+                flat.extend(sorted(set(d[lo : lo + WINDOW])))
+                ends.append(len(flat))
                 owner.append(k)
-        if not passages:
+        if not owner:
             return self
+        self._said, self._cuts = place[np.frombuffer(flat, np.int32)], np.array(ends)
+        del flat, ends
         owner_arr = np.array(owner)
         truth = labels[owner_arr]
         rng = np.random.default_rng(seed)
@@ -84,21 +94,25 @@ class Model:
         self.scale = (self.spread / (self.spread + SHRINK) * rare).astype(np.float32)
         rounds = warm + epochs
         for epoch in range(rounds):
-            active = np.arange(len(passages))
+            active = np.arange(len(owner))
             if epoch >= warm:
-                scores = self._scalar_scores(passages)
+                scores = self._scalar_scores()
                 order = np.lexsort((-scores, owner_arr))
                 active = order[np.unique(owner_arr[order], return_index=True)[1]]
             share = np.bincount(truth[active], minlength=2)
             weight = len(active) * np.array([0.65, 0.35]) / np.maximum(share, 1)
             size = int(np.clip(len(active) // 20, 16, batch))
             for at in np.array_split(rng.permutation(active), max(1, len(active) // size)):
-                self._step([passages[i] for i in at], truth[at], weight, rate * (1 - epoch / rounds))
+                self._step([self._said[self._cuts[i] : self._cuts[i + 1]] for i in at], truth[at], weight, rate * (1 - epoch / rounds))
         return self
 
-    def _scalar_scores(self, passages: list[np.ndarray]) -> np.ndarray:
+    def _scalar_scores(self, run: int = 20_000) -> np.ndarray:
         per_word = self._word_scalars()
-        return np.array([per_word[p].sum() / WINDOW for p in passages]) + float(self.bias[1] - self.bias[0])
+        out = []
+        for lo in range(0, len(self._cuts) - 1, run):
+            cuts = self._cuts[lo : lo + run + 1]
+            out.append(np.add.reduceat(per_word[self._said[cuts[0] : cuts[-1]]], cuts[:-1] - cuts[0]) / WINDOW)
+        return np.concatenate(out) + float(self.bias[1] - self.bias[0])
 
     def _word_scalars(self) -> np.ndarray:
         value = self.shrunk()[self._flat]
@@ -140,11 +154,12 @@ def held_out(id_col: str = "doc_id"):
     return F.crc32(F.col(id_col).cast("string")) % 5 == 0
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", most: int = MOST_OF_CLASS) -> tuple[list[list[str]], np.ndarray]:
-    """Words and labels of the bounded sample: by class, the labelled rows of the smallest hash that are not held out.
+def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", most: int = MOST_OF_CLASS) -> tuple[list[array], np.ndarray, list[str]]:
+    """The bounded sample: by class, the labelled rows of the smallest hash that are not held out. Their whole texts as
+    arrays of word numbers, their labels, and the words by number.
 
-    Only the sample's ids (at most 2 * ``most``) are broadcast; their texts come back as at most ``MOST_WORDS`` words
-    each, taken in runs of ``WINDOW`` spread over the whole text."""
+    Only the sample's ids (at most 2 * ``most``) are broadcast; the texts come to the driver in order, a partition at a
+    time, and stay there as four bytes a word."""
     known = labels.where(F.col(id_col).isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(id_col)).select(F.col(id_col).alias("id"), F.col("toxic").cast("int").alias("y"))
     order = [F.xxhash64("id"), "id", "y"]
     sample = known.where("y = 1").orderBy(*order).limit(most).unionByName(known.where("y = 0").orderBy(*order).limit(most))
@@ -152,40 +167,40 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", mo
 
     def make():
         def step(batch):
-            out = []
-            for t in texts(batch):
-                w = words(t)
-                runs = [w[i : i + WINDOW] for i in range(0, len(w), WINDOW)]
-                some = max(1, -(-len(runs) * WINDOW // MOST_WORDS))
-                out.append(" ".join(x for r in runs[::some] for x in r))
+            out = [" ".join(words(t)) for t in texts(batch)]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(out, pa.string()), batch.column("y")], names=["id", "words", "y"])
 
         return step
 
-    rows = arrow_map(found, ["id", "text", "y"], "id long, words string, y int", make).toArrow().to_pylist()
-    rows.sort(key=lambda r: (r["id"], r["y"], r["words"]))
-    return [r["words"].split() for r in rows], np.array([r["y"] for r in rows], np.int64)
+    sampled = materialise(arrow_map(found, ["id", "text", "y"], "id long, words string, y int", make), "sample")
+    vocab: dict[str, int] = {}
+    rows, y = [], []
+    for r in sampled.orderBy("id", "y", "words").toLocalIterator():
+        rows.append(coded(r["words"].split(), vocab))
+        y.append(r["y"])
+    return rows, np.array(y, np.int64), list(vocab)
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", most: int = MOST_OF_CLASS) -> tuple[np.ndarray, float]:
     """(number of each bucket, bias) of a trained model; without both classes every score is the one class seen."""
-    rows, y = training_rows(docs, labels, id_col, most)
+    rows, y, vocab = training_rows(docs, labels, id_col, most)
     if len(set(y.tolist())) < 2:
         return np.zeros(BUCKETS, np.float32), 20.0 if len(y) and y[0] == 1 else -20.0
-    return fit_rows(rows, y)
+    return fit_rows(rows, y, vocab)
 
 
-def fit_rows(rows: list[list[str]], y: np.ndarray) -> tuple[np.ndarray, float]:
-    """Model of labelled word lists: trained on most, then scaled and shifted by a logistic fit of the rest's scores."""
-    order = np.argsort([zlib.crc32(" ".join(r).encode()) for r in rows], kind="stable")
+def fit_rows(rows: list[array], y: np.ndarray, vocab: list[str]) -> tuple[np.ndarray, float]:
+    """Model of labelled rows: trained on most, then scaled and shifted by a logistic fit of the rest's scores, which
+    are those of whole texts by the windows of scoring."""
+    order = np.argsort([zlib.crc32(" ".join([vocab[w] for w in r]).encode()) for r in rows], kind="stable")
     own = np.arange(len(rows)) % CALIBRATE == 0
     held, used = order[own], order[~own]
     if min(np.bincount(y[held], minlength=2).min(), np.bincount(y[used], minlength=2).min()) < 3:
         held = used = order
-    model = Model().fit([rows[i] for i in used], y[used])
+    model = Model().fit([rows[i] for i in used], y[used], vocab)
     scalars = model.shrunk().astype(np.float32)
     scorer = Scorer(scalars, 0.0)
-    x = np.array([scorer.logit(rows[i]) for i in held])
+    x = np.array([scorer.logit([vocab[w] for w in rows[i]]) for i in held])
     a, b = _logistic_fit(x, y[held])
     return scalars * np.float32(a), b
 

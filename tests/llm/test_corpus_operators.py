@@ -77,6 +77,19 @@ def test_toxicity_never_learns_held_out_rows(spark, docs, labels):
     assert a[0] == b[0] and (a[1] == b[1]).all()
 
 
+def test_toxicity_trains_on_whole_texts(spark):
+    ids = [i for i in range(1, 40) if zlib.crc32(str(i).encode()) % 5][:2]
+    long_text = " ".join(f"w{k}" for k in range(20_000))
+    docs = spark.createDataFrame([(ids[0], long_text), (ids[1], "One word, and ONE more")], "doc_id long, text string")
+    rows, y, vocab = toxicity.training_rows(docs, spark.createDataFrame([(ids[0], 1), (ids[1], 0)], "doc_id long, toxic int"))
+    assert [" ".join(vocab[w] for w in r) for r in rows] == [long_text, "one word and one more"] and y.tolist() == [1, 0]
+
+
+def test_long_words_have_all_their_ngrams():
+    a, b = "x" * 30 + "idiot" + "x" * 30, "x" * 65
+    assert set(toxicity.bucket_ids("idiot")[2:4]) <= set(toxicity.bucket_ids(a)) and set(toxicity.bucket_ids(a)[1:]) != set(toxicity.bucket_ids(b)[1:])
+
+
 def test_toxicity_odd_rows(spark, odd, none, docs, labels):
     model = toxicity.fit(docs, labels)
     got = toxicity.score_documents(odd, model).collect()
