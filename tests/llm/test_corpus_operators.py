@@ -133,6 +133,38 @@ def test_audio_offsets_and_copies(spark):
     assert media.search(df.where("false"), "id").count() == 0
 
 
+def test_audio_search_finds_what_brute_force_finds(spark):
+    rng = np.random.default_rng(8)
+    fps = {}
+    for k in range(6):
+        base = rng.integers(0, 1 << 32, 30 + 3 * k, dtype=np.uint64).astype("<u4")
+        fps[100 * k] = base
+        for c, rate in enumerate((0.1, 0.17, 0.19, 0.24)):  # noisy copies, begun late
+            flips = np.packbits(rng.random((len(base), 32)) < rate, axis=1).view("<u4").ravel()
+            fps[100 * k + 1 + c] = (base ^ flips)[c:]
+    fps[700] = np.concatenate([fps[0][:8], fps[0][:8], fps[100]])  # a jingle twice before another recording
+    df = spark.createDataFrame([(i, bytearray(f.tobytes())) for i, f in fps.items()], "id long, fp binary")
+    got = {r["id"]: r for r in media.align(df, F.col("id") % 100 == 0).collect()}
+    found = 0
+    for i, a in fps.items():
+        best = {}
+        for q in (q for q in fps if q % 100 == 0):
+            at = [(e, -n, q, o) for o in range(-99, 99) for n, e in [media.bit_errors(a, fps[q], o)] if n >= media.LEAST_OVERLAP and e <= media.MOST_ERRORS]
+            best |= {q: min(at)} if at else {}
+        other = min((v for q, v in best.items() if q != i), default=None)
+        assert got[i]["n_links"] == len(best)
+        assert (got[i]["best_query"], got[i]["best_offset"]) == ((other[2], other[3]) if other else (None, None))
+        found += bool(other) and i % 100 > 0
+    assert found >= 14
+
+
+def test_audio_renders_every_note():
+    v = np.random.default_rng(9).normal(0, 0.13, 64)
+    w = v.copy()
+    w[62] += 0.1
+    assert len(media.decode_wav(media.render(v, 0))[0]) == 32 * 2 * media.HOP and media.render(v, 0) != media.render(w, 0)
+
+
 def test_audio_noise():
     t = np.random.default_rng(5).normal(0, 0.13, 64)
     clean, rate = media.decode_wav(media.render(t, 0))
