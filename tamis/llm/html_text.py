@@ -1,10 +1,12 @@
 """Main text of web pages by tree scoring.
 
 A small linear-time parser builds the tree (optional end tags, void and raw-text elements, unclosed markup). Elements
-whose tag, role or class names mark menus, headers, footers, sidebars, notices, adverts, forms or comments are pruned.
-Each paragraph passes points for its length and commas to its ancestors, in full to the parent and less to those above;
-a container's points are discounted by the share of its text inside links. The best container and those of its siblings
-that score well or hold a long paragraph with few links are the article; its blocks are joined in page order.
+whose tag, role or class names mark menus, headers, footers, sidebars, notices, adverts, forms or comments are pruned,
+unless they hold most of the page's text outside of links. Each paragraph passes points for its length and commas to its
+ancestors, in full to the parent and less to those above; a container's points are discounted by the share of its text
+inside links. The best container, or the ``article`` or ``main`` round it, is the article, with those of its siblings that
+are not mostly links and either score well or are plain blocks of text themselves; all blocks in them are joined in page
+order.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ from tamis.llm.common import arrow_map, texts
 _TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
 _BROKEN = re.compile(r"<(/?)([A-Za-z][^\s/>]*)([^>]*)(?:>|\Z)")
 _ATTRIBUTE = re.compile(r"""([A-Za-z_:][-\w:.]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+#: A noisy element with this share of the page's text outside of links is no noise.
+MOST_OF_PAGE = 0.6
 #: Names of elements and of their classes.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe template xmp svg".split())
@@ -29,6 +33,7 @@ BLOCK = frozenset(
     "tfoot th thead tr ul".split()
 )
 PRUNED = frozenset("nav footer aside form button select dialog menu head iframe object canvas fieldset input label audio video".split())
+HARD = frozenset("head select button menu iframe object canvas input label audio video".split())
 KEPT = frozenset("html body article main".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "option": {"select"}}
@@ -39,6 +44,10 @@ NOISE = frozenset(
     "notice notices alert popup modal overlay newsletter subscribe subscription signup login social share sharing related recommended "
     "recommendations widget pagination pager toolbar search skip hidden copyright legal disclaimer".split()
 )
+COMMENTS = frozenset("comment comments replies respond disqus sidebar share sharing social related newsletter ads".split())
+#: Containers of an article's own head.
+OWN = frozenset("article entry post story content page hentry".split())
+FLOW = frozenset("header p h1 h2 h3 h4 h5 h6 ul ol dl li pre blockquote table figure figcaption hgroup details".split())
 _CLOSES_P = BLOCK - {"option", "optgroup", "legend", "caption", "body", "html", "li", "dt", "dd", "td", "th", "tr", "tbody", "thead", "tfoot"} | {"li", "dt", "dd"}
 
 
@@ -56,6 +65,7 @@ class Node:
 def parse(html: str) -> Node:
     root = at = Node("#root", None)
     pos, n = 0, len(html)
+    opened: dict[str, int] = {}  # open elements by tag, so that an unmatched end tag costs no walk
     while pos < n:
         i = html.find("<", pos)
         if i < 0:
@@ -80,41 +90,73 @@ def parse(html: str) -> Node:
             continue
         pos, tag = m.end(), m[2].lower()
         if m[1]:
-            node = at
-            while node is not root and node.tag != tag:
-                node = node.above
-            if node is not root:
-                at = node.above
+            if opened.get(tag):
+                at = _leave(at, tag, opened)
             continue
         if tag in RAW:
             end = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(html, pos)
             pos = end.end() if end else n
             continue
         if tag in _CLOSES_P:
-            at = _close(at, root, {"p"}, BLOCK - {"p"})
+            at = _close(at, {"p"}, _NOT_P, opened)
         if tag in CLOSED_BY:
-            at = _close(at, root, CLOSED_BY[tag], SCOPES[tag])
+            at = _close(at, CLOSED_BY[tag], SCOPES[tag], opened)
         node = Node(tag, at, m[3])
         at.inside.append(node)
-        if tag not in VOID and not m[3].endswith("/"):
+        if tag not in VOID and (not m[3].endswith("/") or tag in BLOCK or tag in ("a", "b", "i", "em", "strong", "span")):
             at = node
-        elif m[3].endswith("/") and tag not in VOID:
-            at = node if tag in BLOCK or tag in ("a", "b", "i", "em", "strong", "span") else at
+            opened[tag] = opened.get(tag, 0) + 1
     return root
 
 
-def _close(at: Node, root: Node, tags: set[str], within) -> Node:
-    """The place after an open element of ``tags`` has been closed, looking no further up than ``within``."""
+def _leave(at: Node, tag: str, opened: dict[str, int]) -> Node:
+    """The place after the innermost open ``tag`` and all inside it have been closed; every element is left once."""
+    while True:
+        opened[at.tag] -= 1
+        at, last = at.above, at.tag
+        if last == tag:
+            return at
+
+
+def _close(at: Node, tags: set[str], within, opened: dict[str, int]) -> Node:
+    """The place after the innermost open element of ``tags`` has been closed, where none of ``within`` is open inside it."""
+    if not any(opened.get(t) for t in tags):
+        return at
     node = at
-    while node is not root and node.tag not in within:
+    while node.above is not None and node.tag not in within:
         if node.tag in tags:
-            return node.above
+            return _leave(at, node.tag, opened)
         node = node.above
-    if node is not root and node.tag in tags:
-        return node.above
+    if node.above is not None and node.tag in tags:
+        return _leave(at, node.tag, opened)
     return at
 
 
+_NOT_P = BLOCK - {"p"}
+
+
+def _noisy_name(value: str) -> bool:
+    """Whether a class or id names noise: it is a noise word, begins with one ("cookie-notice"), or ends with one that is a
+    place ("left-sidebar"). What follows "has", "with" or "no", or a word for the article, names its state or part."""
+    for name in value.split():
+        parts = [x for x in re.split(r"[^a-z]+", name) if x]
+        if not parts or parts[0] in ("has", "with", "no", "without", "not", "is"):
+            continue
+        if parts[0] in NOISE and not (len(parts) > 1 and parts[1] in ("free", "less", "none", "off")):
+            return True
+        if parts[-1] in NOISE and parts[0] not in OWN or parts[-1] in COMMENTS:
+            return True
+    return False
+
+
+def _is_own(node: Node) -> bool:
+    """Whether a class or id begins with a word for the article."""
+    return any(
+        m[1].lower() in ("class", "id") and any(re.match(r"[a-z]*", x)[0] in OWN for x in (m[2] or m[3] or m[4] or "").lower().split())
+        for m in _ATTRIBUTE.finditer(node.attributes)
+    )
+
+
 def _noise(node: Node) -> bool:
     tag = node.tag
     if tag in KEPT:
@@ -123,14 +165,14 @@ def _noise(node: Node) -> bool:
         return True
     if tag == "header":
         up = node.above
-        while up is not None and up.tag not in ("article", "main"):
+        while up is not None and up.tag not in ("article", "main") and not _is_own(up):
             up = up.above
         return up is None
     if not node.attributes:
         return False
     for m in _ATTRIBUTE.finditer(node.attributes):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if name in ("class", "id") and NOISE.intersection(re.split(r"[^a-z]+", value)):
+        if name in ("class", "id") and _noisy_name(value):
             return True
         if name == "role" and value in ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
             return True
@@ -141,18 +183,38 @@ def _noise(node: Node) -> bool:
 
 def _walk(root: Node) -> list[Node]:
     """Nodes in page order, pruned ones and what they hold left out."""
+    every, todo, articles = [], [root], 0
+    while todo:
+        node = todo.pop()
+        every.append(node)
+        articles += node.tag in ("article", "main")
+        todo.extend(x for x in reversed(node.inside) if not isinstance(x, str))
+    plain: dict[int, int] = {}
+    within: dict[int, int] = {}
+    for node in reversed(every):  # children come after their parents
+        inner = [x for x in node.inside if not isinstance(x, str)]
+        own = sum(len(x) - x.count(" ") - x.count("\n") for x in node.inside if isinstance(x, str))
+        plain[id(node)] = 0 if node.tag == "a" else own + sum(plain[id(x)] for x in inner)
+        within[id(node)] = (node.tag in ("article", "main")) + sum(within[id(x)] for x in inner)
+    least = MOST_OF_PAGE * max(1, plain[id(root)])
+
+    def goes(node: Node) -> bool:
+        if not _noise(node):
+            return False
+        whole = plain[id(node)] >= least and within[id(node)] == articles and node.tag not in HARD
+        return not whole or "comment" in node.attributes.lower()
+
     out, todo = [], [root]
     while todo:
         node = todo.pop()
-        node.inside = [x for x in node.inside if isinstance(x, str) or not _noise(x)]
+        node.inside = [x for x in node.inside if isinstance(x, str) or not goes(x)]
         out.append(node)
         todo.extend(x for x in reversed(node.inside) if not isinstance(x, str))
     return out
 
 
-def main_text(html: str) -> str:
-    root = parse(html)
-    nodes = _walk(root)
+def measure(nodes: list[Node]) -> None:
+    """Sets the letters, linked letters and points of nodes in page order."""
     commas = {}
     for node in reversed(nodes):  # children come after their parents
         own = c = bare = 0
@@ -171,44 +233,51 @@ def main_text(html: str) -> str:
         commas[id(node)] = c
         if node.tag == "a":
             node.linked = own
-    best, most = None, 0.0
     for node in nodes:
         if node.tag in BLOCK and node.tag not in KEPT and node.own >= 2:
-            own = node.own
-            points = (1 if node.tag == "p" else 0.5) + commas[id(node)] + min(own / 100, 5)
+            points = (1 if node.tag == "p" else 0.5) + commas[id(node)] + min(node.own / 100, 5)
             points *= 1 - node.linked / max(node.letters, 1)
             up, share = node.above, 1.0
-            while up is not None:
+            while up is not None and share > 0.1:
                 up.points += points * share
-                share = share / 2 if share > 0.2 else 0
-                if not share:
-                    break
+                share /= 2
                 up = up.above
     for node in nodes:
-        if node.tag == "#root":
-            continue
-        score = node.points * (1 - node.linked / max(node.letters, 1))
+        node.points *= 1 - node.linked / max(node.letters, 1)
         if node.tag in ("article", "main"):
-            score *= 1.5
-        node.points = score
-        if score > most:
-            best, most = node, score
-    if best is None:
-        return "\n".join(_blocks([root]))
-    up = best.above
-    while best.tag not in ("article", "main", "body", "html") and up is not None and up.tag in ("article", "main"):
-        best, up = up, up.above
-    chosen = [best]
-    if best.above is not None and best.tag not in ("body", "html"):
-        chosen = [x for x in best.above.inside if not isinstance(x, str) and (x is best or _joins(x, best))]
-    return "\n".join(_blocks(chosen))
+            node.points *= 1.5
+
+
+def main_text(html: str) -> str:
+    root = parse(html)
+    nodes = _walk(root)
+    measure(nodes)
+    return "\n".join(_blocks(chosen(nodes)))
+
+
+def chosen(nodes: list[Node]) -> list[Node]:
+    """The article's elements among measured nodes, the root first; of equal containers the first in page order."""
+    best = max(nodes[1:], key=lambda x: x.points, default=None)
+    if best is None or best.points <= 0:
+        return nodes[:1]
+    up = best
+    while up is not None and up.tag not in ("article", "main"):
+        up = up.above
+    best = up or best
+    if best.above is None or best.tag in ("body", "html"):
+        return [best]
+    return [x for x in best.above.inside if not isinstance(x, str) and (x is best or _joins(x, best))]
 
 
 def _joins(node: Node, best: Node) -> bool:
+    """Whether a sibling of the best container belongs to it: it has points of its own, or, where no ``article`` or
+    ``main`` marks the whole, it is a block of text; neither if it is mostly links."""
     density = node.linked / max(node.letters, 1)
-    if node.points >= max(5.0, 0.2 * best.points) and density < 0.3:
-        return True
-    return node.tag in ("p", "h1", "h2") and node.letters > (80 if node.tag == "p" else 0) and density < 0.25
+    if density >= 0.3:
+        return False
+    if best.tag in ("article", "main"):
+        return node.points >= max(5.0, 0.2 * best.points) or node.tag in ("p", "h1", "h2") and node.letters > (80 if node.tag == "p" else 0)
+    return node.tag in FLOW or node.points >= max(3.0, 0.1 * best.points) or any(not isinstance(x, str) and x.tag == "h1" for x in node.inside)
 
 
 def _blocks(chosen: list[Node]) -> list[str]:
@@ -244,7 +313,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -
     """Every page's id, ``url``, ``text`` and ``n_chars``.
 
     Defined cases: null or empty html, and pages without text, give an empty text; null ids and urls stay null; repeated
-    pages are each answered; very deep nesting is walked without recursion over the tree; an empty table gives no rows.
+    pages are each answered; pages of any length, deep nesting and unmatched tags are walked in linear time without
+    recursion over the tree; of containers that score alike (ties) the first wins; an empty table gives no rows.
     """
 
     def make():
