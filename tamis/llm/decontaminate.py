@@ -6,15 +6,16 @@ replacements of it (a fifth of its words at most). Words are lower-case runs of
 * The CGK embedding (Chakraborty, Goldenberg, Koucky, STOC 2016) walks along a window: at step t it emits the word it
   stands on, then moves on or stays by a random bit of (t, word). Near windows fall into step again after an edit, so
   edit distance becomes Hamming distance over the steps.
-* Bit sampling: each of ``REPEATS`` walks keeps ``SAMPLES`` steps as its key. An item-sized window becomes a candidate
-  when any key equals the item's; the repetitions bring recall to its target.
-* Windows: all that can hold an item. With k edits in n words, one of the k + 1 untouched runs has at least
-  (n - k) / (k + 1) >= 3 words while k <= (n - 3) / 4, so a window's diagonal shares three words in a row with its item;
-  other windows need no walk. This rules nothing out.
-* Candidates are verified exactly by Myers' bit-parallel algorithm, which also gives the passage's ends.
-
-The items are a stated query set: they go to the executors in blocks of ``BLOCK`` items, one pass over the documents
-each, so their size has a bound.
+* Bit sampling: each of ``REPEATS`` walks keeps ``SAMPLES`` steps as a key. An index of all items' keys is asked with the
+  keys of a document's item-sized windows; items of any equal key become candidates, and the repetitions bring recall to
+  its target. Items of more than ``PART`` words have windows of that size, every half of it, and each finds the whole item.
+* Windows that cannot hold an item need no walk: with k edits in n words, one of the k + 1 untouched runs has at least
+  (n - k) / (k + 1) >= 3 words while k <= (n - 3) / 4, so a window begins a known distance before three words in a row of
+  some item (all words of an item of one or two). This rules nothing out; which item a window may hold is for its keys to say.
+* Candidates are verified exactly, over the whole item, by Myers' bit-parallel algorithm, which also gives the passage's ends.
+
+The items are a stated query set: they go to the executors in broadcast blocks of at most ``BLOCK_BYTES`` of text or one
+item, one pass over the documents each, so that what is sent has a bound.
 """
 
 from __future__ import annotations
@@ -32,11 +33,11 @@ from tamis.llm.common import arrow_map, texts
 WORD = re.compile(r"\w+")
 REPEATS = 40
 SAMPLES = 2
-BLOCK = 20_000
-LEAST_WORDS = 5
-MOST_WORDS = 400
+BLOCK_BYTES = 8 << 20
+PART = 128
 _SEED = 3
 _BATCH = 4096
+_MASKS = 20_000
 
 
 def edits(n: int) -> int:
@@ -45,61 +46,66 @@ def edits(n: int) -> int:
 
 
 class Items:
-    """A block of benchmark items: word ids, three-word seeds and walk keys."""
+    """A block of benchmark items: word ids, their runs of words, and an index of walk keys."""
 
     def __init__(self, rows: list[tuple[int, str]]):
         self.vocab: dict[str, int] = {}
         self.ids, self.seqs = [], []
         for item, text in rows:
             found = [w.lower() for w in WORD.findall(text or "")]
-            for lo in range(0, len(found), MOST_WORDS):  # very long items are found by their parts
-                part = found[lo : lo + MOST_WORDS]
-                if len(part) >= LEAST_WORDS:
-                    self.ids.append(item)
-                    self.seqs.append(np.array([self.vocab.setdefault(w, len(self.vocab) + 1) for w in part], np.int64))
-        self.sizes = np.array([len(s) for s in self.seqs], np.int64)
+            if found:
+                self.ids.append(item)
+                self.seqs.append(np.array([self.vocab.setdefault(w, len(self.vocab) + 1) for w in found], np.int64))
         self.base = len(self.vocab) + 1
-        seeds = [(int(c), k, o) for k, s in enumerate(self.seqs) for o, c in enumerate(self.codes(s))]
-        seeds.sort()
-        self.seed_codes = np.array([s[0] for s in seeds], np.int64)
-        self.seed_item = np.array([s[1] for s in seeds], np.int64)
-        self.seed_at = np.array([s[2] for s in seeds], np.int64)
-        self.steps = 2 * int(self.sizes.max(initial=0))
-        self.keys = self._item_keys()
-        self.masks = [self._mask(s) for s in self.seqs]
-        self.back_masks = [self._mask(s[::-1]) for s in self.seqs]
-
-    def codes(self, ids: np.ndarray) -> np.ndarray:
-        """A number for each three words in a row; -1 where one is not a benchmark word."""
-        if len(ids) < 3:
-            return np.zeros(0, np.int64)
-        a, b, c = ids[:-2], ids[1:-1], ids[2:]
-        return np.where((a > 0) & (b > 0) & (c > 0), (a * self.base + b) * self.base + c, -1)
-
-    @staticmethod
-    def _mask(seq: np.ndarray) -> dict[int, int]:
-        out: dict[int, int] = {}
-        for i, w in enumerate(seq.tolist()):
-            out[w] = out.get(w, 0) | (1 << i)
+        self.sizes = np.array([len(s) for s in self.seqs], np.int64)
+        parts = [(k, at) for k, s in enumerate(self.seqs) for at in range(0, max(1, len(s) - PART // 2), PART // 2)]
+        self.part_item = np.array([p[0] for p in parts], np.int64)
+        self.part_at = np.array([p[1] for p in parts], np.int64)
+        self.part_size = np.minimum(self.sizes[self.part_item] - self.part_at, PART) if parts else np.zeros(0, np.int64)
+        grid = np.full((len(parts), int(self.part_size.max(initial=1))), -1, np.int64)
+        for p, (k, at) in enumerate(parts):
+            grid[p, : self.part_size[p]] = self.seqs[k][at : at + PART]
+        self.runs = self._runs(grid)
+        self.steps = 2 * int(self.part_size.max(initial=0))
+        keys = [self.walk_keys(grid, self.part_size, r) for r in range(REPEATS)]
+        self.order = [np.argsort(k, kind="stable") for k in keys]
+        self.keys = [k[o] for k, o in zip(keys, self.order, strict=True)]
+        self._masks: dict[tuple[int, bool], dict[int, int]] = {}
+
+    def codes(self, ids: np.ndarray, width: int) -> np.ndarray:
+        """A number for each ``width`` words in a row along the last axis; -1 where one is not a benchmark word."""
+        n = ids.shape[-1] - width + 1
+        if n <= 0:
+            return np.zeros((*ids.shape[:-1], 0), np.int64)
+        out, known = np.zeros((*ids.shape[:-1], n), np.int64), np.ones((*ids.shape[:-1], n), bool)
+        for i in range(width):
+            word = ids[..., i : i + n]
+            out, known = out * self.base + word, known & (word > 0)
+        return np.where(known, out, -1)
+
+    def _runs(self, grid: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """For one, two and three words in a row: their codes, sorted, with place in the part and the part's size."""
+        out = []
+        for width in (1, 2, 3):
+            own = self.part_size >= 3 if width == 3 else self.part_size == width
+            codes = self.codes(grid[own], width)
+            row, at = np.nonzero(codes >= 0)
+            every = np.unique(np.stack([codes[row, at], at, self.part_size[own][row]]), axis=1)
+            out.append((width, *every))
         return out
 
     def _bits(self, repeat: int) -> np.ndarray:
         """Random bits of (step, word) for one walk."""
-        rng = np.random.default_rng([_SEED, repeat])
-        return rng.integers(0, 2, (self.steps + 1, 257), dtype=np.int8)
-
-    def _samples(self, repeat: int, sizes: np.ndarray) -> np.ndarray:
-        """Sampled steps of one walk for items of each size, by row; a walk along n words lasts about 2 n steps."""
-        rng = np.random.default_rng([_SEED, repeat, 1])
-        share = rng.random(SAMPLES)
-        return (share[None, :] * 2 * sizes[:, None] * 0.95).astype(np.int64)
+        return np.random.default_rng([_SEED, repeat]).integers(0, 2, (self.steps + 1, 257), dtype=np.int8)
 
     def walk_keys(self, windows: np.ndarray, sizes: np.ndarray, repeat: int) -> np.ndarray:
-        """A key of each row of word ids (padded with -1) for one walk."""
+        """A key of each row of word ids (padded with -1), and of its size, for one walk; a walk along n words lasts about
+        2 n steps."""
         n, width = windows.shape
         at, row = np.zeros(n, np.int64), np.arange(n)
-        want = self._samples(repeat, sizes)
-        key = np.zeros(n, np.int64)
+        share = np.random.default_rng([_SEED, repeat, 1]).random(SAMPLES)
+        want = (share[None, :] * 2 * sizes[:, None] * 0.95).astype(np.int64)
+        key = sizes.copy()
         bits = self._bits(repeat)
         for t in range(int(want.max(initial=-1)) + 1):
             word = np.where(at < sizes, windows[row, np.minimum(at, width - 1)], -1)
@@ -108,48 +114,54 @@ class Items:
             at += bits[t, (word * 40503 >> 3) & 255]
         return key
 
-    def _item_keys(self) -> np.ndarray:
-        width = int(self.sizes.max(initial=1))
-        grid = np.full((len(self.seqs), width), -1, np.int64)
-        for k, s in enumerate(self.seqs):
-            grid[k, : len(s)] = s
-        return np.array([self.walk_keys(grid, self.sizes, r) for r in range(REPEATS)]).reshape(REPEATS, len(self.seqs))
-
     def windows(self, ids: np.ndarray) -> np.ndarray:
-        """Distinct (item, start) of the item-sized windows that share three words in a row with their item."""
-        codes = self.codes(ids)
-        lo = np.searchsorted(self.seed_codes, codes, side="left")
-        hit = np.flatnonzero((lo < len(self.seed_codes)) & (codes >= 0))
-        hit = hit[self.seed_codes[lo[hit]] == codes[hit]]
-        if not len(hit):
-            return np.zeros((0, 2), np.int64)
-        hi = np.searchsorted(self.seed_codes, codes[hit], side="right")
-        counts = hi - lo[hit]
-        where = np.repeat(hit, counts)
-        seed = np.repeat(lo[hit] - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
-        item = self.seed_item[seed]
-        start = np.maximum(where - self.seed_at[seed], 0)
-        return np.unique(np.stack([item, start], axis=1), axis=0)
+        """Distinct (start, size) of the windows that hold words in a row of some item at their place in it."""
+        out = []
+        for width, codes, place, size in self.runs:
+            if not len(codes):
+                continue
+            own = self.codes(ids, width)
+            lo = np.searchsorted(codes, own, side="left")
+            hit = np.flatnonzero((lo < len(codes)) & (own >= 0))
+            hit = hit[codes[lo[hit]] == own[hit]]
+            if len(hit):
+                counts = np.searchsorted(codes, own[hit], side="right") - lo[hit]
+                seed = np.repeat(lo[hit] - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
+                out.append(np.stack([np.maximum(np.repeat(hit, counts) - place[seed], 0), size[seed]], axis=1))
+        return np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
 
     def candidates(self, found: list[tuple[int, np.ndarray, np.ndarray]]) -> Iterator[tuple[int, int, int]]:
-        """(document, item, start) of the windows with a key of their item, in batches of one padded grid."""
-        flat = [(k, ids, int(i), int(s)) for k, ids, pairs in found for i, s in pairs]
-        for lo in range(0, len(flat), _BATCH):
-            some = flat[lo : lo + _BATCH]
-            item = np.array([x[2] for x in some])
-            sizes = self.sizes[item]
-            grid = np.full((len(some), int(sizes.max())), -1, np.int64)
-            for r, (_, ids, i, s) in enumerate(some):
-                part = ids[s : s + self.sizes[i]]
+        """Distinct (document, item, start of the item) of the windows that have a key of the item."""
+        doc = np.concatenate([np.zeros(0, np.int64), *(np.full(len(w), k) for k, _, w in found)])
+        which = np.concatenate([np.zeros(0, np.int64), *(np.full(len(w), i) for i, (_, _, w) in enumerate(found))])
+        every = np.concatenate([np.zeros((0, 2), np.int64), *(w for _, _, w in found)])
+        for lo in range(0, len(doc), _BATCH):
+            start, size = every[lo : lo + _BATCH].T
+            grid = np.full((len(start), int(size.max())), -1, np.int64)
+            for r, (i, a, n) in enumerate(zip(which[lo : lo + _BATCH].tolist(), start.tolist(), size.tolist(), strict=True)):
+                part = found[i][1][a : a + n]
                 grid[r, : len(part)] = part
-            left = np.arange(len(some))
+            met = []
             for repeat in range(REPEATS):
-                same = self.walk_keys(grid[left], sizes[left], repeat) == self.keys[repeat, item[left]]
-                for r in left[same]:
-                    yield some[r][0], some[r][2], some[r][3]
-                left = left[~same]
-                if not len(left):
-                    break
+                keys = self.walk_keys(grid, size, repeat)
+                first = np.searchsorted(self.keys[repeat], keys, side="left")
+                counts = np.searchsorted(self.keys[repeat], keys, side="right") - first
+                row = np.repeat(np.arange(len(keys)), counts)
+                place = np.repeat(first - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(len(row))
+                met.append(np.unique(np.stack([row, self.order[repeat][place]], axis=1), axis=0))
+            row, part = np.unique(np.concatenate(met), axis=0).T
+            got = np.stack([doc[lo + row], self.part_item[part], np.maximum(start[row] - self.part_at[part], 0)], axis=1)
+            yield from map(tuple, np.unique(got, axis=0).tolist())
+
+    def _mask(self, item: int, back: bool) -> dict[int, int]:
+        got = self._masks.get((item, back))
+        if got is None:
+            if len(self._masks) >= _MASKS:
+                self._masks.clear()
+            got = self._masks[item, back] = {}
+            for i, w in enumerate(self.seqs[item][:: -1 if back else 1].tolist()):
+                got[w] = got.get(w, 0) | (1 << i)
+        return got
 
     def verify(self, ids: np.ndarray, item: int, start: int) -> tuple[int, int, int] | None:
         """(distance, first word, past the last word) of the best passage near a window, or None beyond the limit."""
@@ -157,12 +169,26 @@ class Items:
         most = edits(n)
         lo, hi = max(0, start - most), min(len(ids), start + n + 2 * most)
         part = ids[lo:hi].tolist()
-        best, end = _search(self.masks[item], n, part, free=True)
+        best, end = _search(self._mask(item, False), n, part, free=True)
         if best > most:
             return None
-        _, back = _search(self.back_masks[item], n, part[:end][::-1], free=False, stop=best)
+        _, back = _search(self._mask(item, True), n, part[:end][::-1], free=False, stop=best)
         return best, lo + end - back, lo + end
 
+    def search(self, some: list[str]) -> Iterator[tuple[int, int, tuple[int, int, int]]]:
+        """(text, item, passage) of every candidate that holds."""
+        ids_of, found = {}, []
+        for k, text in enumerate(some):
+            got = np.fromiter((self.vocab.get(w, 0) for w in map(str.lower, WORD.findall(text))), np.int64)
+            windows = self.windows(got)
+            if len(windows):
+                ids_of[k] = got
+                found.append((k, got, windows))
+        for k, item, start in self.candidates(found):
+            held = self.verify(ids_of[k], item, start)
+            if held:
+                yield k, item, held
+
 
 def _search(mask: dict[int, int], m: int, text: list[int], free: bool, stop: int = -1) -> tuple[int, int]:
     """Least edit distance of a pattern to a run of ``text`` that ends at the returned place (Myers, JACM 1999);
@@ -191,28 +217,35 @@ def _search(mask: dict[int, int], m: int, text: list[int], free: bool, stop: int
     return best, end
 
 
-def _search_block(docs: DataFrame, block: list[tuple[int, str]], id_col: str, text_col: str) -> DataFrame:
+def blocks(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", most: int = BLOCK_BYTES) -> Iterator[Items]:
+    """The items with an id and a text, in blocks, as they come to the driver a partition at a time."""
+    rows = benchmark.where(F.col(item_col).isNotNull() & F.col(text_col).isNotNull())
+    some, size = [], 0
+    for item, text in rows.select(F.col(item_col).cast("long"), text_col).distinct().toLocalIterator():
+        if some and size + len(text) > most:
+            yield Items(some)
+            some, size = [], 0
+        some.append((item, text))
+        size += len(text)
+    yield Items(some)
+
+
+def _search_block(docs: DataFrame, block: Items, id_col: str, text_col: str) -> DataFrame:
+    sent = docs.sparkSession.sparkContext.broadcast(block)
+
     def make():
-        items = Items(block)
+        items = sent.value
 
         def step(batch):
-            out: list[tuple] = []
-            ids_of, found = {}, []
             old = texts(batch, text_col)
-            for k, text in enumerate(old):
-                got = np.fromiter((items.vocab.get(w, 0) for w in map(str.lower, WORD.findall(text))), np.int64)
-                pairs = items.windows(got) if len(items.seqs) else got[:0]
-                if len(pairs):
-                    ids_of[k] = got
-                    found.append((k, got, pairs))
             best: dict[tuple[int, int], tuple[int, int, int]] = {}
-            for k, item, start in items.candidates(found):
-                held = items.verify(ids_of[k], item, start)
+            for k, item, held in items.search(old):
                 key = (k, items.ids[item])
-                if held and (key not in best or held < best[key]):
+                if key not in best or held < best[key]:
                     best[key] = held
+            out: list[tuple] = []
             spans: dict[int, list] = {}
-            for (k, item), (distance, a, b) in sorted(best.items(), key=lambda x: (x[0][0], str(x[0][1]))):
+            for (k, item), (distance, a, b) in sorted(best.items()):
                 at = spans.setdefault(k, [m.span() for m in WORD.finditer(old[k])])
                 out.append((k, item, distance, at[a][0], at[b - 1][1]))
             rows = pa.array([r[0] for r in out], pa.int64())
@@ -227,49 +260,38 @@ def _search_block(docs: DataFrame, block: list[tuple[int, str]], id_col: str, te
     return arrow_map(docs, [id_col, text_col], f"`{id_col}` {kind}, item_id long, edits long, start long, end long", make)
 
 
-def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
+def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """A row for each document and item it holds: ids, word ``edits`` of the best passage and its ``start`` and ``end``
     in code points.
 
-    Defined cases: null and empty texts hold nothing; items with a null id or of fewer than ``LEAST_WORDS`` words match
-    nothing; repeated documents are each reported; a null document id is reported as null; items of more than
-    ``MOST_WORDS`` words are found by their parts; empty tables give no rows.
+    Defined cases: null and empty texts hold nothing; items without an id or without a word match nothing, items of one
+    word and of many thousands are found like others; repeated documents are each reported, repeated items (rows of one id)
+    once, by the better; a null document id is reported as null; of equally near passages (ties) the first is given; texts
+    of any length are searched whole; empty tables give no rows.
     """
-    items = benchmark.where(F.col(item_col).isNotNull()).select(F.col(item_col).cast("long").alias("i"), F.col("text").alias("t"))
-    rows = sorted({(r["i"], r["t"] or "") for r in items.toLocalIterator()})
     out = None
-    for lo in range(0, max(1, len(rows)), BLOCK):
-        part = _search_block(docs, rows[lo : lo + BLOCK], id_col, text_col)
+    for block in blocks(benchmark, item_col, most=block_bytes):
+        part = _search_block(docs, block, id_col, text_col)
         out = part if out is None else out.unionByName(part)
     return out
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` without the rows whose text holds a benchmark item; the decision is each row's own, so nothing is joined
     for the first block of items and later blocks filter what it left."""
-    items = benchmark.where(F.col("item_id").isNotNull()).select(F.col("item_id").cast("long").alias("i"), F.col("text").alias("t"))
-    rows = sorted({(r["i"], r["t"] or "") for r in items.toLocalIterator()})
-    for lo in range(0, len(rows), BLOCK):
-        docs = _filter_block(docs, rows[lo : lo + BLOCK], text_col)
+    for block in blocks(benchmark, most=block_bytes):
+        docs = _filter_block(docs, block, text_col)
     return docs
 
 
-def _filter_block(docs: DataFrame, block: list[tuple[int, str]], text_col: str) -> DataFrame:
+def _filter_block(docs: DataFrame, block: Items, text_col: str) -> DataFrame:
+    sent = docs.sparkSession.sparkContext.broadcast(block)
+
     def make():
-        items = Items(block)
+        items = sent.value
 
         def step(batch):
-            found, ids_of = [], {}
-            for k, text in enumerate(texts(batch, text_col)):
-                got = np.fromiter((items.vocab.get(w, 0) for w in map(str.lower, WORD.findall(text))), np.int64)
-                pairs = items.windows(got) if len(items.seqs) else got[:0]
-                if len(pairs):
-                    ids_of[k] = got
-                    found.append((k, got, pairs))
-            bad: set[int] = set()
-            for k, item, start in items.candidates(found):
-                if k not in bad and items.verify(ids_of[k], item, start):
-                    bad.add(k)
+            bad = {k for k, _, _ in items.search(texts(batch, text_col))}
             yield batch.filter(pa.array([k not in bad for k in range(batch.num_rows)], pa.bool_())) if bad else batch
 
         return step
