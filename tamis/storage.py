@@ -13,10 +13,15 @@ _own: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; a temporary folder stands in where it is unset, as in tests."""
-    at = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    """The folder that the driver and all executors see: ``spark.checkpoint.dir``.
+
+    Where the setting is absent a temporary folder of this application stands in, in local mode alone: elsewhere executors
+    would not see it."""
+    at = spark.conf.get("spark.checkpoint.dir", None)
     if at:
         return at.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own:
         _own[app] = tempfile.mkdtemp(prefix="tamis-")
@@ -24,8 +29,19 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{_own[app]}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written and read back: cuts its lineage and survives lost executors."""
-    path = f"{shared_dir(df.sparkSession)}/tamis-{df.sparkSession.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh path below the shared folder."""
+    return f"{shared_dir(spark)}/tamis-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialise(df: DataFrame, name: str, compression: str = "zstd", path: str | None = None) -> DataFrame:
+    """``df`` written once to the shared folder and read back, which cuts its lineage and survives lost executors."""
+    path = path or scratch(df.sparkSession, name)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes what was written to ``path``, once nothing reads it any more."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
