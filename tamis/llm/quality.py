@@ -3,8 +3,8 @@
 Each labeller votes good, bad or abstains on every whole text. Expectation-maximisation (Dawid and Skene, 1979) over the
 counts of vote patterns of all documents, at most 3 ** labellers of them, estimates each labeller's accuracy in either
 class and the share of good documents. The posterior of its pattern is a document's soft label; on a bounded sample of
-documents a logistic scorer over hashed features learns it: words, word shapes and binned statistics of the text. Every
-document is then scored.
+documents a logistic scorer over hashed features learns it: words, word shapes and binned statistics of the text, counted
+on the executors, so that the driver holds counts and no texts. Every document is then scored.
 """
 
 from __future__ import annotations
@@ -120,7 +120,7 @@ def label_model(counts: dict[int, int], rounds: int = 200) -> tuple[dict[int, fl
 
 def word_features(word: str) -> tuple[int, int]:
     """Buckets of a word and of its shape."""
-    shape = re.sub(r"[^\W\d_]+", lambda m: "A" if m[0].isupper() else "a", re.sub(r"\d+", "0", word))[:12]
+    shape = re.sub(r"[^\W\d_]+", lambda m: "A" if m[0].isupper() else "a", re.sub(r"\d+", "0", word))
     return zlib.crc32(word.lower().encode()) % BUCKETS, zlib.crc32(b"\x01" + shape.encode()) % BUCKETS
 
 
@@ -130,15 +130,18 @@ def text_features(s: tuple[float, ...]) -> list[int]:
     return [zlib.crc32(f"{k}={b}".encode()) % BUCKETS for k, b in enumerate(bins)]
 
 
-def fit_scorer(some: list[str], target: np.ndarray, epochs: int = 12, rate: float = 0.5, seed: int = 5) -> np.ndarray:
-    """Weights of the buckets; the last one is the bias."""
+def text_counts(text: str, s: tuple[float, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of a whole text, and their shares."""
+    words = text.split()
+    ids = [i for x in words for i in word_features(x)] + text_features(s) * max(1, len(words) // 9)
+    u, c = np.unique(np.array(ids, np.int64), return_counts=True)
+    return u, 3 * c / max(1, c.sum())
+
+
+def fit_scorer(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, epochs: int = 12, rate: float = 0.5, seed: int = 5) -> np.ndarray:
+    """Weights of the buckets, from rows of ``text_counts``; the last one is the bias."""
     w, seen = np.zeros(BUCKETS + 1), np.full(BUCKETS + 1, 1e-2)
-    rows = []
-    for text in some:
-        words = text.split()
-        ids = [i for x in words for i in word_features(x)] + text_features(statistics(text)) * max(1, len(words) // 9)
-        u, c = np.unique(np.array(ids, np.int64), return_counts=True)
-        rows.append((np.append(u, BUCKETS), np.append(3 * c / max(1, c.sum()), 1.0)))
+    rows = [(np.append(u, BUCKETS), np.append(c, 1.0)) for u, c in rows]
     rng = np.random.default_rng(seed)
     share = min(max(float(target.mean()), 0.02), 0.98) if len(target) else 0.5
     for _ in range(epochs):
@@ -189,17 +192,30 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: i
     counts = {r["p"]: r["count"] for r in arrow_map(narrow, ["text"], "p int", make).groupBy("p").count().collect()}  # at most 3 ** labellers
     posterior, _, _ = label_model(counts)
     ids = narrow.where("id IS NOT NULL").select("id").orderBy(F.xxhash64("id"), "id").limit(most).distinct()
-    sample = narrow.join(F.broadcast(ids), "id").orderBy(F.xxhash64("id"), F.xxhash64("text")).limit(most).toArrow().to_pylist()
-    some = [r["text"] or "" for r in sample]
-    target = np.array([posterior[pattern(votes(statistics(t)))] for t in some])
-    return fit_scorer(some, target)
+
+    def count():
+        def step(batch):
+            some = texts(batch)
+            stats = [statistics(t) for t in some]
+            got = [text_counts(t, s) for t, s in zip(some, stats, strict=True)]
+            u, c = pa.array([g[0] for g in got], pa.list_(pa.int32())), pa.array([g[1] for g in got], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("g"), pa.array([pattern(votes(s)) for s in stats], pa.int32()), u, c], names=["h", "g", "p", "u", "c"])
+
+        return step
+
+    own = narrow.join(F.broadcast(ids), "id").select("text", F.xxhash64("id").alias("h"), F.xxhash64("text").alias("g"))
+    counted = arrow_map(own, ["text", "h", "g"], "h long, g long, p int, u array<int>, c array<double>", count)
+    sample = counted.orderBy("h", "g").limit(most).select("p", "u", "c").toArrow()
+    rows = [(u.values.to_numpy().astype(np.int64), c.values.to_numpy()) for u, c in zip(sample.column("u"), sample.column("c"), strict=True)]
+    return fit_scorer(rows, np.array([posterior[p] for p in sample.column("p").to_pylist()]))
 
 
 def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = MOST_DOCUMENTS) -> DataFrame:
     """Every row's id, ``score`` (0 to 1, higher is better) and ``predicted`` (1 from 0.5 up).
 
     Defined cases: a text without words (null, empty, white space) scores 0; null ids are scored and never in the sample;
-    repeated rows are scored each; an empty table gives no rows; other columns are left aside.
+    repeated rows are scored each; texts of any length are taken whole; ties among the sample's ids go by their hash, then
+    id, and a pattern with even odds (a tie) teaches one half; an empty table gives no rows; other columns are left aside.
     """
     sent = docs.sparkSession.sparkContext.broadcast(fit(docs, id_col, text_col, most).astype(np.float32))  # a fixed size
 
