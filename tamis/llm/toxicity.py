@@ -172,7 +172,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", mo
 
         return step
 
-    sampled = materialise(arrow_map(found, ["id", "text", "y"], "id long, words string, y int", make), "sample")
+    kind = docs.schema[id_col].dataType.simpleString()
+    sampled = materialise(arrow_map(found, ["id", "text", "y"], f"id {kind}, words string, y int", make), "sample")
     vocab: dict[str, int] = {}
     rows, y = [], []
     for r in sampled.orderBy("id", "y", "words").toLocalIterator():
@@ -274,7 +275,8 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", most: i
 
     Defined cases: a text without a word (null, empty, signs alone) scores as the bias alone does; a null id scores and
     is not held out; labels with a null id, or other than 0 and 1, teach nothing; with labels of one class, or none,
-    every score is near that class (near 0 without any); repeated rows are scored each; an empty table gives no rows.
+    every score is near that class (near 0 without any); repeated rows are scored each; texts of any length are taken
+    whole; a score of exactly 0.5 (a tie) is predicted 1; an empty table gives no rows.
     """
     scored = score_documents(docs, fit(docs, labels, id_col, most), id_col)
     return scored.select(id_col, F.coalesce(held_out(id_col), F.lit(False)).alias("held_out"), "score", F.expr("int(score >= 0.5)").alias("predicted"))
