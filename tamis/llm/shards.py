@@ -123,10 +123,11 @@ def write_shards(
             base[pid] = (total, n, crc)
             total += n
         shards = -(-total // per_shard)
+        sent = spark.sparkContext.broadcast(base)  # three numbers for each input partition
 
         def place(batches):
             pid = TaskContext.get().partitionId()
-            first, n, crc = base[pid]
+            first, n, crc = sent.value[pid]
             at = got = 0
             rows: list[bytes] = []
 
