@@ -14,7 +14,7 @@ from tamis import oracle as sql
 from tamis.config import Config
 from tamis.functions import image
 from tamis.functions.vectors import cosine, normalised, scale
-from tamis.operators import dedup, folds, scoring, select, strata
+from tamis.operators import folds, scoring, select, similarity, strata
 from tamis.plans import curate
 from tamis.sources import frames
 
@@ -200,7 +200,7 @@ def select_fill(spark, d):
 
 
 @_query(_with(*_FINAL, f"SELECT video_id, idx, phase, final_ord, {_rs('ml_score')} FROM final"))
-def post_dedup_fill(spark, d):
+def fill_after_duplicates(spark, d):
     return _final(spark, d).select("video_id", "idx", "phase", F.col("final_ord").cast("long").alias("final_ord"), *_r("ml_score"))
 
 
@@ -215,7 +215,7 @@ def _vectors(spark: SparkSession, d: str) -> DataFrame:
 
 @_query(_with(_VECTORS, "SELECT a.ord AS a, b.ord AS b, round(list_dot_product(a.unit, b.unit), 6) AS cos FROM nodes a JOIN nodes b ON a.ord < b.ord AND list_dot_product(a.unit, b.unit) > 0.30"))
 def cosine_pairs(spark, d):
-    return dedup.similar_pairs(_vectors(spark, d), 0.30).select("a", "b", *_r("cos"))
+    return similarity.similar_pairs(_vectors(spark, d), 0.30).select("a", "b", *_r("cos"))
 
 
 @_query(
@@ -232,8 +232,8 @@ def adjacent_cosine(spark, d):
 
 
 @_query(_with(_VECTORS, sql.greedy("nodes", 0.35), "SELECT ord FROM kept"))
-def greedy_dedup(spark, d):
-    return dedup.greedy_keep(_vectors(spark, d), 0.35).select("ord")
+def greedy_keep(spark, d):
+    return similarity.greedy_keep(_vectors(spark, d), 0.35).select("ord")
 
 
 @_query(
@@ -246,17 +246,17 @@ SELECT video_id, round(CASE WHEN n < 3 THEN 0.1::DOUBLE ELSE greatest(0.02::DOUB
 )
 def auto_eps(spark, d):
     nodes = frames.light_view(spark, d).select("video_id", F.col("idx").alias("ord"), "embed")
-    return dedup.auto_eps(nodes, high=0.95).select("video_id", F.round("eps", 4).alias("eps"))
+    return similarity.auto_eps(nodes, high=0.95).select("video_id", F.round("eps", 4).alias("eps"))
 
 
 @_query(_with(_VECTORS, sql.reach("nodes", 0.65), "SELECT ord, label FROM labels"))
 def dbscan_components(spark, d):
-    return dedup.dbscan(_vectors(spark, d), 0.65).select("ord", "label")
+    return similarity.dbscan(_vectors(spark, d), 0.65).select("ord", "label")
 
 
 @_query(_with(_VECTORS, sql.reach("nodes", 0.65, 3), "SELECT ord, label FROM labels"))
 def dbscan_core(spark, d):
-    return dedup.dbscan(_vectors(spark, d), 0.65, 3).select("ord", "label")
+    return similarity.dbscan(_vectors(spark, d), 0.65, 3).select("ord", "label")
 
 
 _CLUSTERS = (*_BINNED, sql.top_fraction(0.5), sql.CLUSTER_NODES, sql.reach("nodes", CFG.eps), sql.CLUSTER_KEPT)

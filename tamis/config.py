@@ -19,7 +19,7 @@ AXES: dict[str, tuple[str, str]] = {
     "lighting": ("bright", "dark"),
 }
 #: Defaults that a run uses where neither caller nor file sets a parameter (or sets it to zero).
-RUN_DEFAULTS = {"stride": 1, "min_sharpness": 80.0, "min_contrast": 20.0, "novelty_threshold": 0.3, "target_size": None, "dedup_method": "greedy"}
+RUN_DEFAULTS = {"stride": 1, "min_sharpness": 80.0, "min_contrast": 20.0, "novelty_threshold": 0.3, "target_size": None, "duplicates_method": "greedy"}
 
 
 @dataclass(frozen=True)
@@ -43,7 +43,7 @@ class Config:
     high_quality: float = 0.95
     selection_ratio: float = 0.25
     cosine_threshold: float = 0.85
-    dedup_method: str = "greedy"
+    duplicates_method: str = "greedy"
     eps: float | None = None
     min_samples: int = 1
     min_sharpness: float = 80.0
@@ -104,7 +104,7 @@ def from_settings(raw: dict) -> Config:
         high_quality=at("selection.high_quality_threshold", 0.95),
         selection_ratio=at("selection.threshold_selection_ratio", 0.25),
         cosine_threshold=at("deduplication.cosine_threshold", 0.85),
-        dedup_method=str(at("deduplication.method", "greedy") or "greedy").lower(),
+        duplicates_method=str(at("deduplication.method", "greedy") or "greedy").lower(),
         eps=at("deduplication.eps", None),
         min_samples=at("deduplication.min_samples", 1) or 1,
         min_sharpness=at("defaults.min_sharpness", 80.0) or 80.0,

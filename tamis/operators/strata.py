@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tamis.config import Config
+from tamis.operators.quantile import exact_quantile
 
 EPSILON = 1e-12
 
@@ -15,9 +16,9 @@ EPSILON = 1e-12
 def assign_strata(frames: DataFrame, cfg: Config) -> DataFrame:
     """Adds altitude, view, cover and lighting. The altitude threshold is the exact, linearly interpolated quantile of
     ``hf_energy`` as 32-bit floats over the collection; energies compare as doubles."""
-    cut = frames.groupBy("video_id").agg(F.percentile(F.col("hf_energy").cast("float"), cfg.altitude_quantile).alias("hf_cut"))
+    cut = exact_quantile(frames.select("video_id", F.col("hf_energy").cast("float").alias("hf")), "video_id", "hf", cfg.altitude_quantile, "hf_cut")
     return (
-        frames.join(cut, "video_id")
+        frames.join(cut, "video_id", "left")
         .withColumn("altitude", F.when(F.col("hf_energy") >= F.col("hf_cut"), "low").otherwise("high"))
         .withColumn("view", F.when(F.col("view_entropy") >= cfg.view_entropy, "nadir").otherwise("oblique"))
         .withColumn("cover", F.when(F.col("green_cover") >= cfg.cover_ratio, "dense").otherwise("sparse"))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamis.config import Config
-from tamis.operators import dedup, scoring, select, strata
+from tamis.operators import scoring, select, similarity, strata
 from tamis.operators.folds import score_frames
 from tamis.storage import materialise
 
@@ -26,16 +26,16 @@ def without_duplicates(chosen: DataFrame, cfg: Config, method: str | None = None
     """Survivors of greedy selection, or the best of each density cluster (only the method "dbscan" clusters)."""
     from pyspark.sql import Window
 
-    if (method or cfg.dedup_method or "greedy").lower() == "dbscan":
+    if (method or cfg.duplicates_method or "greedy").lower() == "dbscan":
         nodes = chosen.select("video_id", F.col("prelim_ord").alias("ord"), "embed", "ml_score")
-        eps = dedup.auto_eps(nodes) if cfg.eps is None else cfg.eps
-        labelled = dedup.dbscan(nodes, eps, cfg.min_samples)
-        best = dedup.representatives(labelled.join(nodes.drop("embed"), ["video_id", "ord"]))
+        eps = similarity.auto_eps(nodes) if cfg.eps is None else cfg.eps
+        labelled = similarity.dbscan(nodes, eps, cfg.min_samples)
+        best = similarity.representatives(labelled.join(nodes.drop("embed"), ["video_id", "ord"]))
         kept = best.select("video_id", F.col("ord").alias("prelim_ord"))
     else:
         order = Window.partitionBy("video_id").orderBy(F.desc("ml_score"), "prelim_ord")
         nodes = chosen.withColumn("ord", F.row_number().over(order)).select("video_id", "ord", "prelim_ord", "embed")
-        kept = dedup.greedy_keep(nodes, cfg.cosine_threshold).join(nodes.select("video_id", "ord", "prelim_ord"), ["video_id", "ord"]).select("video_id", "prelim_ord")
+        kept = similarity.greedy_keep(nodes, cfg.cosine_threshold).join(nodes.select("video_id", "ord", "prelim_ord"), ["video_id", "ord"]).select("video_id", "prelim_ord")
     return chosen.join(kept, ["video_id", "prelim_ord"], "left_semi")
 
 

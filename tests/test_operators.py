@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tamis import config
 from tamis.config import Config
 from tamis.functions import image
-from tamis.operators import dedup, folds, scoring, select, strata
+from tamis.operators import folds, quantile, scoring, select, similarity, strata
 from tamis.plans import curate
 from tamis.sources import frames
 
@@ -118,7 +118,7 @@ def test_greedy_and_clusters(spark):
     for i in range(300):
         if all(unit[i] @ unit[j] <= 0.7 for j in kept):
             kept.append(i)
-    assert sorted(r["ord"] - 1 for r in dedup.greedy_keep(nodes, 0.7).collect()) == kept
+    assert sorted(r["ord"] - 1 for r in similarity.greedy_keep(nodes, 0.7).collect()) == kept
     near = unit @ unit.T >= 1 - 0.15 - 1e-12
     core = [i for i in range(300) if near[i].sum() >= 4]
     label, seen = dict.fromkeys(range(300), -1), set()
@@ -136,33 +136,71 @@ def test_greedy_and_clusters(spark):
     for i in range(300):
         if i not in seen:
             label[i] = min((label[j] for j in core if near[i, j]), default=-1)
-    got = {r["ord"] - 1: r["label"] for r in dedup.dbscan(nodes, 0.15, 4).collect()}
+    got = {r["ord"] - 1: r["label"] for r in similarity.dbscan(nodes, 0.15, 4).collect()}
     assert got == label
 
 
 def test_blocks_meet(spark, monkeypatch):
-    monkeypatch.setattr(dedup, "BLOCK", 7)
+    monkeypatch.setattr(similarity, "BLOCK", 7)
     rng = np.random.default_rng(1)
     unit = rng.normal(size=(40, 4))
     unit /= np.linalg.norm(unit, axis=1, keepdims=True)
     nodes = spark.createDataFrame([("v", i + 1, r.tolist()) for i, r in enumerate(unit)], "video_id string, ord long, embed array<double>")
     want = {(i + 1, j + 1) for i in range(40) for j in range(i + 1, 40) if unit[i] @ unit[j] > 0.5}
-    got = [(r["a"], r["b"]) for r in dedup.similar_pairs(nodes, 0.5).collect()]
+    got = [(r["a"], r["b"]) for r in similarity.similar_pairs(nodes, 0.5).collect()]
     assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_cells_lose_no_pair(spark, monkeypatch):
+    """Tight clusters, strangers, opposite, zero and tiny vectors, over many cells and collections."""
+    monkeypatch.setattr(similarity, "BLOCK", 5)
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(12, 8))
+    rows = [centres[k % 12] + 0.2 * rng.normal(size=8) for k in range(110)] + [-centres[0], np.zeros(8), np.full(8, 1e-9), centres[0], centres[0]]
+    nodes = [(f"v{k % 2}", k // 2 + 1, np.asarray(r).tolist()) for k, r in enumerate(rows)]
+    df = spark.createDataFrame(nodes, "video_id string, ord long, embed array<double>")
+    unit = {(v, o): np.array(r) / (np.linalg.norm(r) + 1e-9) for v, o, r in nodes}
+    for threshold in (0.95, 0.5, -0.2):
+        want = {(v, a, b) for v, a in unit for w, b in unit if v == w and a < b and unit[v, a] @ unit[v, b] > threshold}
+        got = [(r["video_id"], r["a"], r["b"]) for r in similarity.similar_pairs(df, threshold).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+    assert similarity.similar_pairs(df.where("false"), 0.5).count() == 0
+
+
+def test_long_chains(spark, monkeypatch):
+    """Each frame like the next one alone, over several runs of ranks, and a star across them."""
+    n = 5000
+    edges = [("v", i, i + 1, 1.0) for i in range(1, n)] + [("w", 1, i, 1.0) for i in range(2, 3000)]
+    monkeypatch.setattr(similarity, "similar_pairs", lambda *a, **k: spark.createDataFrame(edges, "video_id string, a long, b long, cos double"))
+    nodes = spark.createDataFrame([("v", i, [1.0]) for i in range(1, n + 1)] + [("w", i, [1.0]) for i in range(1, 3001)], "video_id string, ord long, embed array<double>")
+    got = {(r["video_id"], r["ord"]) for r in similarity.greedy_keep(nodes, 0.5, ranks=2000).collect()}
+    assert got == {("v", i) for i in range(1, n + 1, 2)} | {("w", 1), ("w", 3000)}
+    labels = similarity.components(spark.createDataFrame(edges, "video_id string, a long, b long, cos double"), nodes)
+    assert {tuple(r) for r in labels.groupBy("video_id", "root").count().collect()} == {("v", 1, n), ("w", 1, 2999), ("w", 3000, 1)}
+
+
+def test_quantiles_by_rank(spark):
+    rng = np.random.default_rng(6)
+    rows = [(f"k{k}", float(x)) for k, n in enumerate((1, 2, 3, 50, 400)) for x in np.round(rng.normal(size=n), 1)] + [("hot", 1.0)] * 500 + [("hot", 2.0), ("none", None)]
+    df = spark.createDataFrame(rows, "k string, x double")
+    for q in (0.0, 0.25, 0.5, 0.9, 1.0):
+        got = {r["k"]: r["m"] for r in quantile.exact_quantile(df, "k", "x", q, "m").collect()}
+        want = {k: np.quantile([x for a, x in rows if a == k], q) for k in {a for a, x in rows if x is not None}}
+        assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in want)
+
+
 def test_noise_is_one_cluster(spark):
     rows = [("v", i + 1, v, 0.5 + i / 10) for i, v in enumerate(np.eye(4).tolist())]
     nodes = spark.createDataFrame(rows, "video_id string, ord long, embed array<double>, ml_score double")
-    labels = dedup.dbscan(nodes, 0.1, 3)
-    best = dedup.representatives(labels.join(nodes, ["video_id", "ord"])).collect()
+    labels = similarity.dbscan(nodes, 0.1, 3)
+    best = similarity.representatives(labels.join(nodes, ["video_id", "ord"])).collect()
     assert [(r["ord"], r["label"]) for r in best] == [(4, -1)]
 
 
 def test_auto_eps(spark):
     def eps(vectors):
         nodes = spark.createDataFrame([("v", i, v) for i, v in enumerate(vectors)], "video_id string, ord long, embed array<double>")
-        return round(dedup.auto_eps(nodes).first()["eps"], 6)
+        return round(similarity.auto_eps(nodes).first()["eps"], 6)
 
     assert eps([[1.0, 0.0], [0.0, 1.0]]) == 0.1
     assert eps([[1.0, 0.0]] * 5) == 0.02
