@@ -1,47 +1,20 @@
-"""What the corpus operators share: shared-folder tables, Arrow mapping and connected components."""
+"""What the corpus operators share: Arrow mapping and key filters, besides the library's storage and components."""
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tamis.operators.graph import connected_components
 from tamis.session import reach
+from tamis.storage import materialise, scratch
 
-_own_dirs: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see: ``spark.checkpoint.dir``.
-
-    Where the setting is absent (tests in local mode) a temporary folder of this application stands in.
-    """
-    at = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if at:
-        return at.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _own_dirs:
-        _own_dirs[app] = tempfile.mkdtemp(prefix="tamis-")
-        atexit.register(shutil.rmtree, _own_dirs[app], ignore_errors=True)
-    return f"file://{_own_dirs[app]}"
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/tamis-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def materialise(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
-    """``df`` written once to the shared folder and read back, which cuts its lineage and survives lost executors."""
-    path = scratch(df.sparkSession, name)
-    df.write.option("compression", compression).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+__all__ = ["KeyFilter", "arrow_map", "batches_of", "connected_components", "materialise", "scratch", "slices", "table", "texts", "utf8"]
 
 
 def arrow_map(df: DataFrame, columns: list, schema, make: Callable[[], Callable[[pa.RecordBatch], Iterator]]) -> DataFrame:
@@ -58,6 +31,18 @@ def arrow_map(df: DataFrame, columns: list, schema, make: Callable[[], Callable[
     return df.select(*named).mapInArrow(run, schema)
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """While it lasts, jobs hand Python at most so many rows at once, for columns of large values."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def slices(batch: pa.RecordBatch, rows: int = 512, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in runs of at most ``rows`` rows, fewer where their bytes pass ``most``; no row is split or lost."""
     n = batch.num_rows
@@ -80,49 +65,35 @@ def utf8(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     return [t or b"" for t in batch.column(name).cast(pa.large_binary()).to_pylist()]
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+class KeyFilter:
+    """A set of keys as hashed bits of a fixed number, so its size has a bound however many keys there are. Absent keys
+    may pass, present ones always do; a full filter lets every key through, which costs a shuffle and changes no result."""
+
+    def __init__(self, words: np.ndarray, bits: int):
+        self.words, self.bits = words, bits
+
+    @classmethod
+    def of(cls, keys: DataFrame, n: int) -> KeyFilter:
+        """Of some ``n`` non-negative ``keys(key)``: two places for each among sixteen bits, 2 ** 27 (16 MB) at most."""
+        bits = min(27, max(20, (16 * n).bit_length()))
+        places = [f"shiftright(((key & 2147483647) * {a}L) ^ (shiftright(key, 31) * {b}L), {s}) & {(1 << bits) - 1}L" for a, b, s in _MIX]
+        words = keys.select(F.explode(F.array(*map(F.expr, places))).alias("at")).groupBy(F.expr("shiftright(at, 6)").alias("w")).agg(F.expr("bit_or(shiftleft(1L, int(at & 63)))").alias("b"))
+        got = words.toArrow()  # at most 2 ** (bits - 6) rows
+        out = np.zeros(1 << (bits - 6), np.int64)
+        out[got.column("w").to_numpy()] = got.column("b").to_numpy()
+        return cls(out, bits)
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        low, high, out = keys & 0x7FFFFFFF, keys >> 31, True
+        for a, b, s in _MIX:
+            at = ((low * a ^ high * b) >> s) & ((1 << self.bits) - 1)
+            out = out & ((self.words[at >> 6] >> (at & 63)) & 1 == 1)
+        return out
 
 
-def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """(node, root) for every node of ``edges(a, b)``; root is the smallest node that it can reach.
-
-    Alternating large-star and small-star contractions (Kiveris et al., SoCC 2014). Each round is two aggregations
-    and two joins over edges that never grow in number, written to the shared folder; a node with very many
-    neighbours costs a split join, not one task. The driver sees two numbers a round.
-    """
-    spark = edges.sparkSession
-    now = (
-        edges.where("a <> b")
-        .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        .distinct()
-    )
-    now = materialise(now, "cc")
-    seen = None
-    for _ in range(most_rounds):
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        large = materialise(large, "cc")
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        met = large.join(low, "u")
-        small = (
-            met.select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .unionByName(low.select("u", F.col("m").alias("v")))
-            .where("u <> v")
-            .distinct()
-        )
-        watch = Observation()
-        small = small.observe(watch, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").bitwiseAND((1 << 30) - 1)).alias("h"))
-        path = scratch(spark, "cc")
-        small.write.parquet(path)
-        now = spark.read.schema(small.schema).parquet(path)
-        got = (watch.get["n"], watch.get["h"])
-        if got == seen:
-            break
-        seen = got
-    else:
-        raise RuntimeError("connected components did not converge")
-    return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
-        now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
-    )
+#: Multipliers of a key's lower 31 and other bits, and the shift of their mixture, for either place.
+_MIX = ((0x9E3779B1, 0x85EBCA77, 7), (0xC2B2AE35, 0x27D4EB2F, 4))
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -35,7 +35,7 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"))
 
 
-def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+def op7_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
@@ -52,7 +52,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_audio_fingerprints, op3_warc_zip, op4_html_extraction, op5_pii, op6_quality_classifier, op7_simhash_near_dedup, op8_benchmark_decontamination, op9_token_shards, op10_best_fit_packing)}
+    return {f.__name__: f for f in (op1_toxicity, op2_audio_fingerprints, op3_warc_zip, op4_html_extraction, op5_pii, op6_quality_classifier, op7_simhash_near_duplicates, op8_benchmark_decontamination, op9_token_shards, op10_best_fit_packing)}
 
 
 #: Five bits of the hexadecimal SHA-1 make a base32 digit.

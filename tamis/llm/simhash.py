@@ -12,7 +12,8 @@ fingerprints link at 4 or fewer differing bits. Candidates come from the perfect
 
 A key has 33 or 34 bits, so chance meetings stay rare at any size. Keys that meet are resolved without listing the
 pairs of a group: each member is compared with the smallest and the largest fingerprint of its key, linked members
-become components, and only members of one key that are still apart are joined, their distance being part of the join.
+become components. Members of one key that are still apart are dealt by a fifth of the bits that vary within their key,
+five times: two that differ in 4 or fewer bits share one of these, so no hot key is joined with itself whole.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tamis.llm.common import arrow_map, connected_components, materialise, utf8
+from tamis.llm.common import KeyFilter, arrow_map, connected_components, materialise, utf8
 
 SHINGLE_WORDS = 4
 SEED = 42
@@ -34,8 +35,6 @@ MAX_BITS = 4
 #: generates the Golay code.
 SEGMENTS = (22, 21, 21)
 GENERATOR = 0b101011100011
-#: Of the filter that spares keys met by fewer than three fingerprints a second shuffle: 1 MB.
-FILTER_BITS = 23
 _PIECE = 1 << 16
 
 
@@ -132,18 +131,18 @@ def golay_keys(fp: np.ndarray, code: Golay) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(keys)
 
 
-def fingerprint_keys(fps: DataFrame, within: np.ndarray | None = None) -> DataFrame:
+def fingerprint_keys(fps: DataFrame, within: KeyFilter | None = None) -> DataFrame:
     """(key, fp) rows for distinct fingerprints; ``within`` leaves out keys that its bits rule out."""
+    sent = fps.sparkSession.sparkContext.broadcast(within)  # of a bounded size
 
     def make():
-        code = Golay()
+        code, known = Golay(), sent.value
 
         def step(batch):
             fp = batch.column("fp").to_numpy(zero_copy_only=False)
             rows, keys = golay_keys(fp.view(np.uint64), code)
-            if within is not None:
-                at = _mix(keys)
-                kept = (within[at >> 6] >> (at & 63)) & 1 == 1
+            if known is not None:
+                kept = known.has(keys)
                 rows, keys = rows[kept], keys[kept]
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(fp[rows])], names=["key", "fp"])
 
@@ -152,37 +151,46 @@ def fingerprint_keys(fps: DataFrame, within: np.ndarray | None = None) -> DataFr
     return arrow_map(fps, ["fp"], "key long, fp long", make)
 
 
-def _mix(keys: np.ndarray) -> np.ndarray:
-    return (((keys & 0x7FFFFFFF) * 0x9E3779B1 ^ (keys >> 31) * 0x85EBCA77) >> 7) & ((1 << FILTER_BITS) - 1)
+def _close(a: str, b: str, bits: int):
+    return F.expr(f"bit_count({a} ^ {b}) <= {bits}")
 
 
-def key_filter(keys: DataFrame) -> np.ndarray:
-    """A set of keys as ``1 << FILTER_BITS`` hashed bits: a fixed size, however many keys there are. Absent keys may
-    pass, present ones always do."""
-    mixed = "(((key & 2147483647) * 2654435761L) ^ (shiftright(key, 31) * 2246822519L))"
-    at = F.expr(f"shiftright({mixed}, 7) & {(1 << FILTER_BITS) - 1}L")
-    words = keys.select(at.alias("at")).groupBy(F.expr("shiftright(at, 6)").alias("w")).agg(F.expr("bit_or(shiftleft(1L, int(at & 63)))").alias("b"))
-    got = words.toPandas()
-    out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    out[got["w"].to_numpy(np.int64)] = got["b"].to_numpy(np.int64)
-    return out
+def by_varying_bits(members: DataFrame) -> DataFrame:
+    """(key, fifth, part, fp, label): each of ``members(key, fp, label)`` once for each fifth of the bits that are not the
+    same in all fingerprints of its key, with its own bits there."""
+    spread = members.groupBy("key").agg(F.expr("bit_or(fp) ^ bit_and(fp)").alias("varying"))
+
+    def make():
+        def step(batch):
+            fp, varying = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("fp", "varying"))
+            masks, rank = np.zeros((MAX_BITS + 1, len(fp)), np.int64), np.zeros(len(fp), np.int64)
+            for bit in range(64):
+                on = (varying >> bit) & 1
+                masks[rank % (MAX_BITS + 1), np.arange(len(fp))] |= on << bit
+                rank += on
+            for fifth, mask in enumerate(masks):
+                kind = pa.array(np.full(len(fp), fifth, np.int32))
+                yield pa.RecordBatch.from_arrays([batch.column("key"), kind, pa.array(fp & mask), batch.column("fp"), batch.column("label")], names=["key", "fifth", "part", "fp", "label"])
 
+        return step
 
-def _close(a: str, b: str, bits: int):
-    return F.expr(f"bit_count({a} ^ {b}) <= {bits}")
+    return arrow_map(members.join(spread, "key"), ["key", "fp", "label", "varying"], "key long, fifth int, part long, fp long, label long", make)
 
 
 def link_fingerprints(fps: DataFrame, bits: int = MAX_BITS) -> DataFrame:
     """(node, root) of the distinct non-null fingerprints ``fps(fp)`` that link to another at ``bits`` or fewer bits."""
     if bits > MAX_BITS:
         raise ValueError(f"the keys find all links up to {MAX_BITS} differing bits")
+    spark = fps.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    fps = fps.repartition(tasks, "fp")  # a fingerprint has some hundred keys
     keys = fingerprint_keys(fps)
     met = materialise(
         keys.groupBy("key").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi"), F.count("*").alias("n")).where("n > 1"), "met"
     )
     pairs = met.where(_close("lo", "hi", bits)).select(F.col("lo").alias("a"), F.col("hi").alias("b"))
     many = met.where("n > 2")
-    again = fingerprint_keys(fps, key_filter(many.select("key")))
+    again = fingerprint_keys(fps, KeyFilter.of(many.select("key"), many.count()))
     members = materialise(again.join(many, "key").select("key", "fp", "lo", "hi"), "members")
     stars = members.where(_close("fp", "lo", bits)).select(F.col("fp").alias("a"), F.col("lo").alias("b")).unionByName(
         members.where(_close("fp", "hi", bits)).select(F.col("fp").alias("a"), F.col("hi").alias("b"))
@@ -196,9 +204,10 @@ def link_fingerprints(fps: DataFrame, bits: int = MAX_BITS) -> DataFrame:
     labelled = materialise(labelled, "labelled")
     apart = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("key")
     rest = materialise(labelled.join(apart, "key", "left_semi"), "apart")
-    left, right = rest.alias("l"), rest.alias("r")
+    dealt = materialise(by_varying_bits(rest), "dealt")
+    left, right = dealt.alias("l"), dealt.alias("r")
     late = left.join(
-        right, F.expr(f"l.key = r.key AND l.label < r.label AND bit_count(l.fp ^ r.fp) <= {bits}")
+        right, F.expr(f"l.key = r.key AND l.fifth = r.fifth AND l.part = r.part AND l.label < r.label AND bit_count(l.fp ^ r.fp) <= {bits}")
     ).select(F.col("l.label").alias("a"), F.col("r.label").alias("b"))
     second = connected_components(late).select(F.col("node").alias("root"), F.col("root").alias("top"))
     return (
@@ -216,7 +225,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Defined cases: a null or empty text, or one of white space alone, has fingerprint zero and links like any other;
     a null id keeps its row but never names a component (null where no row of the component has an id); repeated rows
-    stay repeated; an empty table gives no rows. Other columns of ``docs`` are left aside, whatever their names.
+    stay repeated; a bit set in exactly half the shingles (a tie) is 0; texts of any length are taken whole; an empty table gives no rows. Other columns of ``docs`` are left aside, whatever their names.
     """
     marked = materialise(fingerprints(docs, id_col, text_col), "fingerprints")
     by_fp = materialise(marked.groupBy("fp").agg(F.min(id_col).alias("first_id")), "distinct")
