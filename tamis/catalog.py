@@ -10,13 +10,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tamis import config
 from tamis import oracle as sql
 from tamis.config import Config
 from tamis.functions import image
 from tamis.functions.vectors import cosine, normalised, scale
 from tamis.operators import folds, scoring, select, similarity, strata
-from tamis.plans import curate
+from tamis.plans import curate, manifest
 from tamis.sources import frames
+from tamis.storage import materialise, scratch
+from tamis.streaming.novelty import score_stream
 
 #: Target weights of the shipped settings.
 TARGETS = {
@@ -166,16 +169,7 @@ def compile_targets_uniform(spark, d):
     return strata.targets(spark, CFG.with_(targets=None)).select("combo_ord", "combo_key", *LABELS, *_r("ratio"))
 
 
-@_query(
-    _with(
-        *_FINAL,
-        f"made AS (SELECT video_id, {sql.KEY} AS combo_key, count(*) AS actual FROM final GROUP BY ALL), sums AS (SELECT video_id, sum(actual)::BIGINT AS total FROM made GROUP BY ALL)",
-        "floors AS (SELECT video_id, combo_ord, combo_key, ratio, total, floor(ratio * total) AS low, ratio * total - floor(ratio * total) AS part FROM sums, goals)",
-        """rated AS (SELECT *, total - sum(low) OVER (PARTITION BY video_id) AS rest, row_number() OVER (PARTITION BY video_id ORDER BY part DESC, combo_ord) AS nth FROM floors)
-SELECT video_id, combo_ord, combo_key, round(ratio, 6) AS ratio, (low + (nth <= rest)::INT)::BIGINT AS expected, coalesce(actual, 0) AS actual,
-  greatest(0, low + (nth <= rest)::INT - coalesce(actual, 0))::BIGINT AS shortfall FROM rated LEFT JOIN made USING (video_id, combo_key)""",
-    )
-)
+@_query(_with(*_FINAL, sql.EVALUATED, "SELECT * FROM evaluated"))
 def targets_evaluation(spark, d):
     out = strata.evaluate_targets(_final(spark, d), CFG)
     return out.withColumn("ratio", F.round("ratio", 6))
@@ -288,12 +282,12 @@ def selection_ratio(spark, d):
     return out.withColumn("ratio", F.round("ratio", 6))
 
 
-@_query(_with(*_FINAL, sql.satisfaction(CFG, False)))
+@_query(_with(*_FINAL, sql.satisfaction(CFG, False), "SELECT * FROM satisfied"))
 def satisfaction_report(spark, d):
     return strata.satisfaction(_final(spark, d), CFG, False)
 
 
-@_query(_with(*_FINAL, sql.satisfaction(CFG, True)))
+@_query(_with(*_FINAL, sql.satisfaction(CFG, True), "SELECT * FROM satisfied"))
 def satisfaction_web(spark, d):
     return strata.satisfaction(_final(spark, d), CFG, True)
 
@@ -311,7 +305,7 @@ def tile_filter(spark, d):
     )
 )
 def manifest_frames(spark, d):
-    out = curate.manifest_frames(_final(spark, d))
+    out = manifest.manifest_frames(_final(spark, d)).withColumnRenamed("source_index", "idx")
     pairs = F.concat_ws("|", *(F.concat(F.lit(f"{a}:"), F.col("strata")[i]) for i, a in enumerate(LABELS)))
     return out.select("video_id", F.col("final_ord").cast("long").alias("final_ord"), "idx", *_r("t_sec", "ml_score"), F.round("subscores.quality", 6).alias("quality"), F.round("subscores.content_novelty", 6).alias("content_novelty"), pairs.alias("strata"))
 
@@ -465,6 +459,157 @@ def curate_images(spark, d):
     return out.select("video_id", "idx", F.col("final_ord").cast("long").alias("final_ord"), *_r("ml_score"), *LABELS)
 
 
+# Sources, sinks, runs ---------------------------------------------------------------------------------------------
+
+_SUMS = "sums AS (SELECT video_id, idx, sum(b)::BIGINT AS b, sum(g)::BIGINT AS g, sum(r)::BIGINT AS r FROM px GROUP BY ALL)"
+
+
+def _channel_sums(raw: DataFrame) -> DataFrame:
+    """The image view's sums of each channel, from the pixels' bytes."""
+    octets = F.expr("transform(sequence(1, length(pixels)), i -> cast(conv(substr(hex(pixels), 2 * i - 1, 2), 16, 10) AS BIGINT))")
+    sums = [F.expr(f"aggregate(filter(px, (x, i) -> i % 3 = {k}), 0L, (s, x) -> s + x)").alias(c) for k, c in enumerate("bgr")]
+    return raw.withColumn("px", octets).select("video_id", "idx", "t_sec", "height", "width", *sums)
+
+
+@_query(
+    _with(
+        sql.PIXELS,
+        _SUMS,
+        "placed AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY idx) - 1 AS n FROM sums)",
+        "SELECT video_id, n AS idx, round(n / 25.0::DOUBLE, 6) AS t_sec, 8 AS height, 8 AS width, b, g, r FROM placed WHERE n % 2 = 0",
+    )
+)
+def ppm_scan(spark, d):
+    """Videos written as files of images, then read back frame by frame with a stride."""
+    listed = frames.write_videos(frames.image_view(spark, d), scratch(spark, "ppm"))
+    paths = [r["path"] for r in listed.select("path").collect()]  # a path for each video, as a run names its inputs
+    spark.dataSource.register(frames.PpmSource)
+    got = spark.read.format("ppm_frames").option("paths", ",".join(paths)).option("stride", 2).option("fps", 25).load()
+    out = _channel_sums(got.withColumn("video_id", F.regexp_extract("video_id", r"([^/]+)\.ppm$", 1)))
+    return out.withColumn("t_sec", F.round("t_sec", 6))
+
+
+@_query(
+    _with(
+        sql.light(),
+        "best AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY sharpness DESC, idx) AS n, count(*) OVER (PARTITION BY video_id) AS c FROM light)",
+        "SELECT video_id, idx, printf('frame_%06d_src%06d_t%010.3f.ppm', n - 1, idx, t_sec) AS name FROM best WHERE n <= greatest(1, floor(c * 0.1::DOUBLE))",
+    )
+)
+def image_sink(spark, d):
+    best = scoring.top_fraction(frames.light_view(spark, d), 0.1, "sharpness").withColumn("final_ord", F.col("rank"))
+    saved = curate.write_frames(best, frames.image_view(spark, d), scratch(spark, "saved"))
+    return saved.select("video_id", "idx", F.regexp_extract("path", "[^/]+$", 0).alias("name"))
+
+
+@_query(
+    _with(
+        *_FINAL,
+        "SELECT f.video_id, f.final_ord, f.idx, round(t_sec, 6) AS t_sec, round(f.ml_score, 6) AS ml_score, round(sharpness, 6) AS sharpness, round(lighting_mean, 6) AS lighting_mean, "
+        "f.altitude || '/' || f.view || '/' || f.cover || '/' || f.lighting AS strata, (SELECT count(*) FROM final) AS selected, (SELECT count(*) FROM binned) AS candidates, 61.5::DOUBLE AS elapsed "
+        "FROM final f JOIN (SELECT video_id, idx, t_sec, sharpness, lighting_mean FROM binned) b USING (video_id, idx)",
+    )
+)
+def manifest_read_back(spark, d):
+    """A run's manifest, written and read again."""
+    pool = _pool(spark, d)
+    path = scratch(spark, "manifest")
+    manifest.write_manifest(materialise(curate.select_from(pool, CFG, SIZE), "final"), pool, CFG, path, config.resolve({"target_size": SIZE}, {}), 61.5, "v.ppm")
+    head, rows = manifest.read_manifest(spark, path)
+    summary = head["task_summary"]
+    numbers = [F.lit(int(summary["selected_count"])).cast("long").alias("selected"), F.lit(int(summary["candidates_count"])).cast("long").alias("candidates"), F.lit(float(summary["elapsed_time_sec"])).alias("elapsed")]
+    return rows.select("video_id", "final_ord", F.col("source_index").alias("idx"), *_r("t_sec", "ml_score", "sharpness", "lighting_mean"), F.concat_ws("/", "strata").alias("strata"), *numbers)
+
+
+@_query(
+    _with(
+        *_FINAL,
+        """a AS (SELECT video_id, count(*) AS candidates_count FROM binned GROUP BY ALL),
+b AS (SELECT video_id, count(*) AS selected_count, avg(ml_score) AS average, quantile_cont(ml_score, 0.5) AS median, min(ml_score) AS low, max(ml_score) AS high FROM final GROUP BY ALL)
+SELECT video_id, candidates_count, coalesce(selected_count, 0) AS selected_count, round(coalesce(selected_count, 0) / candidates_count::DOUBLE, 6) AS selection_ratio, """
+        + _rs("average", "median", "low", "high")
+        + " FROM a LEFT JOIN b USING (video_id)",
+    )
+)
+def manifest_summary(spark, d):
+    out = manifest.summaries(_final(spark, d), _pool(spark, d))
+    return out.select("video_id", "candidates_count", "selected_count", *_r("selection_ratio", "average", "median", "low", "high"))
+
+
+@_query(_with(*_FINAL, sql.EVALUATED, "SELECT * FROM result"))
+def targets_result(spark, d):
+    return strata.targets_result(strata.evaluate_targets(_final(spark, d), CFG), _pool(spark, d))
+
+
+@_query(
+    _with(
+        *_FINAL,
+        sql.EVALUATED,
+        f"remedies(remedy) AS (VALUES {', '.join('(' + repr(r) + ')' for r in manifest.REMEDIES if chr(39) not in r)})",
+        "SELECT video_id, reason, remedy FROM (SELECT video_id, 'size' AS reason FROM result WHERE selected_count < 14 UNION ALL SELECT video_id, 'targets' FROM result WHERE NOT success), remedies",
+    )
+)
+def report_advice(spark, d):
+    return manifest.advice(_final(spark, d), _pool(spark, d), CFG, 14)
+
+
+@_query(_with(*_FINAL, sql.satisfaction(CFG, False), "SELECT axis, value, format('{:<10} {:<10} {:8.1f} {:8.1f} {:>10}', axis, value, 100 * actual, 100 * target, CASE WHEN satisfied THEN 'yes' ELSE 'no' END) AS line FROM satisfied"))
+def report_table(spark, d):
+    return manifest.strata_lines(strata.satisfaction(_final(spark, d), CFG, False))
+
+
+@_query(_with(sql.light(), "SELECT count(*) AS seen, count(*) FILTER (sharpness >= 80 AND contrast >= 20) AS kept, count(*) FILTER (NOT (sharpness >= 80 AND contrast >= 20)) AS filtered FROM light"))
+def prefilter_counters(spark, d):
+    return scoring.prefilter_counts(frames.light_view(spark, d), CFG)
+
+
+@_query(
+    """WITH p(name, cli, config, preset) AS (VALUES ('stride', '0', '2', '1'), ('min_sharpness', '95.5', '80.0', '80.0'), ('min_contrast', '', '0', '20.0'), ('novelty_threshold', '', '0.6', '0.3'), ('target_size', '0', '', ''), ('duplicates_method', '', 'dbscan', 'greedy'))
+SELECT name, CASE WHEN cli NOT IN ('', '0') OR name = 'target_size' THEN cli WHEN config NOT IN ('', '0') THEN config ELSE preset END AS value,
+  CASE WHEN cli NOT IN ('', '0') OR name = 'target_size' THEN 'cli' WHEN config NOT IN ('', '0') THEN 'config' ELSE 'default' END AS source FROM p
+UNION ALL VALUES ('video', '/in/field 7.ppm', 'cli'), ('out', 'data/output/field 7', 'derived')"""
+)
+def run_parameters(spark, d):
+    """Settings from a file against arguments: the effective values and where they came from."""
+    import json
+    import tempfile
+
+    with tempfile.NamedTemporaryFile("w", suffix=".json") as file:  # read on this machine, as a command line does
+        json.dump({"defaults": {"stride": 2, "min_sharpness": 80.0, "min_contrast": 0, "novelty_threshold": 0.6, "target_size": None, "way_method": "dbscan"}}, file)
+        file.flush()
+        settings = config.load_settings(file.name)
+    got = config.resolve({"stride": 0, "min_sharpness": 95.5, "target_size": 0}, settings, "cli", "/in/field 7.ppm")
+    return spark.createDataFrame([(k, str(v["value"]), v["source"]) for k, v in got.items()], "name string, value string, source string")
+
+
+@_query("SELECT n_name || '.raw' AS source, 'data/output/' || n_name || '.raw' AS folder FROM nation")
+def output_folders(spark, d):
+    names = [r["n_name"] for r in spark.read.parquet(f"{d}/nation.parquet").select("n_name").collect()]  # 25 names
+    return spark.createDataFrame([(f"{n}.raw", config.output_folder(f"/v/{n}.raw.ppm")) for n in names], "source string, folder string")
+
+
+@_query(_with(sql.light(), "SELECT count(*) AS frames, false AS written FROM light WHERE sharpness >= 1e9"))
+def empty_run(spark, d):
+    """No candidate passes: an empty selection, and no manifest."""
+    cfg = CFG.with_(min_sharpness=1e9)
+    pool = curate.candidates(frames.light_view(spark, d), cfg)
+    final = curate.select_from(pool, cfg, SIZE)
+    path = scratch(spark, "nothing")
+    written = manifest.write_manifest(final, pool, cfg, path, {}) is not None or manifest.read_manifest(spark, path)[0] is not None
+    return final.agg(F.count("*").alias("frames")).select("frames", F.lit(written).alias("written"))
+
+
+@_query(_with(*_SCORED, f"SELECT video_id, idx, {_rs('quality', 'content_novelty', 'ml_score')} FROM scored"))
+def novelty_stream(spark, d):
+    """The novelty fold over a stream of files, to a table."""
+    view = frames.light_view(spark, d)
+    feed, out = scratch(spark, "feed"), scratch(spark, "stream")
+    view.write.parquet(feed)
+    scored = score_stream(spark.readStream.schema(view.schema).parquet(feed), CFG)
+    scored.writeStream.format("parquet").option("checkpointLocation", scratch(spark, "offsets")).trigger(availableNow=True).start(out).awaitTermination()
+    return spark.read.schema(scored.schema).parquet(out).select("video_id", "idx", *_r("quality", "content_novelty", "ml_score"))
+
+
 def queries() -> dict[str, Query]:
     return dict(_queries)
 

@@ -1,4 +1,7 @@
-"""Settings of a curation run, their precedence and their provenance."""
+"""Settings of a curation run, their precedence and their provenance.
+
+The run parameter for the way duplicates are removed is ``duplicates_method``; under ``defaults`` of a settings file any key
+that ends in ``_method`` sets it."""
 
 from __future__ import annotations
 
@@ -113,16 +116,35 @@ def from_settings(raw: dict) -> Config:
     )
 
 
-def resolve(given: dict[str, Any], settings: dict) -> dict[str, dict[str, Any]]:
-    """Each run parameter's effective value and where it came from: cli, config or default. Zero and empty values fall
-    through to the default, as in a run."""
-    defaults = settings.get("defaults") or {}
-    out = {}
+def resolve(given: dict[str, Any], settings: dict, via: str = "cli", source: str | None = None, out: str | None = None) -> dict[str, dict[str, Any]]:
+    """Each run parameter's effective value and where it came from: ``via`` ("cli", or "web" for a service), config or
+    default. Zero and empty values fall through to the default, as in a run. With the run's ``source`` also the source
+    and the output folder, which is "derived" where neither caller nor file names one."""
+    defaults = dict(settings.get("defaults") or {})
+    method = next((v for k, v in defaults.items() if k.endswith("_method")), None)
+    defaults["duplicates_method"] = method
+    found_out = {}
+    if source is not None:
+        folder = out or defaults.get("out")
+        found_out["video"] = {"value": source, "source": via}
+        found_out["out"] = {"value": folder or output_folder(source), "source": via if out else "config" if folder else "derived"}
+    result = dict(found_out)
     for name, default in RUN_DEFAULTS.items():
-        for source, found in (("cli", given.get(name)), ("config", defaults.get(name))):
+        for source, found in ((via, given.get(name)), ("config", defaults.get(name))):
             if found or (name == "target_size" and found is not None):
-                out[name] = {"value": found, "source": source}
+                result[name] = {"value": found, "source": source}
                 break
         else:
-            out[name] = {"value": default, "source": "default"}
-    return out
+            result[name] = {"value": default, "source": "default"}
+    return result
+
+
+def output_folder(source: str, given: str | None = None) -> str:
+    """The folder of a run: as given, else named after the source without its extension."""
+    return given or str(Path("data/output") / Path(source).stem)
+
+
+def with_run(cfg: Config, params: dict[str, dict[str, Any]]) -> Config:
+    """``cfg`` with a run's resolved parameters."""
+    names = ("min_sharpness", "min_contrast", "novelty_threshold", "duplicates_method")
+    return cfg.with_(**{n: params[n]["value"] for n in names if n in params})

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tamis.config import Config
@@ -24,6 +24,19 @@ def prefilter(frames: DataFrame, cfg: Config) -> DataFrame:
     )
 
 
+def prefilter_counts(frames: DataFrame, cfg: Config) -> DataFrame:
+    """One row: frames seen, kept and filtered out by the minima."""
+    kept = (F.col("sharpness") >= cfg.min_sharpness) & (F.col("contrast") >= cfg.min_contrast) & ~F.isnan("sharpness") & ~F.isnan("contrast")
+    return frames.agg(F.count("*").alias("seen"), F.count_if(kept).alias("kept"), F.count_if(~F.coalesce(kept, F.lit(False))).alias("filtered"))
+
+
+def observed_prefilter(frames: DataFrame, cfg: Config) -> tuple[DataFrame, Observation, Observation]:
+    """``prefilter`` with counters of the frames seen and kept, which fill as the plan runs, without a pass of their own."""
+    seen, kept = Observation(), Observation()
+    one = F.count(F.lit(1)).alias("n")
+    return prefilter(frames.observe(seen, one), cfg).observe(kept, one), seen, kept
+
+
 def quality(cfg: Config) -> Column:
     a, b, c, d = cfg.components
     return (

@@ -82,6 +82,15 @@ def evaluate_targets(selected: DataFrame, cfg: Config) -> DataFrame:
     )
 
 
+def targets_result(evaluated: DataFrame, pool: DataFrame) -> DataFrame:
+    """For each collection of ``pool``: the totals of its evaluated targets, and ``success``, that none falls short."""
+    candidates = pool.groupBy("video_id").agg(F.count("*").alias("candidates_count"))
+    sums = evaluated.groupBy("video_id").agg(*(F.sum(c).alias(f"total_{c}") for c in ("expected", "actual", "shortfall")))
+    totals = [F.coalesce(f"total_{c}", F.lit(0)).alias(f"total_{c}") for c in ("expected", "actual", "shortfall")]
+    out = candidates.join(sums, "video_id", "left").select("video_id", "candidates_count", *totals)
+    return out.withColumn("selected_count", F.col("total_actual")).withColumn("success", F.col("total_shortfall") == 0)
+
+
 def strata_distribution(frames: DataFrame) -> DataFrame:
     return frames.groupBy("altitude", "view", "cover", "lighting").agg(F.count("*").alias("n"))
 
@@ -104,6 +113,6 @@ def satisfaction(selected: DataFrame, cfg: Config, normalised: bool) -> DataFram
     goals = selected.sparkSession.createDataFrame(rows, "axis string, value string, target double")
     total = selected.agg(F.count("*").alias("total"))
     actual = axes_summary(selected)
-    out = goals.join(actual, ["axis", "value"], "left").withColumn("one", F.lit(1)).join(total.withColumn("one", F.lit(1)), "one")
+    out = goals.join(actual, ["axis", "value"], "left").crossJoin(F.broadcast(total))  # one row
     share = F.coalesce("n", F.lit(0)) / F.greatest("total", F.lit(1))
     return out.select("axis", "value", "target", share.alias("actual"), (share >= F.col("target") - F.lit(0.0 if normalised else 0.001)).alias("satisfied"))

@@ -135,9 +135,20 @@ def satisfaction(c: Config, normalised: bool) -> str:
             rows.append(f"('{axis}', '{v}', {(shares[axis][v] if normalised else float(raw) if raw is not None else 1.0 / len(values))!r}::DOUBLE)")
     return f"""want(axis, value, target) AS (VALUES {', '.join(rows)}),
 marks AS (UNPIVOT (SELECT altitude, view, cover, lighting FROM final) ON altitude, view, cover, lighting INTO NAME axis VALUE value),
-n AS (SELECT axis, value, count(*) AS n FROM marks GROUP BY ALL), total AS (SELECT count(*) AS total FROM final)
-SELECT axis, value, target, coalesce(n, 0) / greatest(total, 1)::DOUBLE AS actual, coalesce(n, 0) / greatest(total, 1)::DOUBLE >= target - {0.0 if normalised else 0.001} AS satisfied
-FROM want LEFT JOIN n USING (axis, value), total"""
+n AS (SELECT axis, value, count(*) AS n FROM marks GROUP BY ALL), total AS (SELECT count(*) AS total FROM final),
+satisfied AS (SELECT axis, value, target, coalesce(n, 0) / greatest(total, 1)::DOUBLE AS actual, coalesce(n, 0) / greatest(total, 1)::DOUBLE >= target - {0.0 if normalised else 0.001} AS satisfied
+FROM want LEFT JOIN n USING (axis, value), total)"""
+
+
+#: Targets against actual counts of each collection; needs ``goals`` and ``final``.
+EVALUATED = f"""made AS (SELECT video_id, {KEY} AS combo_key, count(*) AS actual FROM final GROUP BY ALL), sums AS (SELECT video_id, sum(actual)::BIGINT AS total FROM made GROUP BY ALL),
+floors AS (SELECT video_id, combo_ord, combo_key, ratio, total, floor(ratio * total) AS low, ratio * total - floor(ratio * total) AS part FROM sums, goals),
+rated AS (SELECT *, total - sum(low) OVER (PARTITION BY video_id) AS rest, row_number() OVER (PARTITION BY video_id ORDER BY part DESC, combo_ord) AS nth FROM floors),
+evaluated AS (SELECT video_id, combo_ord, combo_key, round(ratio, 6) AS ratio, (low + (nth <= rest)::INT)::BIGINT AS expected, coalesce(actual, 0) AS actual,
+  greatest(0, low + (nth <= rest)::INT - coalesce(actual, 0))::BIGINT AS shortfall FROM rated LEFT JOIN made USING (video_id, combo_key)),
+result AS (SELECT c.video_id, candidates_count, coalesce(total_expected, 0)::BIGINT AS total_expected, coalesce(total_actual, 0)::BIGINT AS total_actual, coalesce(total_shortfall, 0)::BIGINT AS total_shortfall,
+  coalesce(total_actual, 0)::BIGINT AS selected_count, coalesce(total_shortfall, 0) = 0 AS success FROM (SELECT video_id, count(*) AS candidates_count FROM binned GROUP BY ALL) c
+  LEFT JOIN (SELECT video_id, sum(expected) AS total_expected, sum(actual) AS total_actual, sum(shortfall) AS total_shortfall FROM evaluated GROUP BY ALL) USING (video_id))"""
 
 
 # Images --------------------------------------------------------------------------------------------------------------

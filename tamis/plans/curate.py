@@ -1,10 +1,8 @@
-"""Curation end to end: prefilter, score, bin, select, remove duplicates, fill, report and write."""
+"""Curation end to end: prefilter, score, bin, select, remove duplicates, fill and write."""
 
 from __future__ import annotations
 
-import json
-import logging
-from pathlib import Path
+import re
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,10 +10,9 @@ from pyspark.sql import functions as F
 from tamis.config import Config
 from tamis.operators import scoring, select, similarity, strata
 from tamis.operators.folds import score_frames
+from tamis.operators.quantile import exact_quantile
 from tamis.storage import materialise
 
-log = logging.getLogger(__name__)
-
 
 def candidates(frames: DataFrame, cfg: Config) -> DataFrame:
     """Prefiltered, scored and binned frames, written once since every later stage reads them."""
@@ -41,7 +38,11 @@ def without_duplicates(chosen: DataFrame, cfg: Config, method: str | None = None
 
 def curate(frames: DataFrame, cfg: Config, target_size: int | None = None, method: str | None = None) -> DataFrame:
     """The final frames of each collection with ``final_ord``; without candidates the result is empty."""
-    pool = candidates(frames, cfg)
+    return select_from(candidates(frames, cfg), cfg, target_size, method)
+
+
+def select_from(pool: DataFrame, cfg: Config, target_size: int | None = None, method: str | None = None) -> DataFrame:
+    """``curate`` from candidates that are written already."""
     chosen = materialise(select.preliminary(pool, target_size, cfg), "chosen")
     kept = without_duplicates(chosen, cfg, method)
     return select.final_order(kept, scoring.ranked(pool), target_size)
@@ -49,7 +50,9 @@ def curate(frames: DataFrame, cfg: Config, target_size: int | None = None, metho
 
 def score_stats(selected: DataFrame) -> DataFrame:
     s = F.col("ml_score")
-    return selected.agg(F.count("*").alias("n"), F.avg(s).alias("mean"), F.percentile(s, 0.5).alias("median"), F.min(s).alias("low"), F.max(s).alias("high"))
+    sums = selected.agg(F.count("*").alias("n"), F.avg(s).alias("mean"), F.min(s).alias("low"), F.max(s).alias("high"))
+    middle = exact_quantile(selected.select(F.lit(1).alias("all"), "ml_score"), "all", "ml_score", 0.5, "median").select("median")
+    return sums.join(F.broadcast(middle), how="left").select("n", "mean", "median", "low", "high")  # one row each
 
 
 def selection_ratio(pool: DataFrame, selected: DataFrame) -> DataFrame:
@@ -64,12 +67,6 @@ def tile_filter(selected: DataFrame, tags: list[str]) -> DataFrame:
     return selected.where(F.arrays_overlap(own, F.array(*(F.lit(t) for t in tags)).cast("array<string>")))
 
 
-def manifest_frames(selected: DataFrame) -> DataFrame:
-    return selected.select(
-        "video_id", "final_ord", "idx", "t_sec", "ml_score", F.struct("quality", "content_novelty").alias("subscores"), F.array("altitude", "view", "cover", "lighting").alias("strata")
-    )
-
-
 def file_name(final_ord: int, idx: int, t_sec: float, suffix: str = "ppm") -> str:
     return f"frame_{final_ord - 1:06d}_src{idx:06d}_t{t_sec:010.3f}.{suffix}"
 
@@ -92,7 +89,7 @@ def write_frames(selected: DataFrame, raw: DataFrame, folder: str) -> DataFrame:
         for batch in batches:
             got = []
             for r in batch.to_pylist():
-                place = f"{r['video_id']}/{file_name(r['final_ord'], r['idx'], r['t_sec'])}".lstrip("/")
+                place = f"{re.sub(r'[^\w.-]+', '_', r['video_id'] or '').strip('_')}/{file_name(r['final_ord'], r['idx'], r['t_sec'])}".lstrip("/")
                 system.create_dir(f"{root}/{place}".rsplit("/", 1)[0], recursive=True)
                 with system.open_output_stream(f"{root}/{place}") as out:
                     out.write(encode_ppm(np.frombuffer(r["pixels"], np.uint8).reshape(r["height"], r["width"], 3)))
@@ -100,56 +97,3 @@ def write_frames(selected: DataFrame, raw: DataFrame, folder: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([g[i] for g in got]) for i in range(3)], names=["video_id", "idx", "path"])
 
     return materialise(rows.mapInArrow(run, "video_id string, idx long, path string"), "images")
-
-
-def write_manifest(selected: DataFrame, pool: DataFrame, cfg: Config, path: str, run_params: dict, elapsed: float | None = None) -> dict | None:
-    """A directory with ``header.json`` (counts, statistics, evaluation) and the frames as JSON lines; nothing, and a
-    warning, without frames. The header's numbers are aggregates, so the driver holds no frame."""
-    stats = score_stats(selected).first()
-    if not stats["n"]:
-        log.warning("no frames: no manifest written")
-        return None
-    total = pool.count()
-    header = {
-        "run_params": run_params,
-        "task_summary": {"candidates_count": total, "selected_count": stats["n"], "selection_ratio": f"{100 * stats['n'] / total:.1f}%" if total else "N/A", "elapsed_time_sec": elapsed},
-        "ml_score": {k: f"{stats[k]:.3f}" for k in ("mean", "median", "low", "high")},
-        "strata": {f"{r['axis']}:{r['value']}": r["n"] for r in strata.axes_summary(selected).collect()},  # axes x labels
-        "shortfall": sum(r["shortfall"] for r in strata.evaluate_targets(selected, cfg).groupBy("combo_key").agg(F.sum("shortfall").alias("shortfall")).collect()),
-    }
-    manifest_frames(selected).write.mode("errorifexists").json(f"{path}/frames")
-    selected.sparkSession.createDataFrame([(json.dumps(header, indent=2, ensure_ascii=False),)], "value string").coalesce(1).write.mode("errorifexists").text(f"{path}/header")
-    return header
-
-
-def report(header: dict, cfg: Config, target_size: int | None = None) -> str:
-    """The run's summary as text."""
-    lines = ["Selection report"]
-    lines += [f"  {k}: {v['value']} ({v['source']})" for k, v in header["run_params"].items()]
-    lines += [f"  {k}: {v}" for k, v in header["task_summary"].items() if v is not None]
-    lines += [f"  ml_score {k}: {v}" for k, v in header["ml_score"].items()]
-    lines += [f"  {k}: {v}" for k, v in sorted(header["strata"].items())]
-    short = target_size is not None and header["task_summary"]["selected_count"] < target_size
-    if short:
-        lines.append(f"  fewer frames than the target of {target_size}: lower the prefilter's minima, or raise the cosine threshold to keep more")
-    if header["shortfall"]:
-        lines.append(f"  targets missed by {header['shortfall']} frames: relax the targets or extend the input")
-    seconds = header["task_summary"].get("elapsed_time_sec")
-    if seconds is not None:
-        lines.append(f"  elapsed: {int(seconds) // 60}m {int(seconds) % 60}s")
-    return "\n".join(lines)
-
-
-def read_manifest(spark, path: str) -> tuple[dict | None, DataFrame | None]:
-    """(header, frames); (None, None), logged, where it cannot be read."""
-    try:
-        header = json.loads("\n".join(r["value"] for r in spark.read.text(f"{path}/header", wholetext=True).collect()))
-        schema = "video_id string, final_ord long, idx long, t_sec double, ml_score double, subscores struct<quality: double, content_novelty: double>, strata array<string>"
-        return header, spark.read.schema(schema).json(f"{path}/frames")
-    except Exception as error:
-        log.error("manifest %s: %s", path, error)
-        return None, None
-
-
-def output_folder(source: str, given: str | None = None) -> str:
-    return given or str(Path("data/output") / Path(source).stem)

@@ -7,6 +7,7 @@ of frames is (video_id, idx, t_sec, height, width, pixels) with pixels as BGR by
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from tamis.session import reach
+from tamis.storage import materialise
 
 FRAMES = "video_id string, idx long, t_sec double, height int, width int, pixels binary"
 
@@ -74,6 +76,63 @@ def decode_ppm(data: bytes, at: int = 0) -> tuple[np.ndarray, int]:
     return np.ascontiguousarray(rgb[..., ::-1]), end
 
 
+def images_of(read: Callable[[int], bytes], piece: int = 1 << 16) -> Iterator[bytes]:
+    """The PPM images of a stream one after the other, none but the present one in memory; a torn one ends them."""
+    held = b""
+    while True:
+        head = _PPM.match(held)
+        while head is None or int(head[3]) != 255 or head.end() == len(held):
+            more = read(piece) if len(held) < piece or head is not None and int(head[3]) == 255 else b""
+            if not more:
+                return
+            held += more
+            head = _PPM.match(held)
+        end = head.end() + 3 * int(head[1]) * int(head[2])
+        parts, have = [held], len(held)
+        while have < end:
+            more = read(max(piece, end - have))
+            if not more:
+                return
+            parts.append(more)
+            have += len(more)
+        held = b"".join(parts)
+        yield held[:end]
+        held = held[end:]
+        if not held:
+            held = read(piece)
+            if not held:
+                return
+
+
+def write_videos(raw: DataFrame, folder: str) -> DataFrame:
+    """(video_id, path): each collection's frames in the order of ``idx``, streamed into one file of PPM images."""
+    reach(raw.sparkSession)
+
+    def run(batches):
+        from pyarrow import fs
+        from pyspark import TaskContext
+
+        system, root = fs.FileSystem.from_uri(folder)
+        system.create_dir(root, recursive=True)
+        attempt, now, out, done = TaskContext.get().taskAttemptId(), None, None, []
+        for batch in batches:
+            for video, h, w, pixels in zip(*(batch.column(c).to_pylist() for c in ("video_id", "height", "width", "pixels")), strict=True):
+                if video != now:
+                    if out:
+                        out.close()
+                    name = f"{attempt}/{video}.ppm"
+                    system.create_dir(f"{root}/{attempt}", recursive=True)
+                    out, now = system.open_output_stream(f"{root}/{name}"), video
+                    done.append((video, f"{folder}/{name}"))
+                out.write(encode_ppm(np.frombuffer(pixels, np.uint8).reshape(h, w, 3)))
+        if out:
+            out.close()
+        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in done], pa.string()) for i in range(2)], names=["video_id", "path"])
+
+    dealt = raw.repartition("video_id").sortWithinPartitions("video_id", "idx")
+    return materialise(dealt.mapInArrow(run, "video_id string, path string"), "videos")
+
+
 def encode_ppm(bgr: np.ndarray) -> bytes:
     h, w = bgr.shape[:2]
     return f"P6 {w} {h} 255\n".encode() + np.ascontiguousarray(bgr[..., ::-1]).tobytes()
@@ -107,17 +166,11 @@ class _PpmReader(DataSourceReader):
         from pyarrow import fs
 
         system, at = fs.FileSystem.from_uri(partition.value)
-        with system.open_input_file(at) as file:
-            data = file.read()
-        pos = idx = 0
-        while pos < len(data):
-            try:
-                image, pos = decode_ppm(data, pos)
-            except ValueError:
-                return
-            if idx % self.stride == 0:
-                yield (partition.value, idx, idx / self.fps, image.shape[0], image.shape[1], image.tobytes())
-            idx += 1
+        with system.open_input_stream(at) as file:
+            for idx, data in enumerate(images_of(file.read)):
+                if idx % self.stride == 0:
+                    image, _ = decode_ppm(data)
+                    yield (partition.value, idx, idx / self.fps, image.shape[0], image.shape[1], image.tobytes())
 
 
 def image_files(spark: SparkSession, path: str) -> DataFrame:

@@ -41,6 +41,11 @@ def materialise(df: DataFrame, name: str, compression: str = "zstd", path: str |
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Deletes what was written to ``path``, once nothing reads it any more."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)

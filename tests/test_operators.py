@@ -1,14 +1,15 @@
+import io
 import json
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tamis import config
+from tamis import cli, config
 from tamis.config import Config
 from tamis.functions import image
 from tamis.operators import folds, quantile, scoring, select, similarity, strata
-from tamis.plans import curate
+from tamis.plans import curate, manifest
 from tamis.sources import frames
 
 FRAME = "video_id string, idx long, t_sec double, embed array<double>, sharpness double, contrast double, exposure_score double, noise_score double, hf_energy double, view_entropy double, green_cover double, lighting_mean double"
@@ -265,14 +266,58 @@ def test_manifest_round_trip(spark, sf_dir, tmp_path):
     from tamis.catalog import CFG
 
     pool = curate.candidates(frames.light_view(spark, sf_dir), CFG)
-    final = curate.curate(frames.light_view(spark, sf_dir), CFG, 5)
-    header = curate.write_manifest(final, pool, CFG, f"file://{tmp_path}/m", config.resolve({}, {}), 61.0)
-    again, rows = curate.read_manifest(spark, f"file://{tmp_path}/m")
-    assert again == json.loads(json.dumps(header)) and rows.count() == 50
-    text = curate.report(header, CFG, 1000)
-    assert "elapsed: 1m 1s" in text and "fewer frames than the target" in text
-    assert curate.write_manifest(final.where("false"), pool, CFG, f"file://{tmp_path}/n", {}) is None
-    assert curate.read_manifest(spark, f"file://{tmp_path}/n") == (None, None)
+    final = curate.materialise(curate.select_from(pool, CFG, 5), "final")
+    path = f"file://{tmp_path}/m"
+    head = manifest.write_manifest(final, pool, CFG, path, config.resolve({}, {}, "web", "/in/a.ppm"), 61.0, "/in/a.ppm")
+    again, rows = manifest.read_manifest(spark, path)
+    assert again == json.loads(json.dumps(head)) and rows.count() == 50
+    assert head["run_params"]["video"]["source"] == "web" and head["run_params"]["out"] == {"value": "data/output/a", "source": "derived"}
+    assert manifest.write_document(spark, path, f"file://{tmp_path}/one.json")
+    one = json.loads((tmp_path / "one.json").read_text())
+    assert set(one) == {"input_video", "run_params", "task_summary", "frames", "targets_evaluation"} and len(one["frames"]) == 50
+    assert one["task_summary"]["video"] == "a.ppm" and one["task_summary"]["selected_count"] == 50 and " - " in one["task_summary"]["ml_score"]["range"]
+    assert {"saved_path", "source_index", "t_sec", "ml_score", "subscores", "strata", *manifest.METRICS} <= set(one["frames"][0])
+    result = one["targets_evaluation"]
+    assert sum(result["expected_counts"].values()) == result["total_expected"] == 50 and result["success"] == (result["total_shortfall"] == 0)
+    assert manifest.evaluation(final, pool, None) == {"success": True, "reason": "no_config"}
+    assert manifest.evaluation(final, pool, CFG.with_(axes={})) == {"success": True, "reason": "no_axes_defined"}
+    text = manifest.report(head, CFG, 1000)
+    for part in ("Elapsed time: 1m 1s", "target size not reached (50/1000 frames)", "RECOMMENDATIONS", "satisfied", "raise the cosine threshold", "STRATIFICATION"):
+        assert part in text
+    assert manifest.write_manifest(final.where("false"), pool, CFG, f"file://{tmp_path}/n", {}) is None
+    assert manifest.read_manifest(spark, f"file://{tmp_path}/n") == (None, None) and not manifest.write_document(spark, f"file://{tmp_path}/n", f"file://{tmp_path}/x")
+
+
+def test_command_line(spark, tmp_path, monkeypatch, capsys):
+    rng = np.random.default_rng(9)
+    video = tmp_path / "field.ppm"
+    video.write_bytes(b"".join(frames.encode_ppm(rng.integers(0, 256, (16, 16, 3), dtype=np.uint8)) for _ in range(12)))
+    settings = tmp_path / "s.json"
+    settings.write_text(json.dumps({"defaults": {"stride": 2, "min_sharpness": 1.0, "min_contrast": 1.0, "x_method": "greedy"}, "embedding": {}}))
+    monkeypatch.chdir(tmp_path)
+    run = [f"file://{video}", "--config", str(settings), "--target-size", "3", "-o", str(tmp_path / "out")]
+    assert cli.main(run, spark) == 0
+    said = capsys.readouterr().out
+    assert "Selection: 3 frames selected from 6 candidates" in said and "min_sharpness" in said
+    one = json.loads((tmp_path / "out/manifest.json").read_text())
+    assert one["run_params"]["stride"] == {"value": 2, "source": "config"} and one["run_params"]["target_size"] == {"value": 3, "source": "cli"}
+    assert len(list((tmp_path / "out/images").rglob("frame_*.ppm"))) == 3 and all(f["saved_path"].endswith(".ppm") for f in one["frames"])
+    assert "from 6 frames kept 6" in (tmp_path / "out/curation.log").read_text()
+    monkeypatch.setattr("sys.stdin", io.StringIO())
+    assert cli.main(run, spark) == 1
+    assert cli.main([*run, "--overwrite", "--stride", "4"], spark) == 0
+    assert json.loads((tmp_path / "out/manifest.json").read_text())["task_summary"]["candidates_count"] == 3
+
+
+def test_ppm_streams_piece_by_piece():
+    rng = np.random.default_rng(1)
+    images = [rng.integers(0, 256, (h, 5, 3), dtype=np.uint8) for h in (3, 40, 1, 7)]
+    data = b"".join(map(frames.encode_ppm, images)) + b"P6 5 5 255\nxx"
+    for piece in (1, 7, 64, 1 << 16):
+        file = io.BytesIO(data)
+        got = [frames.decode_ppm(x)[0] for x in frames.images_of(file.read, piece)]
+        assert len(got) == 4 and all((a == b).all() for a, b in zip(got, images, strict=True))
+    assert list(frames.images_of(io.BytesIO(b"").read)) == [] and list(frames.images_of(io.BytesIO(b"P6 1 1 65535\nxxxxxx").read)) == []
 
 
 def test_stream_equals_batch(spark, sf_dir, tmp_path):
