@@ -39,7 +39,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 STAGES: list[tuple[str, Stage]] = [
     ("toxicity", reject_toxic),
-    ("simhash near-dedup", drop_near_copies),
+    ("simhash near-duplicates", drop_near_copies),
     ("benchmark decontamination", drop_leaks),
     ("pii", redact_personal_data),
     ("best-fit packing", pack_sequences),
