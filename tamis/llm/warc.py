@@ -180,24 +180,44 @@ class Package:
 
     def read(self, at: int, n: int) -> bytes:
         self.file.seek(at)
-        return self.file.read(n)
+        got = self.file.read(n)
+        if len(got) != n:
+            raise ValueError(f"the package ends {n - len(got)} bytes early")
+        return got
+
+    def _within(self, folder: str, ends: tuple[str, ...]) -> list[str]:
+        return sorted(m for m in self.members if m.startswith(f"{folder}/") and m.endswith(ends))
 
     def index(self) -> list[dict]:
-        start, size = self.members[INDEX]
-        return [json.loads(line.split(b" ", 2)[2]) for line in self.read(start, size).splitlines()]
+        """The entries of all indexes, by archive and place; an entry that names no archive is of the only one."""
+        archives = self._within("archive", (".warc.gz", ".warc"))
+        out = []
+        for name in self._within("indexes", (".cdxj", ".cdx")):
+            for line in self.read(*self.members[name]).splitlines():
+                if line.strip() and not line.startswith(b"!"):
+                    entry = json.loads(line.split(b" ", 2)[2])
+                    entry |= {k: int(entry[k]) for k in ("offset", "length")}
+                    own = entry.setdefault("filename", archives[0].removeprefix("archive/") if len(archives) == 1 else "")
+                    if f"archive/{own}" not in archives:
+                        raise ValueError(f"no archive {own!r} in the package")
+                    out.append(entry)
+        return sorted(out, key=lambda e: (e["filename"], e["offset"]))
 
     def records(self) -> Iterator[tuple[dict, bytes]]:
         """(index entry, record) in order; neighbouring ranges are read together up to ``READ_BYTES``."""
-        start, _ = self.members[DATA]
         entries, i = self.index(), 0
         while i < len(entries):
-            j, first = i, entries[i]["offset"]
-            while j < len(entries) and (j == i or entries[j]["offset"] + entries[j]["length"] - first <= READ_BYTES):
+            j, first, own = i, entries[i]["offset"], entries[i]["filename"]
+            start, size = self.members[f"archive/{own}"]
+            while j < len(entries) and entries[j]["filename"] == own and (j == i or entries[j]["offset"] + entries[j]["length"] - first <= READ_BYTES):
                 j += 1
-            data = self.read(start + first, entries[j - 1]["offset"] + entries[j - 1]["length"] - first)
+            end = max(e["offset"] + e["length"] for e in entries[i:j])
+            if end > size:
+                raise ValueError(f"the index goes beyond archive {own!r}")
+            data = self.read(start + first, end - first)
             for e in entries[i:j]:
-                lo = e["offset"] - first
-                yield e, zlib.decompress(data[lo : lo + e["length"]], wbits=31)
+                part = data[e["offset"] - first : e["offset"] - first + e["length"]]
+                yield e, zlib.decompress(part, wbits=31) if own.endswith(".gz") else part
             i = j
 
 
@@ -250,7 +270,7 @@ def write_packages(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
                 pack = zlib.compressobj(3, wbits=31)
                 data = pack.compress(record(page, url, html.encode(), refers)) + pack.flush()
                 writer.write(data)
-                entry = {"page": page, "offset": size, "length": len(data)}
+                entry = {"page": page, "filename": DATA.removeprefix("archive/"), "offset": size, "length": len(data)}
                 lines.append(f"{page} {DATE} {json.dumps(entry)}\n".encode())
                 size += len(data)
                 if len(lines) >= MOST_RECORDS or size >= MOST_BYTES:
@@ -306,7 +326,7 @@ def round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
 
     Defined cases: null html is an empty payload; rows that share the smallest id of their payload are all responses; a
     row without an id revisits the smallest id of its payload, or is a response where none has an id; a null url is
-    ``urn:none``; an empty table writes nothing and gives no rows; other columns are left aside.
+    ``urn:none``; payloads of any length are written whole; an empty table writes nothing and gives no rows; other columns are left aside.
     """
     folder = scratch(pages.sparkSession, "warc")
     return read_packages(write_packages(pages, folder, id_col, url_col, html_col))

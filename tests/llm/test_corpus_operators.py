@@ -3,6 +3,7 @@ clashing columns."""
 
 import base64
 import bisect
+import gzip
 import hashlib
 import io
 import itertools
@@ -263,6 +264,26 @@ def test_zip64_and_foreign_packages(tmp_path):
         assert p.read(start, size) == b"payload" and "other.txt" not in p.members
 
 
+def test_packages_of_other_makers(tmp_path):
+    """Several archives and indexes under other names, one not compressed; a package that is cut short."""
+    bodies = {"archive/b.warc.gz": [b"first", b"second"], "archive/a.warc": [b"third" * 1000]}
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        for n, (name, parts) in enumerate(bodies.items()):
+            data, lines = b"", []
+            for part in parts:
+                packed = gzip.compress(part) if name.endswith("gz") else part
+                lines.append(f'com,x)/ 2024 {{"offset": "{len(data)}", "length": "{len(packed)}", "filename": "{name[8:]}"}}'.encode())
+                data += packed
+            z.writestr(name, data)
+            z.writestr(f"indexes/{n}.cdxj", b"!meta\n" + b"\n".join(reversed(lines)))
+    whole = (tmp_path / "a.zip").read_bytes()
+    package = warc.Package(io.BytesIO(whole), len(whole))
+    assert [(e["filename"], r) for e, r in package.records()] == [("a.warc", b"third" * 1000), ("b.warc.gz", b"first"), ("b.warc.gz", b"second")]
+    package.file = io.BytesIO(whole[:60])
+    with pytest.raises(ValueError):
+        list(package.records())
+
+
 # 4 ----------------------------------------------------------------------------------------------------------------
 
 
