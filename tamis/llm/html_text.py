@@ -44,7 +44,10 @@ NOISE = frozenset(
     "notice notices alert popup modal overlay newsletter subscribe subscription signup login social share sharing related recommended "
     "recommendations widget pagination pager toolbar search skip hidden copyright legal disclaimer".split()
 )
-COMMENTS = frozenset("comment comments replies respond disqus sidebar share sharing social related newsletter ads".split())
+COMMENTS = frozenset("comment comments reply replies respond disqus".split())
+PLACES = frozenset("area body box container content form inner item list main section template text thread wrapper".split())
+LACKS = frozenset("has with no without not is".split())
+FREE = frozenset("free less none off".split())
 #: Containers of an article's own head.
 OWN = frozenset("article entry post story content page hentry".split())
 FLOW = frozenset("header p h1 h2 h3 h4 h5 h6 ul ol dl li pre blockquote table figure figcaption hgroup details".split())
@@ -136,19 +139,29 @@ _NOT_P = BLOCK - {"p"}
 
 
 def _noisy_name(value: str) -> bool:
-    """Whether a class or id names noise: it is a noise word, begins with one ("cookie-notice"), or ends with one that is a
-    place ("left-sidebar"). What follows "has", "with" or "no", or a word for the article, names its state or part."""
+    """Whether a class or id names noise: one of its words does ("cookie-notice", "top-ad-box"), unless what stands round
+    that word says otherwise ("has-sidebar", "no-ads", "ad-free", "entry-header")."""
     for name in value.split():
         parts = [x for x in re.split(r"[^a-z]+", name) if x]
-        if not parts or parts[0] in ("has", "with", "no", "without", "not", "is"):
-            continue
-        if parts[0] in NOISE and not (len(parts) > 1 and parts[1] in ("free", "less", "none", "off")):
-            return True
-        if parts[-1] in NOISE and parts[0] not in OWN or parts[-1] in COMMENTS:
+        for i, part in enumerate(parts):
+            if part not in NOISE or parts[0] in LACKS or i and parts[i - 1] in LACKS or parts[i + 1 : i + 2] and parts[i + 1] in FREE:
+                continue
+            if part in ("header", "masthead") and i and parts[0] in OWN:
+                continue
             return True
     return False
 
 
+def _is_comments(node: Node) -> bool:
+    """Whether a class or id names a place of readers' comments, whatever it holds."""
+    for m in _ATTRIBUTE.finditer(node.attributes):
+        for name in (m[2] or m[3] or m[4] or "").lower().split() if m[1].lower() in ("class", "id") else ():
+            parts = [x for x in re.split(r"[^a-z]+", name) if x]
+            if parts and (parts[-1] in COMMENTS or parts[0] in COMMENTS and parts[-1] in PLACES):
+                return True
+    return False
+
+
 def _is_own(node: Node) -> bool:
     """Whether a class or id begins with a word for the article."""
     return any(
@@ -202,7 +215,7 @@ def _walk(root: Node) -> list[Node]:
         if not _noise(node):
             return False
         whole = plain[id(node)] >= least and within[id(node)] == articles and node.tag not in HARD
-        return not whole or "comment" in node.attributes.lower()
+        return not whole or _is_comments(node)
 
     out, todo = [], [root]
     while todo:

@@ -326,6 +326,8 @@ PARTS = [f"Paragraph {k}, with commas, words, and more text that fills a line of
         (f'<div class="newsletter-page">{ARTICLE}</div>', PARTS),
         (f'<div class="comments">{ARTICLE * 3}</div><div class="story"><h2>Head</h2><p>The story, told, shortly.</p></div>', ["Head", "The story, told, shortly."]),
         (f'<div class="ad-free"><div class="left-sidebar"><p>Side, text.</p></div>{ARTICLE}</div>', PARTS),
+        (f'<div class="content-sidebar-wrap comment-enabled"><div class="top-ad-box"><p>Buy, now, this.</p></div>{ARTICLE}<div class="page-footer"><p>Foot, note.</p></div></div>', PARTS),
+        (f'<div>{ARTICLE}</div><div class="reader-comments-list"><p>I, too, agree.</p></div><p class="site-notice">We, too.</p>', PARTS),
         (f'<div class="breadcrumbs">a, b, c</div><div>{ARTICLE}</div><div class="related-posts"><p>See, this, too.</p></div>', PARTS),
     ],
 )
