@@ -62,6 +62,8 @@ def image_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding", "label").mapInArrow(run, FRAMES)
 
 
+#: Bytes within which an image's header ends.
+HEADER = 4096
 _PPM = re.compile(rb"P6\s+(?:#[^\n]*\n\s*)*(\d+)\s+(\d+)\s+(\d+)\s")
 
 
@@ -81,12 +83,14 @@ def images_of(read: Callable[[int], bytes], piece: int = 1 << 16) -> Iterator[by
     held = b""
     while True:
         head = _PPM.match(held)
-        while head is None or int(head[3]) != 255 or head.end() == len(held):
-            more = read(piece) if len(held) < piece or head is not None and int(head[3]) == 255 else b""
+        while head is None:
+            more = read(piece) if len(held) < HEADER else b""
             if not more:
                 return
             held += more
             head = _PPM.match(held)
+        if int(head[3]) != 255:
+            return
         end = head.end() + 3 * int(head[1]) * int(head[2])
         parts, have = [held], len(held)
         while have < end:
