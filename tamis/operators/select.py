@@ -10,11 +10,14 @@ from tamis.operators.folds import ordered_fold, stratified_step
 from tamis.operators.scoring import ranked
 from tamis.operators.strata import combinations, combo_key
 
+#: What selection needs of a frame; vectors and metrics are fetched for the chosen frames alone.
+NARROW = ("video_id", "idx", "ml_score", "altitude", "view", "cover", "lighting")
+
 
 def stratified_select(binned: DataFrame, size: int, cfg: Config) -> DataFrame:
-    """Accepted frames of each collection, in rank order, at most ``size``."""
+    """Accepted frames of each collection, in rank order, at most ``size``; only their ``NARROW`` columns, with rank and key."""
     shares = {k: s for k, _, s in combinations(cfg)}
-    keyed = ranked(binned).withColumn("combo_key", combo_key())
+    keyed = ranked(binned.select(*NARROW)).withColumn("combo_key", combo_key())
     folded = ordered_fold(keyed, "video_id", ["rank"], ["combo_key", "cover", "ml_score"], "accepted boolean", stratified_step(shares, size, cfg))
     return folded.where("accepted").drop("accepted")
 
@@ -29,24 +32,27 @@ def fill(chosen: DataFrame, pool: DataFrame, size: int, phase: int = 1) -> DataF
 
 
 def preliminary(binned: DataFrame, size: int | None, cfg: Config) -> DataFrame:
-    """The selection before removal of duplicates, with ``phase`` and ``prelim_ord``: the top fraction without a size,
-    else the stratified picks and then the fill."""
+    """The selection before removal of duplicates, with ``rank``, ``phase`` and ``prelim_ord``: the top fraction without a
+    size, else the stratified picks and then the fill."""
     from tamis.operators.scoring import top_fraction
 
+    narrow = binned.select(*NARROW)
     if size is None:
-        out = top_fraction(binned, cfg.selection_ratio).withColumn("phase", F.lit(0))
+        out = top_fraction(narrow, cfg.selection_ratio).withColumn("phase", F.lit(0))
     else:
-        picks = stratified_select(binned, size, cfg).drop("combo_key").withColumn("phase", F.lit(0))
-        out = fill(picks, ranked(binned), size)
+        picks = stratified_select(narrow, size, cfg).drop("combo_key").withColumn("phase", F.lit(0))
+        out = fill(picks, ranked(narrow), size)
     order = Window.partitionBy("video_id").orderBy("phase", "rank")
-    return out.withColumn("prelim_ord", F.row_number().over(order))
+    placed = out.withColumn("prelim_ord", F.row_number().over(order)).select("video_id", "idx", "rank", "phase", "prelim_ord")
+    return binned.join(placed, ["video_id", "idx"])
 
 
 def final_order(kept: DataFrame, pool: DataFrame, size: int | None) -> DataFrame:
     """Survivors, filled up again from ``pool`` (removed duplicates included) where short, best scores first."""
-    out = kept.withColumn("phase", F.lit(0))
+    out = kept.select(*NARROW, "rank", "prelim_ord", F.lit(0).alias("phase"))
     if size is not None:
-        out = fill(out, pool, size)
+        out = fill(out, ranked(pool.select(*NARROW)), size)
     order = Window.partitionBy("video_id").orderBy(F.desc("ml_score"), "phase", F.coalesce("prelim_ord", "rank"))
     out = out.withColumn("final_ord", F.row_number().over(order))
-    return out if size is None else out.where(F.col("final_ord") <= size)
+    out = out if size is None else out.where(F.col("final_ord") <= size)
+    return pool.join(out.select("video_id", "idx", "rank", "prelim_ord", "phase", "final_ord"), ["video_id", "idx"])

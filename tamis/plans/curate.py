@@ -45,7 +45,7 @@ def select_from(pool: DataFrame, cfg: Config, target_size: int | None = None, me
     """``curate`` from candidates that are written already."""
     chosen = materialise(select.preliminary(pool, target_size, cfg), "chosen")
     kept = without_duplicates(chosen, cfg, method)
-    return select.final_order(kept, scoring.ranked(pool), target_size)
+    return select.final_order(kept, pool, target_size)
 
 
 def score_stats(selected: DataFrame) -> DataFrame:
