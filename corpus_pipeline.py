@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tamis.llm import decontaminate, packing, pii, simhash, toxicity
-from tamis.llm.common import materialise, table
+from tamis.llm.common import table
+from tamis.storage import discard, materialise, scratch
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -50,9 +51,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, held = table(spark, sf_dir, "documents"), None
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs = materialise(docs, name.replace(" ", "-"))
+            path = scratch(spark, name.replace(" ", "-"))
+            docs = materialise(docs, name, path=path)
+            if held:
+                discard(spark, held)
+            held = path
     return docs
