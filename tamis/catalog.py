@@ -545,7 +545,7 @@ def targets_result(spark, d):
     _with(
         *_FINAL,
         sql.EVALUATED,
-        f"remedies(remedy) AS (VALUES {', '.join('(' + repr(r) + ')' for r in manifest.REMEDIES if chr(39) not in r)})",
+        f"remedies(remedy) AS (VALUES {', '.join('(' + repr(r) + ')' for r in manifest.REMEDIES)})",
         "SELECT video_id, reason, remedy FROM (SELECT video_id, 'size' AS reason FROM result WHERE selected_count < 14 UNION ALL SELECT video_id, 'targets' FROM result WHERE NOT success), remedies",
     )
 )

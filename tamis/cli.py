@@ -21,7 +21,7 @@ log = logging.getLogger(__name__)
 
 
 def parser() -> argparse.ArgumentParser:
-    p = argparse.ArgumentParser(prog="tamis", description="Curates balanced frames from videos.")
+    p = argparse.ArgumentParser(prog="tamis", description="Curates a diverse training set of frames from videos.")
     p.add_argument("video", help="PPM videos (comma separated), a folder of PPM images (ends in /), or a Parquet table of frames")
     p.add_argument("-o", "--out", help="output folder; else named after the source")
     p.add_argument("--config", help="YAML or JSON settings")
