@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tamis.llm import bpe, decontaminate, html_text, media, packing, pii, quality, shards, simhash, toxicity, warc
+from tamis.llm import bpe, decontaminate, html_text, media, merkle, packing, pii, quality, shards, simhash, toxicity, warc
 from tamis.llm.common import table
 
 
@@ -55,8 +55,12 @@ def op11_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified_documents(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_audio_fingerprints, op3_warc_zip, op4_html_extraction, op5_pii, op6_quality_classifier, op7_simhash_near_duplicates, op8_benchmark_decontamination, op9_token_shards, op10_best_fit_packing, op11_byte_level_bpe)}
+    return {f.__name__: f for f in (op1_toxicity, op2_audio_fingerprints, op3_warc_zip, op4_html_extraction, op5_pii, op6_quality_classifier, op7_simhash_near_duplicates, op8_benchmark_decontamination, op9_token_shards, op10_best_fit_packing, op11_byte_level_bpe, op13_merkle_manifest)}
 
 
 #: Five bits of the hexadecimal SHA-1 make a base32 digit.
