@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tamis.llm import bpe, decontaminate, html_text, media, merkle, packing, pii, quality, shards, simhash, toxicity, warc
+from tamis.llm import bpe, decontaminate, html_text, media, merkle, negatives, packing, pii, quality, shards, simhash, toxicity, warc
 from tamis.llm.common import table
 
 
@@ -55,12 +55,16 @@ def op11_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mine(negatives.prepared(table(spark, sf_dir, "embeddings")))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified_documents(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_audio_fingerprints, op3_warc_zip, op4_html_extraction, op5_pii, op6_quality_classifier, op7_simhash_near_duplicates, op8_benchmark_decontamination, op9_token_shards, op10_best_fit_packing, op11_byte_level_bpe, op13_merkle_manifest)}
+    return {f.__name__: f for f in (op1_toxicity, op2_audio_fingerprints, op3_warc_zip, op4_html_extraction, op5_pii, op6_quality_classifier, op7_simhash_near_duplicates, op8_benchmark_decontamination, op9_token_shards, op10_best_fit_packing, op11_byte_level_bpe, op12_hard_negatives, op13_merkle_manifest)}
 
 
 #: Five bits of the hexadecimal SHA-1 make a base32 digit.
@@ -76,5 +80,15 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN first = page_id THEN 'r
 """
 
 
+OP12_SQL = """
+WITH v AS (SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.id AS anchor_id, b.id, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score FROM v a JOIN v b ON a.id % 100 = 0),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same AND id <> anchor_id QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score QUALIFY rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_warc_zip": OP3_SQL}
+    return {"op3_warc_zip": OP3_SQL, "op12_hard_negatives": OP12_SQL}
