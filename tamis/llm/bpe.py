@@ -6,6 +6,7 @@ inner node the least of its two children: the root is the leftmost pair of the l
 out of a linked list of live positions and changes three leaves (the merged token's, its left neighbour's and the one that
 died), each in logarithmic time, so a match of n bytes costs n log n whatever its length.
 
+Short matches take their merges in rounds, many trees at once, in arrays; long ones go one by one.
 Matches and the parts of a text between single spaces are remembered in each Python worker, in caches of a fixed number of
 entries, so the tree runs once for each distinct match while the cache holds it.
 """
@@ -28,6 +29,8 @@ from tamis.llm.tokens import vocabulary
 #: Entries of each cache, and characters of the longest text part it keeps; a full cache is emptied, which costs time and
 #: changes no result.
 CACHE_ENTRIES, LONGEST = 600_000, 256
+#: Bytes of a match that is merged along with others.
+SHORT = 64
 #: A single space between two other characters: no match of a pattern whose words may start with a space crosses it.
 _SEAM = re.compile(r"(?<=\S) (?=\S)")
 _SHIFT = 32
@@ -97,8 +100,63 @@ def merge(ids: list[int], pairs: dict[int, int]) -> list[int]:
     return out
 
 
+class PairTable:
+    """``pair_ranks`` as sorted arrays, for many look-ups at once."""
+
+    def __init__(self, pairs: dict[int, int]):
+        self.keys = np.array(sorted(pairs), np.int64)
+        self.ranks = np.array([pairs[k] for k in self.keys.tolist()], np.int64)
+
+    def leaves(self, left: np.ndarray, right: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """The tree's leaves at ``place`` for pairs of ids; an id below zero stands for no token."""
+        key = left << _SHIFT | right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        known = (self.keys[at] == key) & (left >= 0) & (right >= 0)
+        return np.where(known, self.ranks[at] << _SHIFT | place, _NONE)
+
+
+def merge_many(ids: np.ndarray, table: PairTable) -> tuple[np.ndarray, np.ndarray]:
+    """``merge`` of many rows at once: a row of ``ids`` ends in -1 where it is shorter. One tree for each row; a round takes
+    the next merge of every row that has one. The rows' ids in the same form, with gaps, and which places are live."""
+    m, n = ids.shape
+    size = 1 << max(n - 1, 1).bit_length()
+    wide = np.full((m, size + 1), -1, np.int64)
+    wide[:, :n] = ids
+    tree = np.full((m, 2 * size), _NONE, np.int64)
+    place = np.arange(size)
+    tree[:, size:] = table.leaves(wide[:, :-1], wide[:, 1:], place[None, :])
+    for low in (size >> k for k in range(1, size.bit_length())):
+        tree[:, low : 2 * low] = np.minimum(tree[:, 2 * low : 4 * low : 2], tree[:, 2 * low + 1 : 4 * low : 2])
+    after = np.broadcast_to(np.arange(1, size + 2), (m, size + 1)).copy()
+    after[:, size] = size
+    before = np.broadcast_to(np.arange(-1, size), (m, size + 1)).copy()
+    live = wide[:, :size] >= 0
+    row = np.flatnonzero(tree[:, 1] != _NONE)
+    while len(row):
+        top = tree[row, 1]
+        i = top & 0xFFFFFFFF
+        own = wide[row, i] = top >> _SHIFT
+        dead = after[row, i]
+        right = after[row, dead]
+        after[row, i] = right
+        before[row, right] = i
+        live[row, dead] = False
+        wide[row, dead] = -1
+        left = before[row, i]
+        tree[row, size + dead] = _NONE
+        tree[row, size + i] = table.leaves(own, wide[row, right], i)
+        some = left >= 0
+        tree[row[some], size + left[some]] = table.leaves(wide[row[some], left[some]], own[some], left[some])
+        for r, at in ((row, size + dead), (row, size + i), (row[some], size + left[some])):
+            for _ in range(size.bit_length() - 1):
+                at = at >> 1
+                tree[r, at] = np.minimum(tree[r, 2 * at], tree[r, 2 * at + 1])
+        row = row[tree[row, 1] != _NONE]
+    return wide[:, :size], live
+
+
 class ByteBpe:
-    """``encode`` gives a text's ids, ``decode`` the bytes of ids."""
+    """``encode`` gives texts' ids, ``decode`` the bytes of ids."""
 
     def __init__(self, path: str, pattern: str, entries: int = CACHE_ENTRIES):
         import regex
@@ -106,6 +164,7 @@ class ByteBpe:
         self.ranks = read_ranks(path)
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.pairs = pair_ranks(self.ranks)
+        self.table = PairTable(self.pairs)
         missing = [b for b in range(256) if bytes([b]) not in self.ranks]
         if missing:
             raise ValueError(f"{path}: no token for the bytes {missing}")
@@ -113,47 +172,71 @@ class ByteBpe:
         self.matches = regex.compile(pattern).findall
         #: Whether parts between single spaces stand alone, which holds for patterns whose words may begin with one space.
         self.seams = " ?" in pattern
+        #: Whether letters alone are one match.
+        self.words = r" ?\p{L}+" in pattern
         self.entries = entries
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
-    def piece(self, match: str) -> bytes:
-        """The packed ids of one match."""
-        got = self.pieces.get(match)
-        if got is None:
+    def merged(self, found: set[str]) -> dict[str, bytes]:
+        """The packed ids of matches: tokens at once, short matches by many trees at once, long ones one by one."""
+        out: dict[str, bytes] = {}
+        classes: dict[int, list[tuple[str, bytes]]] = {}
+        for match in found:
             raw = match.encode()
             whole = self.ranks.get(raw)
-            ids = [whole] if whole is not None else merge([self.single[b] for b in raw], self.pairs)
-            got = struct.pack(f"<{len(ids)}I", *ids)
-            if len(match) <= LONGEST:
-                if len(self.pieces) >= self.entries:
-                    self.pieces.clear()
-                self.pieces[match] = got
-        return got
-
-    def _part(self, cache: dict[str, bytes], part: str, space: str) -> bytes:
-        got = b"".join(map(self.piece, self.matches(space + part)))
-        if len(part) <= LONGEST:
-            if len(cache) >= self.entries:
-                cache.clear()
-            cache[part] = got
-        return got
-
-    def encode(self, text: str) -> bytes:
-        """The ids of ``text`` as little-endian unsigned 32-bit integers; no string in it is a special token."""
-        if not text:
-            return b""
-        if not self.seams:
-            return b"".join(map(self.piece, self.matches(text)))
-        parts = _SEAM.split(text)
-        first = self.first.get(parts[0])
-        out = [self._part(self.first, parts[0], "") if first is None else first]
-        found = list(map(self.later.get, parts[1:]))
-        if None in found:
-            found = [self._part(self.later, p, " ") if f is None else f for p, f in zip(parts[1:], found, strict=True)]
-        out += found
-        return b"".join(out)
+            if whole is not None:
+                out[match] = whole.to_bytes(4, "little")
+            elif len(raw) <= SHORT:
+                classes.setdefault((len(raw) - 1).bit_length(), []).append((match, raw))
+            else:
+                ids = merge([self.single[b] for b in raw], self.pairs)
+                out[match] = struct.pack(f"<{len(ids)}I", *ids)
+        single = np.array([*self.single, -1], np.int64)
+        for bits, rows in classes.items():
+            for lo in range(0, len(rows), 4096):
+                some = rows[lo : lo + 4096]
+                counts = np.array([len(raw) for _, raw in some])
+                octets = np.full((len(some), 1 << bits), 256)
+                octets[np.arange(1 << bits) < counts[:, None]] = np.frombuffer(b"".join(raw for _, raw in some), np.uint8)
+                ids, live = merge_many(single[octets], self.table)
+                packed = ids[live].astype("<u4").tobytes()
+                ends = 4 * live.sum(1).cumsum()
+                start = 0
+                for (match, _), end in zip(some, ends.tolist(), strict=True):
+                    out[match] = packed[start:end]
+                    start = end
+        return out
+
+    def _split(self, part: str) -> list[str]:
+        return [f" {part}"] if self.words and part.isascii() and part.isalpha() else self.matches(f" {part}")
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers; no string in a text is a special token."""
+        split = [_SEAM.split(t) if self.seams else [t] for t in texts]
+        known, pieces = self.parts, self.pieces
+        first = [self.matches(parts[0]) for parts in split]
+        new = {p: self._split(p) for p in {p for parts in split for p in parts[1:] if p not in known}}
+        wanted = {m for matches in first for m in matches if m not in pieces}
+        wanted.update(m for matches in new.values() for m in matches if m not in pieces)
+        fresh = self.merged(wanted)
+        ids_of = lambda m: fresh[m] if m in fresh else pieces[m]
+        learnt = {p: b"".join(map(ids_of, matches)) for p, matches in new.items()}
+        out = []
+        for parts, matches in zip(split, first, strict=True):
+            rest = list(map(known.get, parts[1:]))
+            if None in rest:
+                rest = [learnt[p] if ids is None else ids for p, ids in zip(parts[1:], rest, strict=True)]
+            out.append(b"".join([*map(ids_of, matches), *rest]))
+        self._keep(known, learnt, self.entries)
+        self._keep(pieces, fresh, self.entries // 2)
+        return out
+
+    def _keep(self, cache: dict[str, bytes], more: dict[str, bytes], most: int) -> None:
+        if len(cache) + len(more) > most:
+            cache.clear()
+        if len(more) <= most:
+            cache.update((k, v) for k, v in more.items() if len(k) <= LONGEST)
 
     def decode(self, ids: bytes) -> bytes:
         """The bytes that packed ids stand for; an id outside the vocabulary is an error."""
@@ -185,7 +268,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voca
         model = coder(path, pattern)
 
         def step(batch):
-            ids = [model.encode(t) for t in texts(batch, "text")]
+            ids = model.encode(texts(batch, "text"))
             counts = pa.array([len(i) // 4 for i in ids], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("id"), counts, pa.array(ids, pa.binary())], names=["id", "n_tokens", "ids"])
 

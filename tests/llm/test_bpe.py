@@ -42,13 +42,24 @@ def test_merge_is_the_leftmost_lowest_pair(model):
                 assert bpe.merge(ids, pairs) == plain_merge(ids, pairs)
 
 
+def test_many_trees_at_once(model):
+    rng = random.Random(5)
+    rows = [[rng.randrange(97, 105) for _ in range(rng.randint(1, 16))] for _ in range(500)]
+    ids = np.full((len(rows), 16), -1, np.int64)
+    for k, row in enumerate(rows):
+        ids[k, : len(row)] = [model.single[b] for b in row]
+    got, live = bpe.merge_many(ids, model.table)
+    for k, row in enumerate(rows):
+        assert got[k][live[k]].tolist() == plain_merge([model.single[b] for b in row], model.pairs)
+
+
 def test_encode_equals_the_library(model, library):
     rng = random.Random(4)
     bits = [" ", "  ", "\n", "\t", "\x1c", "\x85", "　", "\xa0", "a", "B", "'s", "'", "'ll", "é", "ß", "中", "文", "1", "²", "!", "-", "<|endoftext|>", "́", "😀", "‍", "\r\n", "the", "ing", "\x00", "﻿"]
     odd = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 14))) for _ in range(4000)]
     points = "".join(f"{chr(c)}a{chr(c)} {chr(c)}" for c in range(0x3000))
     for text in [*odd, points, "a" * 50_000, "".join(rng.choice("abcdefgh") for _ in range(20_000)), " " * 9_000, "\n " * 9_000]:
-        got = model.encode(text)
+        got = model.encode([text])[0]
         assert np.frombuffer(got, "<u4").tolist() == library.encode_ordinary(text)
         assert model.decode(got) == text.encode()
 
@@ -57,7 +68,7 @@ def test_patterns_without_a_leading_space(library):
     model = bpe.ByteBpe(vocabulary("byte_bpe_multi_50k.tiktoken"), r"\p{L}+|[^\p{L}]+")
     own = tiktoken.Encoding("own", pat_str=r"\p{L}+|[^\p{L}]+", mergeable_ranks=model.ranks, special_tokens={})
     for text in ("one two  three", "  a b", "x"):
-        assert np.frombuffer(model.encode(text), "<u4").tolist() == own.encode_ordinary(text)
+        assert np.frombuffer(model.encode([text])[0], "<u4").tolist() == own.encode_ordinary(text)
 
 
 def test_the_query_over_the_whole_table(spark, sf_dir, library):
