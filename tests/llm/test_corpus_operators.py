@@ -886,3 +886,26 @@ def test_packing_plans(kind):
     plan = packing.plan_packing(counts)
     assert all(plan.rank.get(n, 0) == counts[n] for n in range(1, 4097))
     assert -(-int(lengths.sum()) // 4096) <= plan.sequences <= plain_best_fit(lengths, 4096)
+
+
+@pytest.mark.parametrize("low, high, n", [(420, 512, 20_000), (300, 511, 30_000), (1000, 1500, 20_000), (100, 128, 30_000), (2000, 2100, 5_000)])
+def test_packing_groups_lengths_of_any_size(low, high, n):
+    """Short documents alone reach the grouping scheme too: no variant of it is clearly better than the plan."""
+    lengths = np.random.default_rng(low).integers(low, high + 1, n)
+    counts = np.bincount(lengths, minlength=4097)
+    plan = packing.plan_packing(counts)
+    others = [packing.grouped_plan(counts, 4096, groups, small).sequences for groups in (48, 96) for small in (4, 8, 16, 32, 64)]
+    assert all(plan.rank.get(k, 0) == counts[k] for k in range(1, 4097))
+    assert plan.sequences <= 1.005 * min([*others, plain_best_fit(lengths, 4096)])
+
+
+def test_dearest_configuration():
+    rng = np.random.default_rng(2)
+    for _ in range(40):
+        sizes = np.unique(rng.integers(3, 40, rng.integers(1, 6)))
+        price = rng.random(len(sizes))
+        copies, value = packing._dearest(sizes, price, 60)
+        best = np.zeros(61)
+        for c in range(61):
+            best[c] = max([0.0, *(best[c - s] + p for s, p in zip(sizes, price, strict=True) if s <= c)])
+        assert abs(value - best[60]) < 1e-9 and copies @ sizes <= 60 and abs(copies @ price - value) < 1e-9
