@@ -7,14 +7,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamis import config
 from tamis import oracle as sql
 from tamis.config import Config
 from tamis.functions import image
-from tamis.functions.vectors import cosine, normalised, scale
+from tamis.functions.vectors import normalised, scale
 from tamis.operators import folds, scoring, select, similarity, strata
 from tamis.plans import curate, manifest
 from tamis.sources import frames
@@ -220,9 +220,7 @@ def cosine_pairs(spark, d):
     )
 )
 def adjacent_cosine(spark, d):
-    nxt = F.lead("embed").over(Window.partitionBy("video_id").orderBy("idx"))
-    view = frames.light_view(spark, d).select("video_id", "idx", "embed").withColumn("nxt", nxt).where("nxt IS NOT NULL")
-    return view.select("video_id", "idx", F.round(cosine(F.col("embed"), F.col("nxt")), 6).alias("cos"))
+    return similarity.neighbours(frames.light_view(spark, d), "idx").select("video_id", "idx", *_r("cos"))
 
 
 @_query(_with(_VECTORS, sql.greedy("nodes", 0.35), "SELECT ord FROM kept"))

@@ -48,6 +48,8 @@ class Config:
     cosine_threshold: float = 0.85
     duplicates_method: str = "greedy"
     eps: float | None = None
+    #: Quantile of the neighbours' cosines, least and largest automatic radius, and the radius of fewer than three frames.
+    eps_bounds: tuple[float, float, float, float] = (0.9, 0.02, 0.30, 0.10)
     min_samples: int = 1
     min_sharpness: float = 80.0
     min_contrast: float = 20.0

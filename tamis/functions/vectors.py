@@ -1,7 +1,9 @@
-"""Vector arithmetic as column expressions that stay in the JVM."""
+"""Vector arithmetic: column expressions that stay in the JVM, and matrices of Arrow columns."""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,3 +29,17 @@ def clamp01(x: Column) -> Column:
 
 def scale(x: Column, lo: float, hi: float) -> Column:
     return clamp01((x - F.lit(float(lo))) / F.lit(hi - lo + 1e-9))
+
+
+def matrix(column: pa.Array) -> np.ndarray:
+    """A list column as a matrix of doubles; vectors of different lengths, or none, are an error."""
+    n = len(column)
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    if n and (column.null_count or len(flat) % n or (np.diff(column.offsets.to_numpy()) != len(flat) // n).any()):
+        raise ValueError("vectors of different lengths")
+    return flat.reshape(n, -1)
+
+
+def units(m: np.ndarray) -> np.ndarray:
+    """Rows divided by their lengths plus 1e-9."""
+    return m / (np.linalg.norm(m, axis=1, keepdims=True) + 1e-9)

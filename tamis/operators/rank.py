@@ -1,4 +1,4 @@
-"""Places in an order, of collections of any size: no window or task holds a collection."""
+"""Places in an order, of collections of any size: no window or task holds a collection that has no bound."""
 
 from __future__ import annotations
 
@@ -30,3 +30,15 @@ def placed(df: DataFrame, keys: list[str], order: list[str | Column], name: str
     out = rows.join(runs, same)
     found = [(F.col(_AT) + F.col(_BASE)).alias(name)]
     return out.select(*df.columns, *found, *([F.col("__t").alias(total)] if total else []))
+
+
+#: Rows of a collection up to which a window numbers them in one task.
+WINDOW = 100_000
+
+
+def ordered(df: DataFrame, key: str, order: list[str | Column], name: str, most: int | None = None) -> DataFrame:
+    """``df`` with each row's place, from 1, in its collection: by a window where callers know that a collection has at
+    most ``most`` rows and that is no more than ``WINDOW``, else by ranges."""
+    if most is not None and most <= WINDOW:
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(key).orderBy(*order)).cast("long"))
+    return placed(df, [key], order, name).withColumn(name, F.col(name) + 1)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tamis.config import Config
 from tamis.functions.vectors import clamp01, scale
+from tamis.operators.rank import placed
+from tamis.storage import materialise
 
 
 def stride(frames: DataFrame, step: int) -> DataFrame:
@@ -51,12 +53,26 @@ def exposure_score(mean: Column, under: Column, over: Column) -> Column:
     return clamp01(1 - F.least(F.lit(1.0), F.lit(0.6) * F.abs(mean - 128.0) / 128.0 + F.lit(0.4) * 2.0 * (under + over)))
 
 
-def ranked(scored: DataFrame, by: str = "ml_score") -> DataFrame:
-    """Adds ``rank`` from 1 in each collection, best first, ties by ``idx``."""
-    return scored.withColumn("rank", F.row_number().over(Window.partitionBy("video_id").orderBy(F.desc(by), "idx")))
+#: Ranks of the first span; every next one reaches four times as far.
+SPAN = 4096
+
+
+def ranked(scored: DataFrame, by: str = "ml_score", total: str | None = None) -> DataFrame:
+    """Adds ``rank`` from 1 in each collection, best first, ties by ``idx``, and the collection's rows as ``total``."""
+    return placed(scored, ["video_id"], [F.desc(by), "idx"], "rank", total).withColumn("rank", F.col("rank") + 1)
+
+
+def ranking(scored: DataFrame) -> DataFrame:
+    """``ranked`` with totals, written once, its files parted by spans of ranks."""
+    ends = F.array(*(F.lit(SPAN * 4**k).cast("long") for k in range(25)))
+    return materialise(ranked(scored, total="total").withColumn("span", F.size(F.filter(ends, lambda e: e < F.col("rank")))), "ranking", by="span")
+
+
+def of_fraction(ranks: DataFrame, ratio: float, total: str = "total") -> DataFrame:
+    """The best max(1, floor(n * ratio)) of each collection of ``ranked`` rows with totals."""
+    return ranks.where(F.col("rank") <= F.greatest(F.lit(1), F.floor(F.col(total) * F.lit(float(ratio)))))
 
 
 def top_fraction(scored: DataFrame, ratio: float, by: str = "ml_score") -> DataFrame:
     """The best max(1, floor(n * ratio)) of each collection, with their rank."""
-    n = F.count("*").over(Window.partitionBy("video_id"))
-    return ranked(scored, by).withColumn("n", n).where(F.col("rank") <= F.greatest(F.lit(1), F.floor(F.col("n") * F.lit(float(ratio))))).drop("n")
+    return of_fraction(ranked(scored, by, "__total"), ratio, "__total").drop("__total")

@@ -1,58 +1,62 @@
-"""Stratified selection, fills and final order."""
+"""Stratified selection, fills and final order. No step numbers or sorts a whole collection in one task."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamis.config import Config
-from tamis.operators.folds import ordered_fold, stratified_step
-from tamis.operators.scoring import ranked
+from tamis.operators.folds import stratified_ranges
+from tamis.operators.rank import ordered
+from tamis.operators.scoring import of_fraction, ranking
 from tamis.operators.strata import combinations, combo_key
 
 #: What selection needs of a frame; vectors and metrics are fetched for the chosen frames alone.
 NARROW = ("video_id", "idx", "ml_score", "altitude", "view", "cover", "lighting")
 
 
-def stratified_select(binned: DataFrame, size: int, cfg: Config) -> DataFrame:
-    """Accepted frames of each collection, in rank order, at most ``size``; only their ``NARROW`` columns, with rank and key."""
-    shares = {k: s for k, _, s in combinations(cfg)}
-    keyed = ranked(binned.select(*NARROW)).withColumn("combo_key", combo_key())
-    folded = ordered_fold(keyed, "video_id", ["rank"], ["combo_key", "cover", "ml_score"], "accepted boolean", stratified_step(shares, size, cfg))
-    return folded.where("accepted").drop("accepted")
+def ranks_of(binned: DataFrame) -> DataFrame:
+    """The ranking that selections and fills share: ``NARROW``, ``combo_key``, ``rank``, ``total`` and ``span``, written."""
+    return ranking(binned.select(*NARROW).withColumn("combo_key", combo_key()))
 
 
-def fill(chosen: DataFrame, pool: DataFrame, size: int, phase: int = 1) -> DataFrame:
-    """``chosen`` (with ``phase``) and, where a collection is short of ``size``, its best ranked frames not chosen yet."""
-    have = chosen.groupBy("video_id").agg(F.count("*").alias("have"))
-    rest = pool.join(chosen.select("video_id", "idx"), ["video_id", "idx"], "left_anti")
-    nth = F.row_number().over(Window.partitionBy("video_id").orderBy("rank"))
-    more = rest.join(have, "video_id", "left").withColumn("nth", nth).where(F.col("nth") <= F.lit(size) - F.coalesce("have", F.lit(0)))
-    return chosen.unionByName(more.drop("nth", "have").withColumn("phase", F.lit(phase)), allowMissingColumns=True)
+def picked(ranks: DataFrame, size: int, cfg: Config) -> DataFrame:
+    """(video_id, idx, rank, pick, nth): see ``stratified_ranges``."""
+    return stratified_ranges(ranks, {k: s for k, _, s in combinations(cfg)}, size, cfg)
 
 
-def preliminary(binned: DataFrame, size: int | None, cfg: Config) -> DataFrame:
-    """The selection before removal of duplicates, with ``rank``, ``phase`` and ``prelim_ord``: the top fraction without a
-    size, else the stratified picks and then the fill."""
-    from tamis.operators.scoring import top_fraction
+def stratified_select(binned: DataFrame, size: int, cfg: Config) -> DataFrame:
+    """Accepted frames of each collection, in rank order, at most ``size``; only their ``NARROW`` columns, with rank and key."""
+    ranks = ranks_of(binned)
+    return ranks.drop("total", "span").join(picked(ranks, size, cfg).where("pick IS NOT NULL").select("video_id", "idx"), ["video_id", "idx"], "left_semi")
 
-    narrow = binned.select(*NARROW)
+
+def preliminary(binned: DataFrame, size: int | None, cfg: Config, ranks: DataFrame | None = None) -> DataFrame:
+    """The selection before removal of duplicates, with ``rank``, ``phase`` and ``prelim_ord``: the top fraction without a
+    size, else the stratified picks (phase 0) and, where a collection is short of ``size``, its best frames passed over."""
+    ranks = ranks_of(binned) if ranks is None else ranks
+    phase = lambda n: F.lit(n).alias("phase")
     if size is None:
-        out = top_fraction(narrow, cfg.selection_ratio).withColumn("phase", F.lit(0))
+        out = of_fraction(ranks, cfg.selection_ratio).select("video_id", "idx", "rank", phase(0), F.col("rank").alias("prelim_ord"))
     else:
-        picks = stratified_select(narrow, size, cfg).drop("combo_key").withColumn("phase", F.lit(0))
-        out = fill(picks, ranked(narrow), size)
-    order = Window.partitionBy("video_id").orderBy("phase", "rank")
-    placed = out.withColumn("prelim_ord", F.row_number().over(order)).select("video_id", "idx", "rank", "phase", "prelim_ord")
-    return binned.join(placed, ["video_id", "idx"])
-
-
-def final_order(kept: DataFrame, pool: DataFrame, size: int | None) -> DataFrame:
-    """Survivors, filled up again from ``pool`` (removed duplicates included) where short, best scores first."""
-    out = kept.select(*NARROW, "rank", "prelim_ord", F.lit(0).alias("phase"))
+        seen = picked(ranks, size, cfg)
+        picks = seen.where("pick IS NOT NULL").select("video_id", "idx", "rank", phase(0), F.col("pick").alias("prelim_ord"))
+        have = picks.groupBy("video_id").agg(F.count("*").alias("have"))
+        passed = seen.where("nth IS NOT NULL").join(have, "video_id", "left").withColumn("prelim_ord", F.coalesce("have", F.lit(0)) + F.col("nth"))
+        out = picks.unionByName(passed.where(F.col("prelim_ord") <= size).select("video_id", "idx", "rank", phase(1), "prelim_ord"))
+    return binned.join(out, ["video_id", "idx"])
+
+
+def final_order(kept: DataFrame, pool: DataFrame, size: int | None, ranks: DataFrame | None = None) -> DataFrame:
+    """Survivors, filled up again from ``pool`` (removed duplicates included) where short, best scores first. The frames
+    that can fill are among the first ``size`` ranks of their collection."""
+    out = kept.select("video_id", "idx", "ml_score", "rank", "prelim_ord", F.lit(0).alias("phase"))
     if size is not None:
-        out = fill(out, ranked(pool.select(*NARROW)), size)
-    order = Window.partitionBy("video_id").orderBy(F.desc("ml_score"), "phase", F.coalesce("prelim_ord", "rank"))
-    out = out.withColumn("final_ord", F.row_number().over(order))
+        best = (ranks_of(pool) if ranks is None else ranks).where(F.col("rank") <= size).select("video_id", "idx", "ml_score", "rank")
+        have = out.groupBy("video_id").agg(F.count("*").alias("have"))
+        missing = ordered(best.join(out.select("video_id", "idx"), ["video_id", "idx"], "left_anti"), "video_id", ["rank"], "nth", size)
+        more = missing.join(have, "video_id", "left").where(F.col("nth") <= F.lit(size) - F.coalesce("have", F.lit(0)))
+        out = out.unionByName(more.drop("nth", "have").withColumn("phase", F.lit(1)), allowMissingColumns=True)
+    out = ordered(out, "video_id", [F.desc("ml_score"), "phase", F.coalesce("prelim_ord", "rank"), "idx"], "final_ord", None if size is None else 2 * size)
     out = out if size is None else out.where(F.col("final_ord") <= size)
     return pool.join(out.select("video_id", "idx", "rank", "prelim_ord", "phase", "final_ord"), ["video_id", "idx"])

@@ -3,9 +3,12 @@
 Pairs come from cells: each vector belongs to the nearest of up to ``PIVOTS`` vectors of a sample, and a cell has the
 largest angle to its pivot as its radius. By the triangle inequality a vector can only be similar to one of a cell whose
 pivot lies within the threshold's angle plus that radius, so it is sent to those cells alone; nothing is lost. Cells of many
-vectors are split into blocks of about ``BLOCK``, two blocks meet in one task, NumPy multiplies them, and only pairs above
-the threshold leave it. Greedy selection (keep a frame unless a better kept one is too similar) goes through the ranks of
-all collections at once, ``RANKS`` at a time; clusters are connected components.
+vectors are split into blocks of about ``BLOCK``, two blocks meet in one task, and NumPy multiplies them.
+
+Clusters need no list of pairs: a task returns how many neighbours its vectors have and a spanning forest of those that
+connect, at most an edge for each vector of its two blocks, and connected components join the forests. Greedy selection
+(keep a frame unless a better kept one is too similar) settles, round by round, all frames that depend on no undecided
+one; chains that are longer than a collection has runs of ``RANKS`` ranks are walked run by run instead.
 """
 
 from __future__ import annotations
@@ -13,14 +16,15 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tamis.functions.vectors import cosine
 from tamis.operators.graph import connected_components
 from tamis.operators.quantile import exact_quantile
+from tamis.operators.rank import placed
 from tamis.session import reach
-from tamis.storage import materialise, scratch
+from tamis.storage import discard, materialise, scratch
 
 BLOCK, PIVOTS, RANKS = 1024, 256, 4096
 
@@ -53,16 +57,17 @@ def _cells(nodes: DataFrame, pivots: np.ndarray, radii: np.ndarray | None = None
     return nodes.select("video_id", "ord", "embed").mapInArrow(run, f"video_id string, ord long, cell int, {near}")
 
 
-def similar_pairs(nodes: DataFrame, threshold: float, inclusive: bool = False, slack: float = 0.0) -> DataFrame:
-    """(video_id, a, b, cos) with a < b by ``ord``, of cosine above the threshold. ``nodes(video_id, ord, embed)``;
-    ``ord`` counts from 1 in each collection. The sample of pivots decides about work alone, never about results."""
+def _meetings(nodes: DataFrame, threshold: float, slack: float = 0.0) -> DataFrame | None:
+    """A row (video_id, ord, unit, lo, hi, embed, ...) for each vector and each two blocks ``lo`` and ``hi`` that meet, one of
+    them its own ``unit``; None without nodes. The sample of pivots decides about work alone, never about results. Further
+    columns of ``nodes`` stay."""
     reach(nodes.sparkSession)
-    held = nodes.select("video_id", F.col("ord").cast("long").alias("ord"), F.col("embed").cast("array<double>").alias("embed"))
+    held = nodes.withColumn("ord", F.col("ord").cast("long")).withColumn("embed", F.col("embed").cast("array<double>"))
     n = held.count()
     wanted = max(1, min(PIVOTS, n // BLOCK))
     some = held.orderBy(F.xxhash64("video_id", "ord")).select("embed").limit(wanted).toArrow().column("embed").to_pylist()
     if not some:
-        return nodes.sparkSession.createDataFrame([], "video_id string, a long, b long, cos double")
+        return None
     pivots = _unit(some)
     sizes = materialise(_cells(held, pivots).groupBy("video_id", "cell").agg(F.count("*").alias("n"), F.max("angle").alias("radius")), "cells")
     radii = np.full(len(pivots) + 1, -np.pi)
@@ -76,6 +81,15 @@ def similar_pairs(nodes: DataFrame, threshold: float, inclusive: bool = False, s
     sent = met.select("video_id", "ord", "unit", F.shiftleft(F.col("cell").cast("long"), 40).alias("first"), other.alias("nth")).select(
         "video_id", "ord", "unit", F.least("unit", F.col("first") + F.col("nth")).alias("lo"), F.greatest("unit", F.col("first") + F.col("nth")).alias("hi")
     )
+    return sent.join(held, ["video_id", "ord"])
+
+
+def similar_pairs(nodes: DataFrame, threshold: float, inclusive: bool = False, slack: float = 0.0) -> DataFrame:
+    """(video_id, a, b, cos) with a < b by ``ord``, of cosine above the threshold. ``nodes(video_id, ord, embed)``;
+    ``ord`` counts from 1 in each collection."""
+    full = _meetings(nodes.select("video_id", "ord", "embed"), threshold, slack)
+    if full is None:
+        return nodes.sparkSession.createDataFrame([], "video_id string, a long, b long, cos double")
 
     def multiply(pdf: pd.DataFrame) -> pd.DataFrame:
         lo, hi = pdf["lo"].iloc[0], pdf["hi"].iloc[0]
@@ -90,57 +104,202 @@ def similar_pairs(nodes: DataFrame, threshold: float, inclusive: bool = False, s
         x, y = ordinal[left][i], ordinal[right][j]
         return pd.DataFrame({"video_id": pdf["video_id"].iloc[0], "a": np.minimum(x, y), "b": np.maximum(x, y), "cos": cos[i, j]})
 
-    full = sent.join(held, ["video_id", "ord"])
     return full.groupBy("video_id", "lo", "hi").applyInPandas(multiply, "video_id string, a long, b long, cos double")
 
 
+def _near(pdf: pd.DataFrame, slack: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(left, right, near): rows of ``pdf`` in either block, and which of them are neighbours, none of itself."""
+    lo, hi, unit = pdf["lo"].iloc[0], pdf["hi"].iloc[0], pdf["unit"].to_numpy()
+    m = _unit(pdf["embed"].to_numpy())
+    left, right = np.flatnonzero(unit == lo), np.flatnonzero(unit == hi)
+    near = m[left] @ m[right].T >= 1 - pdf["radius"].iloc[0] - slack
+    if lo == hi:
+        np.fill_diagonal(near, False)
+    return left, right, near
+
+
+def spanning_forest(near: np.ndarray, same: bool) -> list[tuple[int, int]]:
+    """Edges (row, column) of a spanning forest of the graph whose edges ``near`` marks between rows and columns, which are
+    the same nodes in the same order if ``same``. A node's neighbours are looked at once."""
+    rows, columns = near.shape
+    todo_rows, todo_columns = np.ones(rows, bool), np.ones(columns, bool)
+    if same:
+        todo_columns = todo_rows
+    edges = []
+    for start in range(rows):
+        if not todo_rows[start]:
+            continue
+        todo_rows[start] = False
+        stack = [(start, True)]
+        while stack:
+            at, is_row = stack.pop()
+            if is_row:
+                new = np.flatnonzero(near[at] & todo_columns)
+                todo_columns[new] = False
+                edges += [(at, j) for j in new.tolist()]
+            else:
+                new = np.flatnonzero(near[:, at] & todo_rows)
+                todo_rows[new] = False
+                edges += [(i, at) for i in new.tolist()]
+            stack += [(x, same or not is_row) for x in new.tolist()]
+    return edges
+
+
+def neighbour_counts(met: DataFrame, slack: float) -> DataFrame:
+    """(video_id, ord, n) of the nodes that have neighbours, themselves not counted; a task returns a number for each node."""
+
+    def count(pdf: pd.DataFrame) -> pd.DataFrame:
+        left, right, near = _near(pdf, slack)
+        n = np.zeros(len(pdf), np.int64)
+        n[left] += near.sum(1)
+        if pdf["lo"].iloc[0] != pdf["hi"].iloc[0]:
+            n[right] += near.sum(0)
+        on = n > 0
+        return pd.DataFrame({"video_id": pdf["video_id"].iloc[0], "ord": pdf["ord"].to_numpy()[on], "n": n[on]})
+
+    counts = met.groupBy("video_id", "lo", "hi").applyInPandas(count, "video_id string, ord long, n long")
+    return counts.groupBy("video_id", "ord").agg(F.sum("n").alias("n"))
+
+
+def forests(met: DataFrame, slack: float) -> DataFrame:
+    """(video_id, a, b, inner): edges that connect the same core nodes as all edges between them do (``inner``), and for the
+    other nodes, a, a core neighbour b in each part that a task has connected. A task returns fewer inner edges than it has
+    nodes; a node that is no core has fewer neighbours than a core needs, so its edges are bounded too."""
+
+    def connect(pdf: pd.DataFrame) -> pd.DataFrame:
+        left, right, near = _near(pdf, slack)
+        ordinal, core = pdf["ord"].to_numpy(), pdf["core"].to_numpy().astype(bool)
+        same = pdf["lo"].iloc[0] == pdf["hi"].iloc[0]
+        inner = spanning_forest(near & core[left][:, None] & core[right][None, :], same)
+        part = {x: x for x in range(len(pdf))}
+
+        def top(x: int) -> int:
+            while part[x] != x:
+                part[x] = part[part[x]]
+                x = part[x]
+            return x
+
+        found = []
+        for i, j in inner:
+            a, b = int(left[i]), int(right[j])
+            part[top(a)] = top(b)
+            found.append((ordinal[a], ordinal[b], True))
+        seen = set()
+        sides = [(left, right, near)] if same else [(left, right, near), (right, left, near.T)]
+        for mine, others, on in sides:
+            for i, j in zip(*np.nonzero(on & ~core[mine][:, None] & core[others][None, :]), strict=True):
+                link = (int(mine[i]), top(int(others[j])))
+                if link not in seen:
+                    seen.add(link)
+                    found.append((ordinal[mine[i]], ordinal[others[j]], False))
+        a, b, kind = zip(*found, strict=True) if found else ((), (), ())
+        return pd.DataFrame({"video_id": pd.Series([pdf["video_id"].iloc[0]] * len(found), dtype=object), "a": np.array(a, np.int64), "b": np.array(b, np.int64), "inner": np.array(kind, bool)})
+
+    return met.groupBy("video_id", "lo", "hi").applyInPandas(connect, "video_id string, a long, b long, inner boolean")
+
+
+def _settle(edges: DataFrame, rounds: int) -> tuple[list[str], DataFrame | None]:
+    """(paths of lost nodes, edges between nodes that are still undecided) after at most so many rounds. A round keeps the
+    nodes that no undecided smaller one is similar to, and loses the nodes similar to those."""
+    spark, lost = edges.sparkSession, []
+    now, held = edges, None
+    for _ in range(rounds):
+        free = now.select("video_id", "a").distinct().join(now.select("video_id", F.col("b").alias("a")), ["video_id", "a"], "left_anti")
+        path, rest = scratch(spark, "lost"), scratch(spark, "edges")
+        gone = materialise(now.join(free, ["video_id", "a"], "left_semi").select("video_id", F.col("b").alias("ord")).distinct(), "lost", path=path)
+        lost.append(path)
+        watch = Observation()
+        left = now.join(gone.withColumnRenamed("ord", "b"), ["video_id", "b"], "left_anti").join(gone.withColumnRenamed("ord", "a"), ["video_id", "a"], "left_anti")
+        now = materialise(left.observe(watch, F.count(F.lit(1)).alias("n")), "edges", path=rest)
+        if held:
+            discard(spark, held)
+        held = rest
+        if not watch.get["n"]:
+            return lost, None
+    return lost, now
+
+
 def greedy_keep(nodes: DataFrame, threshold: float, ranks: int = RANKS) -> DataFrame:
     """(video_id, ord) of the kept nodes; smaller ``ord`` goes first.
 
-    A step takes the next ``ranks`` ranks of every collection: a task walks through one collection's edges among them, then
-    a join passes on what their kept nodes rule out. Steps are as many as the largest collection has runs of ranks, however
-    the edges chain, and each reads its own edges alone."""
+    Rounds settle all nodes that wait for no undecided smaller one, as many rounds as the longest chain of such waits has
+    links. There are at most as many rounds as the largest collection has runs of ``ranks`` ranks; what is undecided then
+    is walked run by run: a task walks through one collection's edges among a run, and a join passes on what they rule out.
+    Jobs follow the shorter of the two, within a factor of two."""
     spark = reach(nodes.sparkSession)
     ids = nodes.select("video_id", F.col("ord").cast("long").alias("ord"))
-    found, out = scratch(spark, "edges"), scratch(spark, "lost")
+    watch = Observation()
+    found = similar_pairs(nodes, threshold).select("video_id", "a", "b").observe(watch, F.max("a").alias("last"))
+    edges = materialise(found, "edges")
+    last = watch.get["last"]
+    if last is None:
+        return ids
+    runs = (int(last) - 1) // ranks + 1
+    paths, edges = _settle(edges, runs) if runs > 1 else ([], edges)
+    kind = "video_id string, ord long"
+    lost = [spark.read.schema(kind).parquet(p) for p in paths]
+    if edges is not None:
+        lost.append(_walked(edges, ranks))
+    out = lost[0]
+    for more in lost[1:]:
+        out = out.unionByName(more)
+    return ids.join(out, ["video_id", "ord"], "left_anti")
+
+
+def _walked(edges: DataFrame, ranks: int) -> DataFrame:
+    """(video_id, ord) of the nodes that greedy selection over ``edges`` loses, run by run of ``ranks`` ranks."""
+    spark = edges.sparkSession
     block = lambda c: F.floor((F.col(c) - 1) / ranks).cast("long")
-    similar_pairs(nodes, threshold).select("video_id", "a", "b", block("a").alias("block")).write.partitionBy("block").parquet(found)
-    edges = spark.read.schema("video_id string, a long, b long, block long").parquet(found)
-    lost_kind = "video_id string, ord long, block long"
-    spark.createDataFrame([], lost_kind).write.partitionBy("block").parquet(out)
 
-    def walk(key: tuple, mine: pd.DataFrame, before: pd.DataFrame) -> pd.DataFrame:
-        gone = set(before["ord"].tolist())
+    def walk(pdf: pd.DataFrame, gone: set) -> np.ndarray:
         new = []
-        for a, after in mine.sort_values(["a", "b"]).groupby("a")["b"]:
+        for a, after in pdf.sort_values(["a", "b"]).groupby("a")["b"]:
             if a not in gone:
                 fresh = [b for b in after.tolist() if b not in gone]
                 gone.update(fresh)
                 new += fresh
-        return pd.DataFrame({"video_id": key[0], "ord": np.array(new, np.int64)})
+        return np.array(new, np.int64)
+
+    def alone(key: tuple, mine: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"video_id": key[0], "ord": walk(mine, set())})
 
+    def after_others(key: tuple, mine: pd.DataFrame, before: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"video_id": key[0], "ord": walk(mine, set(before["ord"].tolist()))})
+
+    kind = "video_id string, ord long"
+    last = edges.agg(F.max(block("b"))).first()[0]
+    if last == 0:  # one run holds everything
+        return materialise(edges.groupBy("video_id").applyInPandas(alone, kind), "walked")
+    dealt, out = scratch(spark, "edges"), scratch(spark, "lost")
+    edges.withColumn("block", block("a")).write.partitionBy("block").parquet(dealt)
+    edges = spark.read.schema("video_id string, a long, b long, block long").parquet(dealt)
+    spark.createDataFrame([], f"{kind}, block long").write.partitionBy("block").parquet(out)
     for k in sorted(r["block"] for r in edges.select("block").distinct().collect()):  # a number for each run of ranks
         mine = edges.where(F.col("block") == k)
-        before = spark.read.schema(lost_kind).parquet(out).where(F.col("block") == k).select("video_id", "ord").distinct()
+        before = spark.read.schema(f"{kind}, block long").parquet(out).where(F.col("block") == k).select("video_id", "ord").distinct()
         inner = mine.where(block("b") == k).select("video_id", "a", "b")
-        now = inner.groupBy("video_id").cogroup(before.groupBy("video_id")).applyInPandas(walk, "video_id string, ord long")
-        now = materialise(now, "walked")
+        now = materialise(inner.groupBy("video_id").cogroup(before.groupBy("video_id")).applyInPandas(after_others, kind), "walked")
         kept = mine.where(block("b") > k).join(before.unionByName(now).withColumnRenamed("ord", "a"), ["video_id", "a"], "left_anti")
         passed = kept.select("video_id", F.col("b").alias("ord")).distinct().unionByName(now).withColumn("block", block("ord"))
         passed.write.mode("append").partitionBy("block").parquet(out)
-    lost = spark.read.schema(lost_kind).parquet(out).select("video_id", "ord")
-    return ids.join(lost, ["video_id", "ord"], "left_anti")
+    return spark.read.schema(f"{kind}, block long").parquet(out).select("video_id", "ord")
+
 
+def neighbours(rows: DataFrame, order: str) -> DataFrame:
+    """(video_id, order, cos): the cosine of each frame's ``embed`` with the next one's in its collection, by a join of
+    places; the last frame has none."""
+    at = placed(rows.select("video_id", order, "embed"), ["video_id"], [order], "at")
+    after = at.select("video_id", (F.col("at") - 1).alias("at"), F.col("embed").alias("next"))
+    return at.join(after, ["video_id", "at"]).select("video_id", order, cosine(F.col("embed"), F.col("next")).alias("cos"))
 
-def auto_eps(ordered: DataFrame, quantile: float = 0.9, low: float = 0.02, high: float = 0.30) -> DataFrame:
-    """(video_id, eps): 1 - the quantile of the cosines of neighbours by ``ord``, clamped; 0.10 below three frames."""
-    nxt = F.lead("embed").over(Window.partitionBy("video_id").orderBy("ord"))
-    pairs = ordered.withColumn("next", nxt).withColumn("cos", F.when(F.col("next").isNotNull(), cosine(F.col("embed"), F.col("next")).cast("float")))
-    pairs = materialise(pairs.select("video_id", "cos"), "neighbours")
-    sizes = pairs.groupBy("video_id").agg(F.count("*").alias("n"))
+
+def auto_eps(rows: DataFrame, quantile: float = 0.9, low: float = 0.02, high: float = 0.30, few: float = 0.10) -> DataFrame:
+    """(video_id, eps): 1 - the quantile of the cosines of neighbours by ``ord``, clamped; ``few`` below three frames."""
+    pairs = neighbours(rows, "ord").select("video_id", F.col("cos").cast("float").alias("cos"))
+    sizes = rows.groupBy("video_id").agg(F.count("*").alias("n"))
     got = sizes.join(exact_quantile(pairs, "video_id", "cos", quantile, "q"), "video_id", "left")
     eps = F.greatest(F.lit(low), F.least(F.lit(high), 1 - F.col("q")))
-    return got.select("video_id", F.when(F.col("n") < 3, F.lit(0.10)).otherwise(eps).alias("eps"))
+    return got.select("video_id", F.when(F.col("n") < 3, F.lit(few)).otherwise(eps).alias("eps"))
 
 
 def components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -155,33 +314,35 @@ def dbscan(nodes: DataFrame, eps: float | DataFrame, min_samples: int = 1) -> Da
     """``eps`` is one radius, or a table (video_id, eps) of radii.
 
     (video_id, ord, label): the smallest core ordinal of the cluster, -1 for noise. Neighbours lie within ``eps`` of
-    1 - cosine and count the point itself; a border point joins the cluster of the smallest label."""
+    1 - cosine and count the point itself; a border point joins the cluster of the smallest label. Two passes over the
+    blocks count the neighbours and connect the cores; where one neighbour is enough, the first is left out."""
+    slack = 1e-12
+    held = nodes.select("video_id", "ord", "embed")
     if isinstance(eps, DataFrame):
         eps = materialise(eps, "radii")
         widest = eps.agg(F.max("eps")).first()[0] or 0.0
-        wide = similar_pairs(nodes, 1 - widest, inclusive=True, slack=1e-12).join(eps, "video_id")
-        near = materialise(wide.where("cos >= 1 - eps - 1e-12").drop("eps"), "near")
+        held = held.join(eps.select("video_id", F.col("eps").alias("radius")), "video_id")
     else:
-        near = materialise(similar_pairs(nodes, 1 - eps, inclusive=True, slack=1e-12), "near")
+        widest = eps
+        held = held.withColumn("radius", F.lit(float(eps)))
     ids = nodes.select("video_id", F.col("ord").cast("long").alias("ord"))
+    met = _meetings(held, 1 - widest, slack)
+    if met is None:
+        return ids.withColumn("label", F.lit(-1).cast("long"))
     if min_samples <= 1:
-        return components(near, ids).withColumnRenamed("root", "label")
-    both = near.select("video_id", F.col("a").alias("ord"), F.col("b").alias("other")).unionByName(near.select("video_id", F.col("b").alias("ord"), F.col("a").alias("other")))
-    degree = both.groupBy("video_id", "ord").agg((F.count("*") + 1).alias("n"))
-    core = materialise(degree.where(F.col("n") >= min_samples).select("video_id", "ord"), "core")
-    inner = near.join(core.withColumnRenamed("ord", "a"), ["video_id", "a"], "left_semi").join(core.withColumnRenamed("ord", "b"), ["video_id", "b"], "left_semi")
-    named = materialise(components(inner, core), "named")
-    border = (
-        both.join(core, ["video_id", "ord"], "left_anti")
-        .join(named.select("video_id", F.col("ord").alias("other"), "root"), ["video_id", "other"])
-        .groupBy("video_id", "ord")
-        .agg(F.min("root").alias("root"))
-    )
-    found = named.unionByName(border)
-    return ids.join(found, ["video_id", "ord"], "left").select("video_id", "ord", F.coalesce("root", F.lit(-1)).alias("label"))
+        found = materialise(forests(met.withColumn("core", F.lit(True)), slack), "forests")
+        return components(found, ids).withColumnRenamed("root", "label")
+    core = materialise(neighbour_counts(met, slack).where(F.col("n") + 1 >= min_samples).select("video_id", "ord"), "core")
+    flagged = met.join(core.withColumn("is", F.lit(True)), ["video_id", "ord"], "left").withColumn("core", F.coalesce("is", F.lit(False))).drop("is")
+    found = materialise(forests(flagged, slack), "forests")
+    named = materialise(components(found.where("inner"), core), "named")
+    border = found.where("NOT inner").select("video_id", F.col("a").alias("ord"), F.col("b").alias("other"))
+    border = border.join(named.select("video_id", F.col("ord").alias("other"), "root"), ["video_id", "other"]).groupBy("video_id", "ord").agg(F.min("root").alias("root"))
+    return ids.join(named.unionByName(border), ["video_id", "ord"], "left").select("video_id", "ord", F.coalesce("root", F.lit(-1)).alias("label"))
 
 
 def representatives(labelled: DataFrame) -> DataFrame:
-    """The best scored row of each cluster, noise being one cluster; ties by ``ord``."""
-    best = Window.partitionBy("video_id", "label").orderBy(F.desc("ml_score"), "ord")
-    return labelled.withColumn("r", F.row_number().over(best)).where("r = 1").drop("r")
+    """The best scored row of each cluster, noise being one cluster; ties by ``ord``. An aggregation, so that a large
+    cluster is folded where its rows lie."""
+    best = labelled.groupBy("video_id", "label").agg(F.max(F.struct("ml_score", (-F.col("ord")).alias("first"))).alias("best"))
+    return labelled.join(best.select("video_id", (-F.col("best.first")).alias("ord")), ["video_id", "ord"], "left_semi")

@@ -11,6 +11,7 @@ from tamis.config import Config
 from tamis.operators import scoring, select, similarity, strata
 from tamis.operators.folds import score_frames
 from tamis.operators.quantile import exact_quantile
+from tamis.operators.rank import ordered
 from tamis.storage import materialise
 
 
@@ -19,19 +20,18 @@ def candidates(frames: DataFrame, cfg: Config) -> DataFrame:
     return materialise(strata.assign_strata(score_frames(scoring.prefilter(frames, cfg), cfg), cfg), "candidates")
 
 
-def without_duplicates(chosen: DataFrame, cfg: Config, method: str | None = None) -> DataFrame:
-    """Survivors of greedy selection, or the best of each density cluster (only the method "dbscan" clusters)."""
-    from pyspark.sql import Window
-
+def without_duplicates(chosen: DataFrame, cfg: Config, method: str | None = None, size: int | None = None) -> DataFrame:
+    """Survivors of greedy selection, or the best of each density cluster (only the method "dbscan" clusters). ``size`` is
+    the most frames of a collection, where there is a limit."""
     if (method or cfg.duplicates_method or "greedy").lower() == "dbscan":
         nodes = chosen.select("video_id", F.col("prelim_ord").alias("ord"), "embed", "ml_score")
-        eps = similarity.auto_eps(nodes) if cfg.eps is None else cfg.eps
+        eps = similarity.auto_eps(nodes, *cfg.eps_bounds) if cfg.eps is None else cfg.eps
         labelled = similarity.dbscan(nodes, eps, cfg.min_samples)
         best = similarity.representatives(labelled.join(nodes.drop("embed"), ["video_id", "ord"]))
         kept = best.select("video_id", F.col("ord").alias("prelim_ord"))
     else:
-        order = Window.partitionBy("video_id").orderBy(F.desc("ml_score"), "prelim_ord")
-        nodes = chosen.withColumn("ord", F.row_number().over(order)).select("video_id", "ord", "prelim_ord", "embed")
+        narrow = chosen.select("video_id", "prelim_ord", "ml_score", "embed")
+        nodes = ordered(narrow, "video_id", [F.desc("ml_score"), "prelim_ord"], "ord", size).select("video_id", "ord", "prelim_ord", "embed")
         kept = similarity.greedy_keep(nodes, cfg.cosine_threshold).join(nodes.select("video_id", "ord", "prelim_ord"), ["video_id", "ord"]).select("video_id", "prelim_ord")
     return chosen.join(kept, ["video_id", "prelim_ord"], "left_semi")
 
@@ -42,10 +42,11 @@ def curate(frames: DataFrame, cfg: Config, target_size: int | None = None, metho
 
 
 def select_from(pool: DataFrame, cfg: Config, target_size: int | None = None, method: str | None = None) -> DataFrame:
-    """``curate`` from candidates that are written already."""
-    chosen = materialise(select.preliminary(pool, target_size, cfg), "chosen")
-    kept = without_duplicates(chosen, cfg, method)
-    return select.final_order(kept, pool, target_size)
+    """``curate`` from candidates that are written already. One ranking serves selection and both fills."""
+    ranks = select.ranks_of(pool)
+    chosen = materialise(select.preliminary(pool, target_size, cfg, ranks), "chosen")
+    kept = without_duplicates(chosen, cfg, method, target_size)
+    return select.final_order(kept, pool, target_size, ranks)
 
 
 def score_stats(selected: DataFrame) -> DataFrame:

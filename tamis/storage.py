@@ -34,10 +34,12 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tamis-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialise(df: DataFrame, name: str, compression: str = "zstd", path: str | None = None) -> DataFrame:
-    """``df`` written once to the shared folder and read back, which cuts its lineage and survives lost executors."""
+def materialise(df: DataFrame, name: str, compression: str = "zstd", path: str | None = None, by: str | None = None) -> DataFrame:
+    """``df`` written once to the shared folder and read back, which cuts its lineage and survives lost executors; ``by`` is
+    a column of few values by which the files are parted, so that a filter on it reads no others."""
     path = path or scratch(df.sparkSession, name)
-    df.write.option("compression", compression).parquet(path)
+    out = df.write.option("compression", compression)
+    (out.partitionBy(by) if by else out).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tamis.config import Config
+from tamis.operators.folds import Novelty
 from tamis.operators.scoring import prefilter, quality
 from tamis.session import reach
 
@@ -23,18 +24,12 @@ def score_stream(frames: DataFrame, cfg: Config) -> DataFrame:
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         flat, size = state.get if state.exists else ([], 0)
-        kept = list(np.asarray(flat, float).reshape(-1, size)) if size else []
+        fold = Novelty(memory, threshold, np.asarray(flat, float).reshape(-1, size) if size else None)
         rows = pd.concat(list(batches)).sort_values("idx")
-        out = []
-        for idx, embed, q in zip(rows["idx"], rows["embed"], rows["quality"], strict=True):
-            v = np.asarray(embed, float)
-            v = v / (np.linalg.norm(v) + 1e-9)
-            novelty = min(1.0, max(0.0, 1.0 - float((np.stack(kept) @ v).max()))) if kept else 1.0
-            if novelty > threshold:
-                kept = [*kept, v][-memory:] if memory else [*kept, v]
-            out.append((key[0], idx, q, novelty, a * q + b * novelty))
-        state.update(([float(x) for v in kept for x in v], len(kept[0]) if kept else 0))
-        yield pd.DataFrame(out, columns=["video_id", "idx", "quality", "content_novelty", "ml_score"])
+        novelty = fold(np.stack(rows["embed"].to_numpy()))
+        state.update((fold.kept.ravel().tolist(), fold.kept.shape[1] if len(fold.kept) else 0))
+        quality = rows["quality"].to_numpy()
+        yield pd.DataFrame({"video_id": key[0], "idx": rows["idx"].to_numpy(), "quality": quality, "content_novelty": novelty, "ml_score": a * quality + b * novelty})
 
     scored = prefilter(frames, cfg).select("video_id", "idx", "embed", quality(cfg).alias("quality"))
     return scored.groupBy("video_id").applyInPandasWithState(
