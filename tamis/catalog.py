@@ -469,6 +469,15 @@ def _channel_sums(raw: DataFrame) -> DataFrame:
     return raw.withColumn("px", octets).select("video_id", "idx", "t_sec", "height", "width", *sums)
 
 
+def _scanned(spark: SparkSession, paths: list[str], fps: float | None = None) -> DataFrame:
+    """Every second frame of videos, read in small parts."""
+    spark.dataSource.register(frames.VideoSource)
+    reader = spark.read.format("raw_video").option("paths", ",".join(paths)).option("stride", 2).option("partition_bytes", 4096)
+    got = (reader.option("fps", fps) if fps else reader).load()
+    out = _channel_sums(got.withColumn("video_id", F.regexp_extract("video_id", r"([^/]+)\.[a-z0-9]+$", 1)))
+    return out.withColumn("t_sec", F.round("t_sec", 6))
+
+
 @_query(
     _with(
         sql.PIXELS,
@@ -481,22 +490,51 @@ def ppm_scan(spark, d):
     """Videos written as files of images, then read back frame by frame with a stride."""
     listed = frames.write_videos(frames.image_view(spark, d), scratch(spark, "ppm"))
     paths = [r["path"] for r in listed.select("path").collect()]  # a path for each video, as a run names its inputs
-    spark.dataSource.register(frames.PpmSource)
-    got = spark.read.format("ppm_frames").option("paths", ",".join(paths)).option("stride", 2).option("fps", 25).load()
-    out = _channel_sums(got.withColumn("video_id", F.regexp_extract("video_id", r"([^/]+)\.ppm$", 1)))
-    return out.withColumn("t_sec", F.round("t_sec", 6))
+    return _scanned(spark, paths, 25)
+
+
+def _written(spark: SparkSession, d: str, kind: str) -> list[str]:
+    """Paths of the image view's videos, a file for each."""
+    listed = frames.write_videos(frames.image_view(spark, d), scratch(spark, kind), kind, 25)
+    return [r["path"] for r in listed.select("path").collect()]
+
+
+@_query(
+    _with(
+        sql.PIXELS,
+        _SUMS,
+        "placed AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY idx) - 1 AS n FROM sums)",
+        "SELECT video_id, n AS idx, round(n / 25.0::DOUBLE, 6) AS t_sec, 8 AS height, 8 AS width, b, g, r FROM placed WHERE n % 2 = 0",
+    )
+)
+def avi_scan(spark, d):
+    """The same from AVI files, by their tables of frames; the rate of frames is the files' own."""
+    return _scanned(spark, _written(spark, d, "avi"))
+
+
+@_query(
+    _with(
+        sql.PIXELS,
+        "sums AS (SELECT video_id, idx, sum(l)::BIGINT AS l FROM px GROUP BY ALL)",
+        "placed AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY idx) - 1 AS n FROM sums)",
+        "SELECT video_id, n AS idx, round(n / 25.0::DOUBLE, 6) AS t_sec, 8 AS height, 8 AS width, l AS b, l AS g, l AS r FROM placed WHERE n % 2 = 0",
+    )
+)
+def y4m_scan(spark, d):
+    """The same in grey from Y4M files."""
+    return _scanned(spark, _written(spark, d, "y4m"))
 
 
 @_query(
     _with(
         sql.light(),
         "best AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY sharpness DESC, idx) AS n, count(*) OVER (PARTITION BY video_id) AS c FROM light)",
-        "SELECT video_id, idx, printf('frame_%06d_src%06d_t%010.3f.ppm', n - 1, idx, t_sec) AS name FROM best WHERE n <= greatest(1, floor(c * 0.1::DOUBLE))",
+        "SELECT video_id, idx, printf('frame_%06d_src%06d_t%010.3f.jpg', n - 1, idx, t_sec) AS name FROM best WHERE n <= greatest(1, floor(c * 0.1::DOUBLE))",
     )
 )
 def image_sink(spark, d):
     best = scoring.top_fraction(frames.light_view(spark, d), 0.1, "sharpness").withColumn("final_ord", F.col("rank"))
-    saved = curate.write_frames(best, frames.image_view(spark, d), scratch(spark, "saved"))
+    saved = curate.write_frames(materialise(best, "best"), frames.image_view(spark, d), scratch(spark, "saved"))
     return saved.select("video_id", "idx", F.regexp_extract("path", "[^/]+$", 0).alias("name"))
 
 
@@ -562,7 +600,7 @@ def prefilter_counters(spark, d):
 
 
 @_query(
-    """WITH p(name, cli, config, preset) AS (VALUES ('stride', '0', '2', '1'), ('min_sharpness', '95.5', '80.0', '80.0'), ('min_contrast', '', '0', '20.0'), ('novelty_threshold', '', '0.6', '0.3'), ('target_size', '0', '', ''), ('duplicates_method', '', 'dbscan', 'greedy'))
+    """WITH p(name, cli, config, preset) AS (VALUES ('stride', '0', '2', '1'), ('min_sharpness', '95.5', '80.0', '80.0'), ('min_contrast', '', '0', '20.0'), ('novelty_threshold', '', '0.6', '0.3'), ('target_size', '0', '', ''), ('dedup_method', '', 'dbscan', 'greedy'))
 SELECT name, CASE WHEN cli NOT IN ('', '0') OR name = 'target_size' THEN cli WHEN config NOT IN ('', '0') THEN config ELSE preset END AS value,
   CASE WHEN cli NOT IN ('', '0') OR name = 'target_size' THEN 'cli' WHEN config NOT IN ('', '0') THEN 'config' ELSE 'default' END AS source FROM p
 UNION ALL VALUES ('video', '/in/field 7.ppm', 'cli'), ('out', 'data/output/field 7', 'derived')"""
@@ -573,7 +611,7 @@ def run_parameters(spark, d):
     import tempfile
 
     with tempfile.NamedTemporaryFile("w", suffix=".json") as file:  # read on this machine, as a command line does
-        json.dump({"defaults": {"stride": 2, "min_sharpness": 80.0, "min_contrast": 0, "novelty_threshold": 0.6, "target_size": None, "way_method": "dbscan"}}, file)
+        json.dump({"defaults": {"stride": 2, "min_sharpness": 80.0, "min_contrast": 0, "novelty_threshold": 0.6, "target_size": None, "dedup_method": "dbscan"}}, file)
         file.flush()
         settings = config.load_settings(file.name)
     got = config.resolve({"stride": 0, "min_sharpness": 95.5, "target_size": 0}, settings, "cli", "/in/field 7.ppm")

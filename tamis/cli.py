@@ -22,7 +22,7 @@ log = logging.getLogger(__name__)
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="tamis", description="Curates a diverse training set of frames from videos.")
-    p.add_argument("video", help="PPM videos (comma separated), a folder of PPM images (ends in /), or a Parquet table of frames")
+    p.add_argument("video", help="raw videos (PPM in a row, Y4M or AVI; comma separated), a folder of PPM images (ends in /), or a Parquet table of frames")
     p.add_argument("-o", "--out", help="output folder; else named after the source")
     p.add_argument("--config", help="YAML or JSON settings")
     p.add_argument("--stride", type=int, help="take every n-th frame")
@@ -30,7 +30,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--min-sharpness", type=float)
     p.add_argument("--min-contrast", type=float)
     p.add_argument("--novelty-threshold", type=float)
-    p.add_argument("--duplicates-method", choices=["greedy", "dbscan"])
+    p.add_argument("--dedup-method", choices=["greedy", "dbscan"])
     p.add_argument("--manifest", help="name of the manifest's file")
     p.add_argument("--overwrite", action="store_true", help="replace an output folder that is there")
     p.add_argument("--debug", action="store_true")
@@ -41,9 +41,19 @@ def read_source(spark: SparkSession, source: str, stride: int, fps: float):
     if source.endswith(".parquet"):
         return scoring.stride(spark.read.parquet(source), stride)
     if source.endswith("/"):
-        return scoring.stride(frames.image_files(spark, source), stride)
-    spark.dataSource.register(frames.PpmSource)
-    return spark.read.format("ppm_frames").option("paths", source).option("stride", stride).option("fps", fps).load()
+        return scoring.stride(frames.image_files(spark, source, fps), stride)
+    spark.dataSource.register(frames.VideoSource)
+    return spark.read.format("raw_video").option("paths", source).option("stride", stride).option("fallback_fps", fps).load()
+
+
+def output_address(spark: SparkSession, out: str) -> str:
+    """The address of an output folder. A plain path is this machine's, so it stands for one in local mode alone: elsewhere
+    every executor would write to a disk of its own."""
+    if "://" in out:
+        return out.rstrip("/")
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError(f"{out}: on a cluster the output needs an address that all executors share, such as hdfs://...")
+    return f"file://{config.Path(out).resolve()}"
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
@@ -54,7 +64,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     name = args.manifest or (settings.get("defaults") or {}).get("manifest") or "manifest.json"
     spark = reach(spark or SparkSession.builder.appName("tamis").getOrCreate())
     out = params["out"]["value"]
-    address = out if "://" in out else f"file://{config.Path(out).resolve()}"
+    address = output_address(spark, out)
     if exists(spark, address):
         sure = args.overwrite
         if not sure and sys.stdin.isatty():
@@ -71,11 +81,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     cfg = config.with_run(config.from_settings(settings), params)
     raw = read_source(spark, args.video, params["stride"]["value"], cfg.fallback_fps)
     measured, seen, kept = scoring.observed_prefilter(image.metrics(raw), cfg)
-    pool = curate.candidates(image.features(measured).drop("pixels"), cfg)
+    pool = curate.candidates(image.features(measured, cfg.image).drop("pixels"), cfg)
     log.info("pre-filter: from %d frames kept %d", seen.get["n"], kept.get["n"])
     size = params["target_size"]["value"]
     final = curate.materialise(curate.select_from(pool, cfg, size), "final")
-    saved = curate.write_frames(final, raw, f"{address}/images")
+    saved = curate.write_frames(final, raw, f"{address}/images", cfg.image_suffix, cfg.jpeg_quality)
     got = manifest.write_manifest(final, pool, cfg if settings else None, f"{address}/{name}.parts", params, time.monotonic() - began, args.video, saved)
     if got is None:
         return 0

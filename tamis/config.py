@@ -1,7 +1,7 @@
 """Settings of a curation run, their precedence and their provenance.
 
-The run parameter for the way duplicates are removed is ``duplicates_method``; under ``defaults`` of a settings file any key
-that ends in ``_method`` sets it."""
+The run parameter for the way duplicates are removed is ``dedup_method``: as given, else ``defaults.dedup_method``, else
+``deduplication.method`` of the settings file, else greedy."""
 
 from __future__ import annotations
 
@@ -12,6 +12,8 @@ from dataclasses import dataclass, field
 from pathlib import Path
 from typing import Any
 
+from tamis.functions.image import ImageSettings
+
 log = logging.getLogger(__name__)
 
 #: Axes of the strata with their labels, in order.
@@ -22,7 +24,7 @@ AXES: dict[str, tuple[str, str]] = {
     "lighting": ("bright", "dark"),
 }
 #: Defaults that a run uses where neither caller nor file sets a parameter (or sets it to zero).
-RUN_DEFAULTS = {"stride": 1, "min_sharpness": 80.0, "min_contrast": 20.0, "novelty_threshold": 0.3, "target_size": None, "duplicates_method": "greedy"}
+RUN_DEFAULTS = {"stride": 1, "min_sharpness": 80.0, "min_contrast": 20.0, "novelty_threshold": 0.3, "target_size": None, "dedup_method": "greedy"}
 
 
 @dataclass(frozen=True)
@@ -54,6 +56,11 @@ class Config:
     min_sharpness: float = 80.0
     min_contrast: float = 20.0
     fallback_fps: float = 30.0
+    image: ImageSettings = field(default_factory=ImageSettings)
+    image_suffix: str = "jpg"
+    jpeg_quality: int = 95
+    #: Frames between two lines of progress in the log.
+    log_interval: int = 1000
 
     @property
     def sparse_cap(self) -> float:
@@ -89,7 +96,21 @@ def from_settings(raw: dict) -> Config:
             node = node[key]
         return node
 
-    base = Config()
+    base, shown = Config(), ImageSettings()
+    bounds = at("constants.dbscan_eps_bounds", base.eps_bounds[1:3])
+    image = ImageSettings(
+        noise_scale=float(at("image_processing.noise_scaling_factor", shown.noise_scale)),
+        under_below=int(at("image_processing.exposure.underexposure_bins", shown.under_below)),
+        over_from=int(at("image_processing.exposure.overexposure_start", shown.over_from)),
+        green_threshold=float(at("proxies.green_cover_threshold", shown.green_threshold)),
+        hsv_bins=tuple(at("embedding.hsv_bins", shown.hsv_bins)),
+        lowres=tuple(at("embedding.lowres_size", shown.lowres)),
+        view_bins=int(at("proxies.view_entropy_bins", shown.view_bins)),
+        center=float(at("image_processing.exposure.center_value", shown.center)),
+        center_weight=float(at("image_processing.exposure.center_penalty_weight", shown.center_weight)),
+        clip_weight=float(at("image_processing.exposure.clip_penalty_weight", shown.clip_weight)),
+        clip_multiplier=float(at("image_processing.exposure.clip_multiplier", shown.clip_multiplier)),
+    )
     parts = ("sharpness", "contrast", "exposure", "noise")
     return Config(
         axes={k: tuple(v) for k, v in at("stratification.axes", base.axes).items()},
@@ -115,6 +136,10 @@ def from_settings(raw: dict) -> Config:
         min_sharpness=at("defaults.min_sharpness", 80.0) or 80.0,
         min_contrast=at("defaults.min_contrast", 20.0) or 20.0,
         fallback_fps=at("constants.fallback_fps", 30.0),
+        eps_bounds=(float(at("constants.dbscan_auto_eps_quantile", base.eps_bounds[0])), float(bounds[0]), float(bounds[1]), base.eps_bounds[3]),
+        image=image,
+        jpeg_quality=int(at("output.jpeg_quality", base.jpeg_quality)),
+        log_interval=int(at("output.log_intervals.frames_processed", base.log_interval)),
     )
 
 
@@ -123,8 +148,7 @@ def resolve(given: dict[str, Any], settings: dict, via: str = "cli", source: str
     default. Zero and empty values fall through to the default, as in a run. With the run's ``source`` also the source
     and the output folder, which is "derived" where neither caller nor file names one."""
     defaults = dict(settings.get("defaults") or {})
-    method = next((v for k, v in defaults.items() if k.endswith("_method")), None)
-    defaults["duplicates_method"] = method
+    defaults["dedup_method"] = defaults.get("dedup_method") or (settings.get("deduplication") or {}).get("method")
     found_out = {}
     if source is not None:
         folder = out or defaults.get("out")
@@ -148,5 +172,5 @@ def output_folder(source: str, given: str | None = None) -> str:
 
 def with_run(cfg: Config, params: dict[str, dict[str, Any]]) -> Config:
     """``cfg`` with a run's resolved parameters."""
-    names = ("min_sharpness", "min_contrast", "novelty_threshold", "duplicates_method")
-    return cfg.with_(**{n: params[n]["value"] for n in names if n in params})
+    names = {"min_sharpness": "min_sharpness", "min_contrast": "min_contrast", "novelty_threshold": "novelty_threshold", "dedup_method": "duplicates_method"}
+    return cfg.with_(**{own: params[n]["value"] for n, own in names.items() if n in params})

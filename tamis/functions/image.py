@@ -1,8 +1,8 @@
 """Image metrics, scene proxies and embeddings of 8-bit BGR frames, in NumPy over Arrow batches.
 
 Borders mirror without repeating the edge; grey is (9798 R + 19235 G + 3735 B + 16384) >> 15; the 3 x 3 blur has the
-kernel [1 2 1] / 4 on either axis and rounds to integers. Gradient directions fall into left-closed octants decided by
-signs and sizes of the integer gradients, not by a floating-point angle.
+kernel [1 2 1] / 4 on either axis and rounds to integers. Gradient directions fall into left-closed sectors decided by cross
+products of the integer gradients, not by a floating-point angle.
 """
 
 from __future__ import annotations
@@ -24,6 +24,11 @@ class ImageSettings:
     green_threshold: float = 0.6
     hsv_bins: tuple[int, int, int] = (16, 16, 16)
     lowres: tuple[int, int] = (64, 36)
+    view_bins: int = 8
+    center: float = 128.0
+    center_weight: float = 0.6
+    clip_weight: float = 0.4
+    clip_multiplier: float = 2.0
 
 
 def gray(bgr: np.ndarray) -> np.ndarray:
@@ -55,19 +60,33 @@ def sobel(img: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return gx, gy
 
 
-def octant(gx: np.ndarray, gy: np.ndarray) -> np.ndarray:
-    """0..7, anticlockwise from the positive x axis, each octant with its first edge."""
-    x, y = gx, gy
-    return np.select(
-        [(y >= 0) & (x > y), (y > 0) & (x > 0), (x <= 0) & (y > -x), (x < 0) & (y > 0), (y <= 0) & (x < y), (y < 0) & (x < 0), (x >= 0) & (y < -x)],
-        [0, 1, 2, 3, 4, 5, 6],
-        np.where((x == 0) & (y == 0), 0, 7),
-    )
-
-
-def view_entropy(img: np.ndarray) -> float:
+def sector(gx: np.ndarray, gy: np.ndarray, bins: int = 8) -> np.ndarray:
+    """0 .. ``bins`` - 1, anticlockwise from the positive x axis, each sector with its first edge.
+
+    Within a quadrant an integer direction is compared with each edge by the sign of a cross product; edges on the axes and
+    the diagonals are whole numbers, and no integer direction lies on any other edge, so the comparison is exact."""
+    x, y = np.asarray(gx, np.int64), np.asarray(gy, np.int64)
+    quadrant = np.select([(x > 0) & (y >= 0), (x <= 0) & (y > 0), (x < 0) & (y <= 0), (x >= 0) & (y < 0)], [0, 1, 2, 3], 0)
+    u = np.choose(quadrant, [x, y, -x, -y])  # turned back into the first quadrant
+    v = np.choose(quadrant, [y, -x, -y, x])
+    out = quadrant * bins // 4
+    for q in range(4):
+        on = quadrant == q
+        for k in range(q * bins // 4 + 1, bins):
+            if 4 * k >= (q + 1) * bins:
+                break
+            if 8 * k == (2 * q + 1) * bins:
+                past = v >= u
+            else:
+                turn = 2 * np.pi * k / bins - q * np.pi / 2
+                past = v * np.cos(turn) >= u * np.sin(turn)
+            out = out + (on & past)
+    return np.where((x == 0) & (y == 0), 0, out)
+
+
+def view_entropy(img: np.ndarray, bins: int = 8) -> float:
     gx, gy = sobel(img)
-    h = np.bincount(octant(gx, gy).ravel(), np.hypot(gx, gy).ravel(), minlength=8)
+    h = np.bincount(sector(gx, gy, bins).ravel(), np.hypot(gx, gy).ravel(), minlength=bins)
     p = h / (h.sum() + 1e-9)
     return float(-(p * np.log(p + 1e-9)).sum())
 
@@ -83,8 +102,9 @@ def exposure(img: np.ndarray, s: ImageSettings) -> tuple[float, float, float]:
     return float(img.mean()), float((img < s.under_below).sum()) / (n + 1e-9), float((img >= s.over_from).sum()) / (n + 1e-9)
 
 
-def exposure_score(mean: float, under: float, over: float) -> float:
-    return min(1.0, max(0.0, 1 - min(1.0, 0.6 * abs(mean - 128) / 128 + 0.4 * 2 * (under + over))))
+def exposure_score(mean: float, under: float, over: float, s: ImageSettings | None = None) -> float:
+    s = s or ImageSettings()
+    return min(1.0, max(0.0, 1 - min(1.0, s.center_weight * abs(mean - s.center) / s.center + s.clip_weight * s.clip_multiplier * (under + over))))
 
 
 def hsv(bgr: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -152,7 +172,7 @@ def features(frames: DataFrame, settings: ImageSettings | None = None) -> DataFr
         rest = g - blur(g)
         mean, under, over = exposure(g, s)
         noise = max(0.0, 1 - min(1.0, float(rest.std()) / s.noise_scale))
-        return mean, under, over, exposure_score(mean, under, over), noise, float(np.abs(rest).mean()), view_entropy(g), green_cover(bgr, s.green_threshold), mean, embedding(bgr, s)
+        return mean, under, over, exposure_score(mean, under, over, s), noise, float(np.abs(rest).mean()), view_entropy(g, s.view_bins), green_cover(bgr, s.green_threshold), mean, embedding(bgr, s)
 
     return _measured(frames, measure, FEATURES, ("embed",))
 

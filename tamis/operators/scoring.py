@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tamis.config import Config
+from tamis.functions.image import ImageSettings
 from tamis.functions.vectors import clamp01, scale
 from tamis.operators.rank import placed
 from tamis.storage import materialise
@@ -49,8 +50,10 @@ def quality(cfg: Config) -> Column:
     )
 
 
-def exposure_score(mean: Column, under: Column, over: Column) -> Column:
-    return clamp01(1 - F.least(F.lit(1.0), F.lit(0.6) * F.abs(mean - 128.0) / 128.0 + F.lit(0.4) * 2.0 * (under + over)))
+def exposure_score(mean: Column, under: Column, over: Column, s: ImageSettings | None = None) -> Column:
+    s = s or ImageSettings()
+    off = F.lit(s.center_weight) * F.abs(mean - F.lit(s.center)) / F.lit(s.center)
+    return clamp01(1 - F.least(F.lit(1.0), off + F.lit(s.clip_weight) * F.lit(s.clip_multiplier) * (under + over)))
 
 
 #: Ranks of the first span; every next one reaches four times as far.

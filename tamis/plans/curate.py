@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,8 +10,11 @@ from tamis.operators import scoring, select, similarity, strata
 from tamis.operators.folds import score_frames
 from tamis.operators.quantile import exact_quantile
 from tamis.operators.rank import ordered
+from tamis.sources.images import file_name, write_frames
 from tamis.storage import materialise
 
+__all__ = ["candidates", "curate", "file_name", "score_stats", "select_from", "selection_ratio", "tile_filter", "without_duplicates", "write_frames"]
+
 
 def candidates(frames: DataFrame, cfg: Config) -> DataFrame:
     """Prefiltered, scored and binned frames, written once since every later stage reads them."""
@@ -66,35 +67,3 @@ def tile_filter(selected: DataFrame, tags: list[str]) -> DataFrame:
     """Frames that carry any of the ``axis:value`` tags; no tag shows none."""
     own = F.array(*(F.concat(F.lit(f"{a}:"), F.col(a)) for a in ("altitude", "view", "cover", "lighting")))
     return selected.where(F.arrays_overlap(own, F.array(*(F.lit(t) for t in tags)).cast("array<string>")))
-
-
-def file_name(final_ord: int, idx: int, t_sec: float, suffix: str = "ppm") -> str:
-    return f"frame_{final_ord - 1:06d}_src{idx:06d}_t{t_sec:010.3f}.{suffix}"
-
-
-def write_frames(selected: DataFrame, raw: DataFrame, folder: str) -> DataFrame:
-    """Images of the selected frames, one PPM file each in the shared ``folder``; the list of (video_id, idx, path)."""
-    import numpy as np
-    import pyarrow as pa
-
-    from tamis.session import reach
-    from tamis.sources.frames import encode_ppm
-
-    reach(raw.sparkSession)
-    rows = selected.select("video_id", "idx", "final_ord", "t_sec").join(raw.select("video_id", "idx", "height", "width", "pixels"), ["video_id", "idx"])
-
-    def run(batches):
-        from pyarrow import fs
-
-        system, root = fs.FileSystem.from_uri(folder)
-        for batch in batches:
-            got = []
-            for r in batch.to_pylist():
-                place = f"{re.sub(r'[^\w.-]+', '_', r['video_id'] or '').strip('_')}/{file_name(r['final_ord'], r['idx'], r['t_sec'])}".lstrip("/")
-                system.create_dir(f"{root}/{place}".rsplit("/", 1)[0], recursive=True)
-                with system.open_output_stream(f"{root}/{place}") as out:
-                    out.write(encode_ppm(np.frombuffer(r["pixels"], np.uint8).reshape(r["height"], r["width"], 3)))
-                got.append((r["video_id"], r["idx"], f"{folder}/{place}"))
-            yield pa.RecordBatch.from_arrays([pa.array([g[i] for g in got]) for i in range(3)], names=["video_id", "idx", "path"])
-
-    return materialise(rows.mapInArrow(run, "video_id string, idx long, path string"), "images")

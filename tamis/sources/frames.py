@@ -1,14 +1,12 @@
 """Frames: the views over the test tables, and readers and writers of raw images.
 
-No video decoder is at hand, so sequences of binary PPM images and Parquet tables of pixels stand for videos; a table
-of frames is (video_id, idx, t_sec, height, width, pixels) with pixels as BGR bytes.
+Raw videos (PPM images in a row, Y4M, AVI without compression) are read by many tasks each; there is no decoder of
+compressed ones, for which Parquet tables of pixels stand in. A table of frames is (video_id, idx, t_sec, height, width, pixels) with pixels as BGR bytes.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -16,8 +14,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from tamis.session import reach
+from tamis.sources.containers import PPM, Index, Writer, decode, encode_ppm, index, walked
 from tamis.storage import materialise
 
+__all__ = ["FRAMES", "VideoSource", "decode_ppm", "encode_ppm", "image_files", "image_view", "light_view", "write_videos"]
+
+#: Bytes of a video that a task reads, about.
+PART = 64 << 20
 FRAMES = "video_id string, idx long, t_sec double, height int, width int, pixels binary"
 
 
@@ -62,132 +65,124 @@ def image_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding", "label").mapInArrow(run, FRAMES)
 
 
-#: Bytes within which an image's header ends.
-HEADER = 4096
-_PPM = re.compile(rb"P6\s+(?:#[^\n]*\n\s*)*(\d+)\s+(\d+)\s+(\d+)\s")
-
-
-def decode_ppm(data: bytes, at: int = 0) -> tuple[np.ndarray, int]:
-    """(BGR image, place after it) of a binary PPM image."""
-    head = _PPM.match(data, at)
+def decode_ppm(data: bytes) -> np.ndarray:
+    """The BGR image of a binary PPM file; what follows the image is left aside."""
+    head = PPM.match(data)
     if not head or int(head[3]) != 255:
         raise ValueError("not an 8-bit binary PPM image")
     w, h = int(head[1]), int(head[2])
-    end = head.end() + 3 * w * h
-    rgb = np.frombuffer(data[head.end() : end], np.uint8).reshape(h, w, 3)
-    return np.ascontiguousarray(rgb[..., ::-1]), end
-
-
-def images_of(read: Callable[[int], bytes], piece: int = 1 << 16) -> Iterator[bytes]:
-    """The PPM images of a stream one after the other, none but the present one in memory; a torn one ends them."""
-    held = b""
-    while True:
-        head = _PPM.match(held)
-        while head is None:
-            more = read(piece) if len(held) < HEADER else b""
-            if not more:
-                return
-            held += more
-            head = _PPM.match(held)
-        if int(head[3]) != 255:
-            return
-        end = head.end() + 3 * int(head[1]) * int(head[2])
-        parts, have = [held], len(held)
-        while have < end:
-            more = read(max(piece, end - have))
-            if not more:
-                return
-            parts.append(more)
-            have += len(more)
-        held = b"".join(parts)
-        yield held[:end]
-        held = held[end:]
-        if not held:
-            held = read(piece)
-            if not held:
-                return
-
-
-def write_videos(raw: DataFrame, folder: str) -> DataFrame:
-    """(video_id, path): each collection's frames in the order of ``idx``, streamed into one file of PPM images."""
+    rgb = np.frombuffer(data[head.end() : head.end() + 3 * w * h], np.uint8).reshape(h, w, 3)
+    return np.ascontiguousarray(rgb[..., ::-1])
+
+
+def write_videos(raw: DataFrame, folder: str, kind: str = "ppm", fps: float = 30.0) -> DataFrame:
+    """(video_id, path): each collection's frames in the order of ``idx``, streamed into one file. ``kind`` is "ppm" (images
+    in a row), "y4m" (grey) or "avi" (24-bit pixels with an index); the frames of a collection have one size. A task writes
+    below a folder of its attempt's name, and only the paths of finished tasks are listed."""
     reach(raw.sparkSession)
+    counted = raw.join(raw.groupBy("video_id").agg(F.count("*").alias("frames")), "video_id")
 
     def run(batches):
         from pyarrow import fs
         from pyspark import TaskContext
 
         system, root = fs.FileSystem.from_uri(folder)
-        system.create_dir(root, recursive=True)
-        attempt, now, out, done = TaskContext.get().taskAttemptId(), None, None, []
+        attempt, now, out, writer, done = TaskContext.get().taskAttemptId(), None, None, None, []
+
+        def close():
+            if out:
+                out.write(writer.end())
+                out.close()
+
         for batch in batches:
-            for video, h, w, pixels in zip(*(batch.column(c).to_pylist() for c in ("video_id", "height", "width", "pixels")), strict=True):
+            for video, h, w, pixels, n in zip(*(batch.column(c).to_pylist() for c in ("video_id", "height", "width", "pixels", "frames")), strict=True):
                 if video != now:
-                    if out:
-                        out.close()
-                    name = f"{attempt}/{video}.ppm"
+                    close()
+                    name = f"{attempt}/{video}.{kind}"
                     system.create_dir(f"{root}/{attempt}", recursive=True)
-                    out, now = system.open_output_stream(f"{root}/{name}"), video
+                    out, now, writer = system.open_output_stream(f"{root}/{name}"), video, Writer(kind, h, w, n, fps)
+                    out.write(writer.start())
                     done.append((video, f"{folder}/{name}"))
-                out.write(encode_ppm(np.frombuffer(pixels, np.uint8).reshape(h, w, 3)))
-        if out:
-            out.close()
+                out.write(writer.frame(np.frombuffer(pixels, np.uint8).reshape(h, w, 3)))
+        close()
         yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in done], pa.string()) for i in range(2)], names=["video_id", "path"])
 
-    dealt = raw.repartition("video_id").sortWithinPartitions("video_id", "idx")
+    dealt = counted.select("video_id", "idx", "height", "width", "pixels", "frames").repartition("video_id").sortWithinPartitions("video_id", "idx")
     return materialise(dealt.mapInArrow(run, "video_id string, path string"), "videos")
 
 
-def encode_ppm(bgr: np.ndarray) -> bytes:
-    h, w = bgr.shape[:2]
-    return f"P6 {w} {h} 255\n".encode() + np.ascontiguousarray(bgr[..., ::-1]).tobytes()
+class VideoSource(DataSource):
+    """``spark.read.format("raw_video")``: frames of PPM images in a row, of Y4M and of AVI files, by their first bytes.
 
-
-class PpmSource(DataSource):
-    """``spark.read.format("ppm_frames")``: each path is a video of concatenated PPM images. Options: ``paths`` (comma
-    separated), ``stride``, ``fps``. A path that cannot be opened fails; a torn image ends its video."""
+    Options: ``paths`` (comma separated), ``stride`` (every n-th frame; the others are not read), ``fps`` (in place of the
+    file's), ``partition_bytes`` (about what a task reads), ``index`` ("walk" for PPM images of several sizes that a look at
+    the parts' first frames does not tell). A file is split into parts of whole frames; a path that cannot be opened fails;
+    a torn image ends its video."""
 
     @classmethod
     def name(cls) -> str:
-        return "ppm_frames"
+        return "raw_video"
 
     def schema(self) -> str:
         return FRAMES
 
     def reader(self, schema) -> DataSourceReader:
-        return _PpmReader(self.options)
+        return _VideoReader(self.options)
+
 
+class _Part(InputPartition):
+    def __init__(self, path: str, lo: int, frames: Index):
+        self.path, self.lo, self.frames = path, lo, frames
 
-class _PpmReader(DataSourceReader):
+
+class _VideoReader(DataSourceReader):
     def __init__(self, options):
         self.paths = [p for p in options.get("paths", options.get("path", "")).split(",") if p]
         self.stride = int(options.get("stride", 1)) or 1
-        self.fps = float(options.get("fps", 0)) or 30.0
+        self.fps = float(options.get("fps", 0)) or None
+        self.fallback = float(options.get("fallback_fps", 0)) or 30.0
+        self.most = int(options.get("partition_bytes", PART))
+        self.walk = options.get("index", "") == "walk"
 
     def partitions(self):
-        return [InputPartition(p) for p in self.paths]
-
-    def read(self, partition):
         from pyarrow import fs
 
-        system, at = fs.FileSystem.from_uri(partition.value)
-        with system.open_input_stream(at) as file:
-            for idx, data in enumerate(images_of(file.read)):
-                if idx % self.stride == 0:
-                    image, _ = decode_ppm(data)
-                    yield (partition.value, idx, idx / self.fps, image.shape[0], image.shape[1], image.tobytes())
+        out = []
+        for path in self.paths:
+            system, at = fs.FileSystem.from_uri(path)
+            with system.open_input_file(at) as file:
+                found = walked(file, file.size()) if self.walk else index(file, file.size(), self.most)
+            out += [_Part(path, lo, found.part(lo, hi)) for lo, hi in found.parts(self.most)]
+        return out or [_Part("", 0, Index("ppm", 0, 0, 0))]
 
+    def read(self, partition):
+        from pyarrow import fs
 
-def image_files(spark: SparkSession, path: str) -> DataFrame:
-    """Single PPM files of a folder as frames of one video each folder, in the order of their paths' digits."""
+        found = partition.frames
+        if not found.n:
+            return
+        fps = self.fps or found.fps or self.fallback
+        system, at = fs.FileSystem.from_uri(partition.path)
+        with system.open_input_file(at) as file:
+            for k in range(-partition.lo % self.stride, found.n, self.stride):
+                place, length = found.place(k)
+                file.seek(place)
+                image = decode(found, file.read(length))
+                idx = partition.lo + k
+                yield (partition.path, idx, idx / fps, image.shape[0], image.shape[1], image.tobytes())
+
+
+def image_files(spark: SparkSession, path: str, fps: float = 30.0) -> DataFrame:
+    """Single PPM files of a folder as frames of one video each folder, numbered by the last digits of their names."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.ppm").load(path)
 
     def run(batches):
         for batch in batches:
             for name, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
-                image, _ = decode_ppm(content)
+                image = decode_ppm(content)
                 digits = re.findall(r"\d+", name.rsplit("/", 1)[-1])
                 idx = int(digits[-1]) if digits else 0
-                row = [name.rsplit("/", 1)[0], idx, idx / 30.0, image.shape[0], image.shape[1], image.tobytes()]
+                row = [name.rsplit("/", 1)[0], idx, idx / fps, image.shape[0], image.shape[1], image.tobytes()]
                 kinds = (pa.string(), pa.int64(), pa.float64(), pa.int32(), pa.int32(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names=["video_id", "idx", "t_sec", "height", "width", "pixels"])
 

@@ -229,7 +229,7 @@ def test_image_kernels_against_loops():
     gx, gy = np.meshgrid(np.arange(-3, 4), np.arange(-3, 4))
     angle = np.arctan2(gy, gx) % (2 * np.pi)
     want = np.where((gx == 0) & (gy == 0), 0, np.floor(np.round(angle / (np.pi / 4), 9)) % 8)
-    assert (image.octant(gx, gy) == want).all()
+    assert (image.sector(gx, gy) == want).all()
 
 
 def test_settings(tmp_path):
@@ -250,15 +250,15 @@ def test_ppm_source_and_writer(spark, tmp_path):
     images = [rng.integers(0, 256, (5, 6, 3)).astype(np.uint8) for _ in range(5)]
     path = tmp_path / "a.ppms"
     path.write_bytes(b"".join(map(frames.encode_ppm, images)) + b"P6 9 9 255\nxx")
-    spark.dataSource.register(frames.PpmSource)
-    got = spark.read.format("ppm_frames").option("paths", str(path)).option("stride", "2").option("fps", "10").load()
+    spark.dataSource.register(frames.VideoSource)
+    got = spark.read.format("raw_video").option("paths", str(path)).option("stride", "2").option("fps", "10").load()
     rows = got.orderBy("idx").collect()
     assert [(r["idx"], r["t_sec"]) for r in rows] == [(0, 0.0), (2, 0.2), (4, 0.4)]
     assert bytes(rows[1]["pixels"]) == images[2].tobytes()
     chosen = got.where("idx > 0").selectExpr("video_id", "idx", "t_sec", "row_number() over (order by idx) as final_ord").withColumn("video_id", F.lit("a"))
-    listed = curate.write_frames(chosen, got.withColumn("video_id", F.lit("a")), f"file://{tmp_path}/out").collect()
+    listed = curate.write_frames(chosen, got.withColumn("video_id", F.lit("a")), f"file://{tmp_path}/out", "ppm").collect()
     assert {r["path"].rsplit("/", 1)[1] for r in listed} == {"frame_000000_src000002_t000000.200.ppm", "frame_000001_src000004_t000000.400.ppm"}
-    read = frames.image_files(spark, f"{tmp_path}/out/a").orderBy("idx").collect()
+    read = frames.image_files(spark, f"{tmp_path}/out/part-*/a").orderBy("idx").collect()
     assert sorted(bytes(r["pixels"]) for r in read) == sorted([images[2].tobytes(), images[4].tobytes()])
 
 
@@ -293,7 +293,7 @@ def test_command_line(spark, tmp_path, monkeypatch, capsys):
     video = tmp_path / "field.ppm"
     video.write_bytes(b"".join(frames.encode_ppm(rng.integers(0, 256, (16, 16, 3), dtype=np.uint8)) for _ in range(12)))
     settings = tmp_path / "s.json"
-    settings.write_text(json.dumps({"defaults": {"stride": 2, "min_sharpness": 1.0, "min_contrast": 1.0, "x_method": "greedy"}, "embedding": {}}))
+    settings.write_text(json.dumps({"defaults": {"stride": 2, "min_sharpness": 1.0, "min_contrast": 1.0, "dedup_method": "greedy"}, "embedding": {}}))
     monkeypatch.chdir(tmp_path)
     run = [f"file://{video}", "--config", str(settings), "--target-size", "3", "-o", str(tmp_path / "out")]
     assert cli.main(run, spark) == 0
@@ -301,7 +301,7 @@ def test_command_line(spark, tmp_path, monkeypatch, capsys):
     assert "Selection: 3 frames selected from 6 candidates" in said and "min_sharpness" in said
     one = json.loads((tmp_path / "out/manifest.json").read_text())
     assert one["run_params"]["stride"] == {"value": 2, "source": "config"} and one["run_params"]["target_size"] == {"value": 3, "source": "cli"}
-    assert len(list((tmp_path / "out/images").rglob("frame_*.ppm"))) == 3 and all(f["saved_path"].endswith(".ppm") for f in one["frames"])
+    assert len(list((tmp_path / "out/images").rglob("frame_*.jpg"))) == 3 and all(f["saved_path"].endswith(".jpg") for f in one["frames"])
     assert "from 6 frames kept 6" in (tmp_path / "out/curation.log").read_text()
     monkeypatch.setattr("sys.stdin", io.StringIO())
     assert cli.main(run, spark) == 1
@@ -309,17 +309,6 @@ def test_command_line(spark, tmp_path, monkeypatch, capsys):
     assert json.loads((tmp_path / "out/manifest.json").read_text())["task_summary"]["candidates_count"] == 3
 
 
-def test_ppm_streams_piece_by_piece():
-    rng = np.random.default_rng(1)
-    images = [rng.integers(0, 256, (h, 5, 3), dtype=np.uint8) for h in (3, 40, 1, 7)]
-    data = b"".join(map(frames.encode_ppm, images)) + b"P6 5 5 255\nxx"
-    for piece in (1, 7, 64, 1 << 16):
-        file = io.BytesIO(data)
-        got = [frames.decode_ppm(x)[0] for x in frames.images_of(file.read, piece)]
-        assert len(got) == 4 and all((a == b).all() for a, b in zip(got, images, strict=True))
-    assert list(frames.images_of(io.BytesIO(b"").read)) == [] and list(frames.images_of(io.BytesIO(b"P6 1 1 65535\nxxxxxx").read)) == []
-
-
 def test_stream_equals_batch(spark, sf_dir, tmp_path):
     from tamis.catalog import CFG
     from tamis.streaming.novelty import score_stream
