@@ -16,10 +16,10 @@ from tamis.config import Config
 from tamis.functions import image
 from tamis.functions.vectors import normalised, scale
 from tamis.operators import folds, scoring, select, similarity, strata
-from tamis.plans import curate, manifest
+from tamis.plans import curate, manifest, runs
 from tamis.sources import frames
 from tamis.storage import materialise, scratch
-from tamis.streaming.novelty import score_stream
+from tamis.streaming.novelty import STATE_STORE, score_late_stream, score_stream
 
 #: Target weights of the shipped settings.
 TARGETS = {
@@ -140,33 +140,42 @@ def axes_summary(spark, d):
     return strata.axes_summary(_pool(spark, d))
 
 
-def _weights(c: Config) -> str:
-    """The shares computed in SQL from the raw weights."""
-    rows = [f"({i}, '{a}', {j}, '{v}', {float((c.targets or {}).get(a, {}).get(v, 1.0))!r}::DOUBLE)" for i, (a, vs) in enumerate(c.axes.items()) for j, v in enumerate(vs)]
-    a, b, e, g = (f"(SELECT * FROM share WHERE axis = '{x}')" for x in c.axes)
-    return _with(
-        f"raw(i, axis, j, value, w) AS (VALUES {', '.join(rows)})",
-        "share AS (SELECT *, w / (sum(w) OVER (PARTITION BY axis) + 1e-12::DOUBLE) AS s FROM raw)",
-        f"""grid AS (SELECT (a.j * 8 + b.j * 4 + e.j * 2 + g.j)::INT AS combo_ord, a.value AS altitude, b.value AS view, e.value AS cover, g.value AS lighting, a.s * b.s * e.s * g.s AS p
-  FROM {a} a, {b} b, {e} e, {g} g)""",
-        "SELECT combo_ord, 'altitude:' || altitude || '|view:' || view || '|cover:' || cover || '|lighting:' || lighting AS combo_key, altitude, view, cover, lighting, "
-        "round(p / (sum(p) OVER () + 1e-12::DOUBLE), 6) AS ratio FROM grid",
-    )
+#: Weights of each collection's own labels: how many of its frames bear them.
+_COUNTED = """SELECT video_id, axis, value, count(*) AS weight FROM (SELECT video_id, 'cover' AS axis, CASE WHEN green_cover >= 0.5 THEN 'dense' ELSE 'sparse' END AS value FROM light
+  UNION ALL SELECT video_id, 'lighting', CASE WHEN lighting_mean < 115 THEN 'dark' ELSE 'bright' END FROM light UNION ALL SELECT video_id, 'weather', 'fine' FROM light) GROUP BY ALL"""
+
+
+def _counted(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    view = frames.light_view(spark, d).select("video_id", "green_cover", "lighting_mean")
+    pair = lambda axis, value: F.struct(F.lit(axis).alias("axis"), value.alias("value"))
+    cover = F.when(F.col("green_cover") >= 0.5, "dense").otherwise("sparse")
+    light = F.when(F.col("lighting_mean") < 115, "dark").otherwise("bright")
+    marks = view.select("video_id", F.explode(F.array(pair("cover", cover), pair("lighting", light), pair("weather", F.lit("fine")))).alias("m"))
+    return view, marks.groupBy("video_id", "m.axis", "m.value").agg(F.count("*").alias("weight"))
 
 
-@_query(_weights(CFG))
+def _compiled(view: DataFrame, weights: DataFrame) -> DataFrame:
+    return strata.compiled_targets(view, weights, CFG).select("video_id", "combo_ord", "combo_key", *LABELS, *_r("ratio"))
+
+
+@_query(_with(sql.light(), sql.compiled(CFG, _COUNTED)))
 def compile_targets(spark, d):
-    return strata.targets(spark, CFG).select("combo_ord", "combo_key", *LABELS, *_r("ratio"))
+    """Targets of each collection from the weights that a table holds."""
+    return _compiled(*_counted(spark, d))
 
 
-@_query(_weights(PARTIAL))
+@_query(_with(sql.light(), sql.compiled(CFG, f"SELECT * FROM ({_COUNTED}) WHERE value = 'sparse' AND weight % 2 = 0")))
 def compile_targets_partial(spark, d):
-    return strata.targets(spark, PARTIAL).select("combo_ord", "combo_key", *LABELS, *_r("ratio"))
+    """Some collections have a weight for one label, others have none at all."""
+    view, weights = _counted(spark, d)
+    return _compiled(view, weights.where("value = 'sparse' AND weight % 2 = 0"))
 
 
-@_query(_weights(CFG.with_(targets=None)))
+@_query(_with(sql.light(), sql.compiled(CFG, f"SELECT * FROM ({_COUNTED}) WHERE axis = 'weather'")))
 def compile_targets_uniform(spark, d):
-    return strata.targets(spark, CFG.with_(targets=None)).select("combo_ord", "combo_key", *LABELS, *_r("ratio"))
+    """Weights of unknown axes alone leave all shares equal."""
+    view, weights = _counted(spark, d)
+    return _compiled(view, weights.where("axis = 'weather'"))
 
 
 @_query(_with(*_FINAL, sql.EVALUATED, "SELECT * FROM evaluated"))
@@ -599,29 +608,53 @@ def prefilter_counters(spark, d):
     return scoring.prefilter_counts(frames.light_view(spark, d), CFG)
 
 
+#: Of each customer's run: parameters that were given, and those of the settings file.
+_ASKED = {
+    "stride": ("CAST(c_custkey % 3 AS STRING)", "CAST(c_nationkey % 4 AS STRING)"),
+    "min_sharpness": ("CASE WHEN c_custkey % 2 = 0 THEN '95.5' END", "CASE WHEN c_nationkey % 2 = 0 THEN '0.0' ELSE '70.0' END"),
+    "target_size": ("CASE WHEN c_custkey % 5 < 3 THEN CAST(c_custkey % 5 AS STRING) END", "CASE WHEN c_nationkey % 3 = 0 THEN '12' END"),
+    "dedup_method": ("CASE WHEN c_custkey % 7 = 0 THEN 'dbscan' WHEN c_custkey % 7 = 1 THEN '' END", "CASE WHEN c_nationkey % 5 = 0 THEN 'dbscan' END"),
+    "colour": ("'red'", "'blue'"),
+}
+_VIA = "CASE WHEN c_custkey % 4 = 0 THEN 'web' ELSE 'cli' END"
+_PRESETS = ", ".join(f"('{n}', {'NULL' if v is None else repr(str(v))})" for n, v in config.RUN_DEFAULTS.items())
+_ROWS = " UNION ALL ".join(f"SELECT c_custkey AS run_id, {_VIA} AS via, '{n}' AS name, {g} AS given, {c} AS configured FROM customer" for n, (g, c) in _ASKED.items())
+
+
 @_query(
-    """WITH p(name, cli, config, preset) AS (VALUES ('stride', '0', '2', '1'), ('min_sharpness', '95.5', '80.0', '80.0'), ('min_contrast', '', '0', '20.0'), ('novelty_threshold', '', '0.6', '0.3'), ('target_size', '0', '', ''), ('dedup_method', '', 'dbscan', 'greedy'))
-SELECT name, CASE WHEN cli NOT IN ('', '0') OR name = 'target_size' THEN cli WHEN config NOT IN ('', '0') THEN config ELSE preset END AS value,
-  CASE WHEN cli NOT IN ('', '0') OR name = 'target_size' THEN 'cli' WHEN config NOT IN ('', '0') THEN 'config' ELSE 'default' END AS source FROM p
-UNION ALL VALUES ('video', '/in/field 7.ppm', 'cli'), ('out', 'data/output/field 7', 'derived')"""
+    f"""WITH asked AS ({_ROWS}), presets(name, preset) AS (VALUES {_PRESETS}),
+every_one AS (SELECT run_id, presets.name, preset, via, given, configured FROM (SELECT DISTINCT c_custkey AS run_id FROM customer) CROSS JOIN presets LEFT JOIN asked USING (run_id, name)),
+marked AS (SELECT *, coalesce(given, '') NOT IN ('', '0', '0.0') OR name = 'target_size' AND coalesce(given, '') <> '' AS g, coalesce(configured, '') NOT IN ('', '0', '0.0') OR name = 'target_size' AND coalesce(configured, '') <> '' AS c FROM every_one)
+SELECT run_id, name, CASE WHEN g THEN given WHEN c THEN configured ELSE preset END AS value, CASE WHEN g THEN via WHEN c THEN 'config' ELSE 'default' END AS source FROM marked"""
 )
 def run_parameters(spark, d):
-    """Settings from a file against arguments: the effective values and where they came from."""
-    import json
-    import tempfile
-
-    with tempfile.NamedTemporaryFile("w", suffix=".json") as file:  # read on this machine, as a command line does
-        json.dump({"defaults": {"stride": 2, "min_sharpness": 80.0, "min_contrast": 0, "novelty_threshold": 0.6, "target_size": None, "dedup_method": "dbscan"}}, file)
-        file.flush()
-        settings = config.load_settings(file.name)
-    got = config.resolve({"stride": 0, "min_sharpness": 95.5, "target_size": 0}, settings, "cli", "/in/field 7.ppm")
-    return spark.createDataFrame([(k, str(v["value"]), v["source"]) for k, v in got.items()], "name string, value string, source string")
+    """Arguments against a settings file, for a run of each customer: the effective values and where they came from."""
+    customers = spark.read.parquet(f"{d}/customer.parquet").select("c_custkey", "c_nationkey")
+    each = F.array(*(F.struct(F.lit(n).alias("name"), F.expr(g).alias("given"), F.expr(c).alias("configured")) for n, (g, c) in _ASKED.items()))
+    asked = customers.select(F.col("c_custkey").alias("run_id"), F.expr(_VIA).alias("via"), F.explode(each).alias("a")).select("run_id", "via", "a.*")
+    return runs.parameters(asked)
 
 
-@_query("SELECT n_name || '.raw' AS source, 'data/output/' || n_name || '.raw' AS folder FROM nation")
+@_query("SELECT s_suppkey AS run_id, CASE WHEN s_suppkey % 3 = 2 THEN 'data/output/.' || s_suppkey ELSE 'data/output/' || s_name || CASE WHEN s_suppkey % 3 = 1 THEN '.raw' ELSE '' END END AS folder FROM supplier")
 def output_folders(spark, d):
-    names = [r["n_name"] for r in spark.read.parquet(f"{d}/nation.parquet").select("n_name").collect()]  # 25 names
-    return spark.createDataFrame([(f"{n}.raw", config.output_folder(f"/v/{n}.raw.ppm")) for n in names], "source string, folder string")
+    """The folders of runs that name none, after their sources."""
+    key = F.col("s_suppkey")
+    name = F.when(key % 3 == 2, F.concat(F.lit("."), key.cast("string"))).when(key % 3 == 1, F.concat("s_name", F.lit(".raw.ppm"))).otherwise(F.concat("s_name", F.lit(".avi/")))
+    return spark.read.parquet(f"{d}/supplier.parquet").select(key.alias("run_id"), runs.output_folder(F.concat(F.lit("hdfs://v/x.y/"), name)).alias("folder"))
+
+
+@_query(
+    _with(
+        sql.light(),
+        "best AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY sharpness DESC, idx) AS n, count(*) OVER (PARTITION BY video_id) AS c FROM light)",
+        "SELECT video_id, idx, CASE idx % 3 WHEN 0 THEN 'images/' || idx || '.jpg' ELSE '' END AS link FROM best WHERE n <= greatest(1, floor(c * 0.1::DOUBLE))",
+    )
+)
+def image_links(spark, d):
+    """Links of saved images below the folder that is served; others are empty."""
+    best = scoring.top_fraction(frames.light_view(spark, d), 0.1, "sharpness").select("video_id", "idx")
+    folder = F.element_at(F.array(F.lit("/run/a/images/"), F.lit("/run/ab/images/"), F.lit("/run/a/../b/")), (F.col("idx") % 3 + 1).cast("int"))
+    return best.select("video_id", "idx", runs.link(F.concat(folder, F.col("idx").cast("string"), F.lit(".jpg")), F.lit("/run/a/")).alias("link"))
 
 
 @_query(_with(sql.light(), "SELECT count(*) AS frames, false AS written FROM light WHERE sharpness >= 1e9"))
@@ -646,6 +679,24 @@ def novelty_stream(spark, d):
     return spark.read.schema(scored.schema).parquet(out).select("video_id", "idx", *_r("quality", "content_novelty", "ml_score"))
 
 
+@_query(_with(*_SCORED, f"SELECT video_id, idx, {_rs('quality', 'content_novelty', 'ml_score')} FROM scored"))
+def novelty_late_stream(spark, d):
+    """The same fold over files that hold the frames in no order: the watermark releases them in theirs."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    view = frames.light_view(spark, d).withColumn("seen_at", F.timestamp_seconds(F.col("idx").cast("double")))
+    feed, out = scratch(spark, "feed"), scratch(spark, "stream")
+    view.repartition(3, F.xxhash64("idx")).write.parquet(feed)
+    for k in (1, 2):  # a frame of no collection ends the stream: its time lets the watermark pass all others
+        last = view.agg(F.max("seen_at").alias("last")).select((F.col("last") + F.expr(f"INTERVAL '{k}' DAY * 3000")).alias("seen_at"))
+        mark = view.limit(1).drop("seen_at").withColumn("video_id", F.lit(None).cast("string")).withColumn("sharpness", F.lit(CFG.min_sharpness)).withColumn("contrast", F.lit(CFG.min_contrast))
+        mark.crossJoin(F.broadcast(last)).select(view.columns).coalesce(1).write.mode("append").parquet(feed)  # one row each
+    stream = own.readStream.schema(view.schema).option("maxFilesPerTrigger", 1).parquet(feed)
+    scored = score_late_stream(stream, CFG, delay="1000 days")
+    scored.writeStream.format("parquet").option("checkpointLocation", scratch(spark, "offsets")).trigger(availableNow=True).start(out).awaitTermination()
+    return spark.read.schema(scored.schema).parquet(out).where("video_id IS NOT NULL").select("video_id", "idx", *_r("quality", "content_novelty", "ml_score"))
+
+
 def queries() -> dict[str, Query]:
     return dict(_queries)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from itertools import product
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamis.config import Config
@@ -55,9 +55,36 @@ def combinations(cfg: Config) -> list[tuple[str, dict[str, str], float]]:
     return [(k, labels, s / total) for k, labels, s in out]
 
 
-def targets(spark: SparkSession, cfg: Config) -> DataFrame:
-    rows = [(i, k, *labels.values(), s) for i, (k, labels, s) in enumerate(combinations(cfg))]
-    return spark.createDataFrame(rows, f"combo_ord int, combo_key string, {', '.join(f'{a} string' for a in cfg.axes)}, ratio double")
+def compiled_targets(collections: DataFrame, weights: DataFrame, cfg: Config) -> DataFrame:
+    """(video_id, combo_ord, combo_key, the axes' labels, ratio) of every combination for each of ``collections(video_id)``,
+    from ``weights(video_id, axis, value, weight)``. As in ``axis_shares``, a label without a weight weighs 1.0, and axes
+    and labels that the settings do not know are left aside; a collection's combinations are made in its own row."""
+    labels = [(a, v) for a, values in cfg.axes.items() for v in values]
+    own = F.map_from_entries(F.collect_list(F.struct(F.concat_ws(":", "axis", "value"), F.col("weight").cast("double"))))
+    known = F.concat_ws(":", "axis", "value").isin(*(f"{a}:{v}" for a, v in labels))
+    given = weights.where(known & F.col("weight").isNotNull()).groupBy("video_id").agg(own.alias("own"))
+    rows = collections.select("video_id").distinct().join(given, "video_id", "left")
+
+    def weight(axis: str, value: str) -> Column:
+        return F.coalesce(F.col("own")[f"{axis}:{value}"], F.lit(1.0))
+
+    shares = {}
+    for axis, values in cfg.axes.items():
+        total = F.lit(0.0)
+        for v in values:
+            total = total + weight(axis, v)
+        shares |= {(axis, v): weight(axis, v) / (total + F.lit(EPSILON)) for v in values}
+    made = []
+    for k, combo in enumerate(product(*cfg.axes.values())):
+        share = F.lit(1.0)
+        for axis, v in zip(cfg.axes, combo, strict=True):
+            share = share * shares[axis, v]
+        key = "|".join(f"{a}:{v}" for a, v in zip(cfg.axes, combo, strict=True))
+        made.append(F.struct(F.lit(k).alias("combo_ord"), F.lit(key).alias("combo_key"), *(F.lit(v).alias(a) for a, v in zip(cfg.axes, combo, strict=True)), share.alias("share")))
+    grid = rows.select("video_id", F.array(*made).alias("grid"))
+    total = F.aggregate("grid", F.lit(0.0), lambda s, g: s + g["share"]) + F.lit(EPSILON)
+    each = grid.select("video_id", total.alias("total"), F.explode("grid").alias("g"))
+    return each.select("video_id", "g.combo_ord", "g.combo_key", *(F.col(f"g.{a}") for a in cfg.axes), (F.col("g.share") / F.col("total")).alias("ratio"))
 
 
 def evaluate_targets(selected: DataFrame, cfg: Config) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from tamis.config import Config
-from tamis.operators.strata import axis_shares, combinations
 
 
 def light(one_video: bool = False) -> str:
@@ -55,8 +54,27 @@ RANKED = f"ranked AS (SELECT *, {KEY} AS combo_key, row_number() OVER (PARTITION
 
 
 def goals(c: Config) -> str:
-    rows = ", ".join(f"({i}, '{k}', {s!r}::DOUBLE)" for i, (k, _, s) in enumerate(combinations(c)))
-    return f"goals(combo_ord, combo_key, ratio) AS (VALUES {rows})"
+    """``goals(combo_ord, combo_key, ratio)`` from the raw weights, shares and products made in SQL."""
+    rows = [f"({i}, '{a}', {j}, '{v}', {float((c.targets or {}).get(a, {}).get(v, 1.0))!r}::DOUBLE)" for i, (a, vs) in enumerate(c.axes.items()) for j, v in enumerate(vs)]
+    a, b, e, g = (f"(SELECT * FROM share WHERE axis = '{x}')" for x in c.axes)
+    return f"""raw(i, axis, j, value, w) AS (VALUES {', '.join(rows)}),
+share AS (SELECT *, w / (sum(w) OVER (PARTITION BY axis) + 1e-12::DOUBLE) AS s FROM raw),
+grid AS (SELECT (a.j * 8 + b.j * 4 + e.j * 2 + g.j)::INT AS combo_ord, 'altitude:' || a.value || '|view:' || b.value || '|cover:' || e.value || '|lighting:' || g.value AS combo_key, a.s * b.s * e.s * g.s AS p
+  FROM {a} a, {b} b, {e} e, {g} g),
+goals AS (SELECT combo_ord, combo_key, p / (sum(p) OVER () + 1e-12::DOUBLE) AS ratio FROM grid)"""
+
+
+def compiled(c: Config, weights: str) -> str:
+    """Targets of each collection of ``light``; ``weights`` is a query of (video_id, axis, value, weight)."""
+    rows = [f"('{a}', {j}, '{v}')" for a, vs in c.axes.items() for j, v in enumerate(vs)]
+    a, b, e, g = (f"(SELECT * FROM share WHERE axis = '{x}')" for x in c.axes)
+    return f"""weights AS ({weights}), known(axis, j, value) AS (VALUES {', '.join(rows)}),
+raw AS (SELECT v.video_id, axis, j, value, coalesce(weight, 1)::DOUBLE AS w FROM (SELECT DISTINCT video_id FROM light) v CROSS JOIN known LEFT JOIN weights USING (video_id, axis, value)),
+share AS (SELECT *, w / (sum(w) OVER (PARTITION BY video_id, axis) + 1e-12::DOUBLE) AS s FROM raw),
+grid AS (SELECT a.video_id, (a.j * 8 + b.j * 4 + e.j * 2 + g.j)::INT AS combo_ord, a.value AS altitude, b.value AS view, e.value AS cover, g.value AS lighting, a.s * b.s * e.s * g.s AS p
+  FROM {a} a JOIN {b} b USING (video_id) JOIN {e} e USING (video_id) JOIN {g} g USING (video_id))
+SELECT video_id, combo_ord, 'altitude:' || altitude || '|view:' || view || '|cover:' || cover || '|lighting:' || lighting AS combo_key, altitude, view, cover, lighting,
+  round(p / (sum(p) OVER (PARTITION BY video_id) + 1e-12::DOUBLE), 6) AS ratio FROM grid"""
 
 
 def stratified(c: Config, size: int) -> str:
@@ -127,13 +145,13 @@ CLUSTER_KEPT = "kept AS (SELECT video_id, ord FROM (SELECT *, row_number() OVER
 
 
 def satisfaction(c: Config, normalised: bool) -> str:
-    shares = axis_shares(c)
     rows = []
     for axis, values in c.axes.items():
         for v in sorted(values):
             raw = (c.targets or {}).get(axis, {}).get(v)
-            rows.append(f"('{axis}', '{v}', {(shares[axis][v] if normalised else float(raw) if raw is not None else 1.0 / len(values))!r}::DOUBLE)")
-    return f"""want(axis, value, target) AS (VALUES {', '.join(rows)}),
+            rows.append(f"('{axis}', '{v}', {float(1.0 if raw is None else raw)!r}::DOUBLE, {float(1.0 / len(values) if raw is None else raw)!r}::DOUBLE)")
+    target = "w / (sum(w) OVER (PARTITION BY axis) + 1e-12::DOUBLE)" if normalised else "shown"
+    return f"""listed(axis, value, w, shown) AS (VALUES {', '.join(rows)}), want AS (SELECT axis, value, {target} AS target FROM listed),
 marks AS (UNPIVOT (SELECT altitude, view, cover, lighting FROM final) ON altitude, view, cover, lighting INTO NAME axis VALUE value),
 n AS (SELECT axis, value, count(*) AS n FROM marks GROUP BY ALL), total AS (SELECT count(*) AS total FROM final),
 satisfied AS (SELECT axis, value, target, coalesce(n, 0) / greatest(total, 1)::DOUBLE AS actual, coalesce(n, 0) / greatest(total, 1)::DOUBLE >= target - {0.0 if normalised else 0.001} AS satisfied
