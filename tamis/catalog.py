@@ -6,6 +6,7 @@ Each query runs over the whole derived view of its table; floating-point results
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -399,6 +400,35 @@ def view_entropy(spark, d):
     return _image(spark, d).select("video_id", "idx", *_r("view_entropy"))
 
 
+_SECTORS = """turns AS (SELECT video_id, idx, n, CASE WHEN gx = 0 AND gy = 0 THEN 0 ELSE floor((CASE WHEN gy < 0 THEN 2 * pi() ELSE 0 END + atan2(gy, gx)) * n / (2 * pi()) + 1e-9::DOUBLE) END % n AS bin,
+  sqrt(gx * gx + gy * gy) AS m FROM stencil, (VALUES (4), (6), (12)) b(n)),
+sums AS (SELECT video_id, idx, n, bin, sum(m) AS h FROM turns GROUP BY ALL),
+shares AS (SELECT video_id, idx, n, h / (sum(h) OVER (PARTITION BY idx, n) + 1e-9::DOUBLE) AS p FROM sums)"""
+
+
+@_query(_with(*_IMAGE, _SECTORS, "SELECT video_id, idx, n AS bins, round(-sum(p * ln(p + 1e-9::DOUBLE)), 6) AS view_entropy FROM shares GROUP BY ALL"))
+def view_entropy_bins(spark, d):
+    """Directions in four, six and twelve sectors."""
+    view = frames.image_view(spark, d)
+    every = [image.features(view, replace(IMAGE, view_bins=n)).select("video_id", "idx", F.lit(n).alias("bins"), *_r("view_entropy")) for n in (4, 6, 12)]
+    return every[0].unionByName(every[1]).unionByName(every[2])
+
+
+_DIM = replace(IMAGE, center=100.0, center_weight=0.5, clip_weight=0.7, clip_multiplier=1.5, under_below=30, over_from=200)
+
+
+@_query(
+    _with(
+        sql.PIXELS,
+        "e AS (SELECT video_id, idx, avg(l) AS mean, count(*) FILTER (l < 30) / (64 + 1e-9::DOUBLE) AS under, count(*) FILTER (l >= 200) / (64 + 1e-9::DOUBLE) AS over FROM px GROUP BY ALL)",
+        "SELECT video_id, idx, round(greatest(0.0::DOUBLE, least(1.0::DOUBLE, 1 - least(1.0::DOUBLE, 0.5::DOUBLE * abs(mean - 100) / 100 + 0.7::DOUBLE * 1.5::DOUBLE * (under + over)))), 6) AS exposure_score FROM e",
+    )
+)
+def exposure_settings(spark, d):
+    """The exposure score by other weights, centre and ends, as settings may name them."""
+    return image.features(frames.image_view(spark, d), _DIM).select("video_id", "idx", *_r("exposure_score"))
+
+
 @_query(
     _with(
         sql.PIXELS,
@@ -566,6 +596,25 @@ def manifest_read_back(spark, d):
     return rows.select("video_id", "final_ord", F.col("source_index").alias("idx"), *_r("t_sec", "ml_score", "sharpness", "lighting_mean"), F.concat_ws("/", "strata").alias("strata"), *numbers)
 
 
+@_query(
+    _with(
+        *_FINAL,
+        "SELECT f.video_id, f.final_ord, f.idx, round(f.ml_score, 6) AS ml_score, round(content_novelty, 6) AS content_novelty, f.altitude || '/' || f.view || '/' || f.cover || '/' || f.lighting AS strata, "
+        "(SELECT count(*) FROM final) AS selected FROM final f JOIN (SELECT video_id, idx, content_novelty FROM binned) b USING (video_id, idx)",
+    )
+)
+def manifest_document(spark, d):
+    """A run's manifest as one JSON document, read again as any reader would."""
+    pool = _pool(spark, d)
+    path = scratch(spark, "manifest")
+    manifest.write_manifest(materialise(curate.select_from(pool, CFG, SIZE), "final"), pool, CFG, path, config.resolve({}, {}), 1.0, "v.ppm")
+    manifest.write_document(spark, path, f"{path}.json")
+    kind = "frames array<struct<video_id: string, final_ord: long, source_index: long, ml_score: double, subscores: struct<content_novelty: double>, strata: array<string>>>, task_summary struct<selected_count: long>"
+    rows = spark.read.schema(kind).option("multiLine", True).json(f"{path}.json").select(F.explode("frames").alias("f"), "task_summary.selected_count")
+    columns = [F.col("f.source_index").alias("idx"), F.round("f.ml_score", 6).alias("ml_score"), F.round("f.subscores.content_novelty", 6).alias("content_novelty")]
+    return rows.select("f.video_id", "f.final_ord", *columns, F.concat_ws("/", "f.strata").alias("strata"), F.col("selected_count").alias("selected"))
+
+
 @_query(
     _with(
         *_FINAL,
