@@ -21,7 +21,7 @@ from tamis.session import reach
 from tamis.storage import materialise
 
 #: Frames whose cosines are computed at once.
-FRAMES = 256
+FRAMES = 64
 
 
 def runs(batch: pa.RecordBatch, key: str) -> Iterator[tuple[object, pa.RecordBatch]]:

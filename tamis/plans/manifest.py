@@ -173,16 +173,19 @@ def report(found: dict, cfg: Config | None, target_size: int | None = None) -> s
     """A manifest's header as text: the run, its parameters, scores, the table of strata, whether targets are met, and what
     to change where they or the size are not."""
     summary = found["task_summary"]
-    n = summary["selected_count"]
-    rule = "=" * 80
-    lines = [rule, "FRAME CURATION STATISTICS", f"Video: {summary['video'] or 'Unknown'}", f"Output: {summary['output_dir'] or 'Unknown'}"]
-    lines += [f"Selection: {n} frames selected from {summary['candidates_count']} candidates", f"Selection ratio: {summary['selection_ratio']}"]
-    lines += ["", "RUN PARAMETERS", *(f"   - {k:20}: {v['value']!s:<25} (source: {v['source']})" for k, v in found["run_params"].items())]
+    n, params = summary["selected_count"], found["run_params"]
+    out = [f"# Curation of {summary['video'] or '(no name)'}", ""]
+    out += [f"{n} of {summary['candidates_count']} candidates kept ({summary['selection_ratio']}), in {summary['output_dir'] or '(no folder)'}"]
+    seconds = summary.get("elapsed_time_sec")
+    if seconds is not None:
+        out.append("took {} min {} s".format(*divmod(int(seconds), 60)))
+    wide = max(map(len, params), default=0)
+    out += ["", "## Parameters", "", *(f"{k:<{wide}} = {v['value']} [{v['source']}]" for k, v in params.items())]
     if not n:
-        return "\n".join([*lines, "", "No frames in manifest.", rule])
+        return "\n".join([*out, "", "The manifest has no frames."])
     score = summary["ml_score"]
-    lines += ["", "ML SCORE (quality + novelty)", f"   Avg: {score['average']}", f"   Median: {score['median']}", f"   Range: {score['range']}"]
-    lines += ["", "STRATIFICATION", f"{'axis':<10} {'value':<10} {'actual':>8} {'target':>8} {'satisfied':>10}", "-" * 50]
+    out += ["", "## Scores", "", f"mean {score['average']}, median {score['median']}, from {score['range'].replace(' - ', ' to ')}"]
+    out += ["", "## Strata", "", f"{'axis':<10} {'value':<10} {'actual %':>8} {'target %':>8} {'met':>10}"]
     met = True
     for axis, values in (cfg.axes if cfg else summary["axes_summary"]).items():
         for value in sorted(values):
@@ -190,17 +193,11 @@ def report(found: dict, cfg: Config | None, target_size: int | None = None) -> s
             target = float(((cfg.targets or {}) if cfg else {}).get(axis, {}).get(value, 1 / len(values)))
             fine = share >= target - 0.001
             met &= fine
-            lines.append(f"{axis:<10} {value:<10} {100 * share:8.1f} {100 * target:8.1f} {'yes' if fine else 'no':>10}")
-    lines += ["-" * 50, f"Overall targets: {'satisfied' if met else 'NOT satisfied'}"]
+            out.append(f"{axis:<10} {value:<10} {100 * share:8.1f} {100 * target:8.1f} {'yes' if fine else 'no':>10}")
+    out += ["", "All targets are met." if met else "Some targets are missed: candidates are too few or one-sided."]
     short = target_size is not None and n < target_size
     if short:
-        lines += ["", f"WARNING: target size not reached ({n}/{target_size} frames)."]
+        out.append(f"{n} frames instead of {target_size}.")
     if short or not met:
-        lines += ["", "RECOMMENDATIONS"]
-        lines += ["   - Targets of the strata were not met. The candidates may be too few or skewed."] * (not met)
-        lines += [f"   - The number of frames ({n}) is less than the target size ({target_size})."] * short
-        lines += [f"   - {r}" for r in REMEDIES]
-    seconds = summary.get("elapsed_time_sec")
-    if seconds is not None:
-        lines += ["", "Elapsed time: {}m {}s".format(*divmod(int(seconds), 60))]
-    return "\n".join([*lines, rule])
+        out += ["", "## What to try", "", *(f"* {r}" for r in REMEDIES)]
+    return "\n".join(out)
