@@ -14,8 +14,8 @@ replacements of it (a fifth of its words at most). Words are lower-case runs of
   some item (all words of an item of one or two). This rules nothing out; which item a window may hold is for its keys to say.
 * Candidates are verified exactly, over the whole item, by Myers' bit-parallel algorithm, which also gives the passage's ends.
 
-The items are a stated query set: they go to the executors in broadcast blocks of at most ``BLOCK_BYTES`` of text or one
-item, one pass over the documents each, so that what is sent has a bound.
+The items are a stated query set: their texts go to the executors in broadcast blocks of at most ``BLOCK_BYTES`` or one item,
+one pass over the documents each, so that what is sent has a bound; each Python worker makes its index of a block once.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tamis.llm.common import arrow_map, texts
 
@@ -38,6 +39,8 @@ PART = 128
 _SEED = 3
 _BATCH = 4096
 _MASKS = 20_000
+#: Items of one key beyond which a window first looks at their words.
+MANY = 64
 
 
 def edits(n: int) -> int:
@@ -48,7 +51,7 @@ def edits(n: int) -> int:
 class Items:
     """A block of benchmark items: word ids, their runs of words, and an index of walk keys."""
 
-    def __init__(self, rows: list[tuple[int, str]]):
+    def __init__(self, rows: list[tuple[object, str]]):
         self.vocab: dict[str, int] = {}
         self.ids, self.seqs = [], []
         for item, text in rows:
@@ -65,10 +68,13 @@ class Items:
         grid = np.full((len(parts), int(self.part_size.max(initial=1))), -1, np.int64)
         for p, (k, at) in enumerate(parts):
             grid[p, : self.part_size[p]] = self.seqs[k][at : at + PART]
+        #: Word ids of the items that are one part; longer ones have none here.
+        self.grid, self.whole = grid, self.sizes <= PART
+        self.first = np.searchsorted(self.part_item, np.arange(len(self.seqs)))
         self.runs = self._runs(grid)
         self.steps = 2 * int(self.part_size.max(initial=0))
         keys = [self.walk_keys(grid, self.part_size, r) for r in range(REPEATS)]
-        self.order = [np.argsort(k, kind="stable") for k in keys]
+        self.order = [np.argsort(k, kind="stable").astype(np.int32) for k in keys]
         self.keys = [k[o] for k, o in zip(keys, self.order, strict=True)]
         self._masks: dict[tuple[int, bool], dict[int, int]] = {}
 
@@ -130,28 +136,51 @@ class Items:
                 out.append(np.stack([np.maximum(np.repeat(hit, counts) - place[seed], 0), size[seed]], axis=1))
         return np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
 
+    def _share_words(self, ids: np.ndarray, item: np.ndarray, start: int) -> np.ndarray:
+        """Which items may lie near a window by the words they share with its surroundings: within k edits of a passage, all
+        but k of an item's words stand in it. This rules out no passage, only the many items that open alike."""
+        n = self.sizes[item]
+        most = np.minimum(n // 5, np.maximum(0, (n - 3) // 4))
+        lo, hi = max(0, start - int(most.max())), start + int((n + 2 * most).max())
+        there = np.zeros(self.base + 1, bool)
+        there[ids[lo:hi]] = True
+        there[[0, -1]] = False
+        return ~self.whole[item] | (there[self.grid[self.first[item]]].sum(1) >= n - most)
+
     def candidates(self, found: list[tuple[int, np.ndarray, np.ndarray]]) -> Iterator[tuple[int, int, int]]:
         """Distinct (document, item, start of the item) of the windows that have a key of the item."""
-        doc = np.concatenate([np.zeros(0, np.int64), *(np.full(len(w), k) for k, _, w in found)])
         which = np.concatenate([np.zeros(0, np.int64), *(np.full(len(w), i) for i, (_, _, w) in enumerate(found))])
         every = np.concatenate([np.zeros((0, 2), np.int64), *(w for _, _, w in found)])
-        for lo in range(0, len(doc), _BATCH):
+        for lo in range(0, len(which), _BATCH):
             start, size = every[lo : lo + _BATCH].T
             grid = np.full((len(start), int(size.max())), -1, np.int64)
             for r, (i, a, n) in enumerate(zip(which[lo : lo + _BATCH].tolist(), start.tolist(), size.tolist(), strict=True)):
                 part = found[i][1][a : a + n]
                 grid[r, : len(part)] = part
-            met = []
+            met, parts, fits = [np.zeros(0, np.int64)], len(self.part_item), {}
             for repeat in range(REPEATS):
                 keys = self.walk_keys(grid, size, repeat)
                 first = np.searchsorted(self.keys[repeat], keys, side="left")
                 counts = np.searchsorted(self.keys[repeat], keys, side="right") - first
+                many = np.flatnonzero(counts > MANY)
+                for r in many.tolist():  # items that walk alike: those that share enough words
+                    if r not in fits:
+                        fits[r] = self._share_words(found[which[lo + r]][1], self.part_item, int(start[r]))
+                    part = self.order[repeat][first[r] : first[r] + counts[r]]
+                    met.append(r * parts + part[fits[r][part]])
+                counts[many] = 0
                 row = np.repeat(np.arange(len(keys)), counts)
                 place = np.repeat(first - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(len(row))
-                met.append(np.unique(np.stack([row, self.order[repeat][place]], axis=1), axis=0))
-            row, part = np.unique(np.concatenate(met), axis=0).T
-            got = np.stack([doc[lo + row], self.part_item[part], np.maximum(start[row] - self.part_at[part], 0)], axis=1)
-            yield from map(tuple, np.unique(got, axis=0).tolist())
+                met.append(np.unique(row * parts + self.order[repeat][place]))
+            row, part = np.divmod(np.unique(np.concatenate(met)), max(parts, 1))
+            got = np.unique(np.stack([which[lo + row], self.part_item[part], np.maximum(start[row] - self.part_at[part], 0)], axis=1), axis=0)
+            got = got[np.lexsort((got[:, 1], got[:, 2], got[:, 0]))]
+            cuts = np.flatnonzero(np.r_[True, (got[1:, [0, 2]] != got[:-1, [0, 2]]).any(1), True]) if len(got) else np.zeros(1, np.int64)
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                k, ids, _ = found[int(got[a, 0])]
+                for c in range(a, b, _BATCH):
+                    some = got[c : min(b, c + _BATCH), 1]
+                    yield from ((k, int(i), int(got[a, 2])) for i in some[self._share_words(ids, some, int(got[a, 2]))])
 
     def _mask(self, item: int, back: bool) -> dict[int, int]:
         got = self._masks.get((item, back))
@@ -184,12 +213,34 @@ class Items:
             if len(windows):
                 ids_of[k] = got
                 found.append((k, got, windows))
+        exact = set()  # what is found without an edit cannot be found any better
         for k, item, start in self.candidates(found):
+            if (k, item) in exact:
+                continue
             held = self.verify(ids_of[k], item, start)
             if held:
+                if not held[0]:
+                    exact.add((k, item))
                 yield k, item, held
 
 
+class Block:
+    """Items as they are sent: ids and texts. The index is made on first use, once in each worker."""
+
+    def __init__(self, rows: list[tuple[object, str]]):
+        self.rows = rows
+        self._items: Items | None = None
+
+    def __getstate__(self) -> dict:
+        return {"rows": self.rows, "_items": None}
+
+    @property
+    def items(self) -> Items:
+        if self._items is None:
+            self._items = Items(self.rows)
+        return self._items
+
+
 def _search(mask: dict[int, int], m: int, text: list[int], free: bool, stop: int = -1) -> tuple[int, int]:
     """Least edit distance of a pattern to a run of ``text`` that ends at the returned place (Myers, JACM 1999);
     ``free`` lets the run start anywhere, else it starts at the first word."""
@@ -217,28 +268,28 @@ def _search(mask: dict[int, int], m: int, text: list[int], free: bool, stop: int
     return best, end
 
 
-def blocks(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", most: int = BLOCK_BYTES) -> Iterator[Items]:
+def blocks(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", most: int = BLOCK_BYTES) -> Iterator[Block]:
     """The items with an id and a text, in blocks, as they come to the driver a partition at a time."""
     rows = benchmark.where(F.col(item_col).isNotNull() & F.col(text_col).isNotNull())
     some, size = [], 0
-    for item, text in rows.select(F.col(item_col).cast("long"), text_col).distinct().toLocalIterator():
-        if some and size + len(text) > most:
-            yield Items(some)
+    for item, text in rows.select(item_col, text_col).distinct().toLocalIterator():
+        if some and size + len(text.encode()) > most:
+            yield Block(some)
             some, size = [], 0
         some.append((item, text))
-        size += len(text)
-    yield Items(some)
+        size += len(text.encode())
+    yield Block(some)
 
 
-def _search_block(docs: DataFrame, block: Items, id_col: str, text_col: str) -> DataFrame:
+def _search_block(docs: DataFrame, block: Block, id_col: str, text_col: str, item_kind) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(block)
 
     def make():
-        items = sent.value
+        items = sent.value.items
 
         def step(batch):
             old = texts(batch, text_col)
-            best: dict[tuple[int, int], tuple[int, int, int]] = {}
+            best: dict[tuple[int, object], tuple[int, int, int]] = {}
             for k, item, held in items.search(old):
                 key = (k, items.ids[item])
                 if key not in best or held < best[key]:
@@ -250,45 +301,47 @@ def _search_block(docs: DataFrame, block: Items, id_col: str, text_col: str) ->
                 out.append((k, item, distance, at[a][0], at[b - 1][1]))
             rows = pa.array([r[0] for r in out], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(id_col).take(rows), *(pa.array([r[i] for r in out], pa.int64()) for i in (1, 2, 3, 4))],
+                [batch.column(id_col).take(rows), pa.array([r[1] for r in out], own), *(pa.array([r[i] for r in out], pa.int64()) for i in (2, 3, 4))],
                 names=[id_col, "item_id", "edits", "start", "end"],
             )
 
         return step
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return arrow_map(docs, [id_col, text_col], f"`{id_col}` {kind}, item_id long, edits long, start long, end long", make)
+    kind, own = docs.schema[id_col].dataType.simpleString(), to_arrow_type(item_kind)
+    return arrow_map(docs, [id_col, text_col], f"`{id_col}` {kind}, item_id {item_kind.simpleString()}, edits long, start long, end long", make)
 
 
 def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """A row for each document and item it holds: ids, word ``edits`` of the best passage and its ``start`` and ``end``
     in code points.
 
-    Defined cases: null and empty texts hold nothing; items without an id or without a word match nothing, items of one
+    Ids are of any type that has an order; columns besides those named, and columns of equal names in both tables, play no
+    part. Defined cases: null and empty texts hold nothing; items without an id or without a word match nothing, items of one
     word and of many thousands are found like others; repeated documents are each reported, repeated items (rows of one id)
     once, by the better; a null document id is reported as null; of equally near passages (ties) the first is given; texts
     of any length are searched whole; empty tables give no rows.
     """
     out = None
     for block in blocks(benchmark, item_col, most=block_bytes):
-        part = _search_block(docs, block, id_col, text_col)
+        part = _search_block(docs, block, id_col, text_col, benchmark.schema[item_col].dataType)
         out = part if out is None else out.unionByName(part)
     return out
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` without the rows whose text holds a benchmark item; the decision is each row's own, so nothing is joined
-    for the first block of items and later blocks filter what it left."""
+    for the first block of items and later blocks filter what it left. All columns stay. Null and empty texts hold nothing and
+    stay; repeated rows stay or go together; which of equally near passages is found plays no part."""
     for block in blocks(benchmark, most=block_bytes):
         docs = _filter_block(docs, block, text_col)
     return docs
 
 
-def _filter_block(docs: DataFrame, block: Items, text_col: str) -> DataFrame:
+def _filter_block(docs: DataFrame, block: Block, text_col: str) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(block)
 
     def make():
-        items = sent.value
+        items = sent.value.items
 
         def step(batch):
             bad = {k for k, _, _ in items.search(texts(batch, text_col))}
