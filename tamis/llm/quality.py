@@ -3,12 +3,15 @@
 Each labeller votes good, bad or abstains on every whole text. Expectation-maximisation (Dawid and Skene, 1979) over the
 counts of vote patterns of all documents, at most 3 ** labellers of them, estimates each labeller's accuracy in either
 class and the share of good documents. The posterior of its pattern is a document's soft label; on a bounded sample of
-documents a logistic scorer over hashed features learns it: words, word shapes and binned statistics of the text, counted
-on the executors, so that the driver holds counts and no texts. Every document is then scored.
+documents a logistic scorer over hashed features learns it: words, word shapes and binned statistics of the text. The
+features are written to the shared folder; in each round, tasks go through their rows from the present weights, and the
+driver takes the mean of theirs (McDonald, Hall and Mann, 2010), so that it holds a fixed number of bytes however long the
+sample's texts are. Every document is then scored.
 """
 
 from __future__ import annotations
 
+import logging
 import re
 import zlib
 from operator import eq
@@ -18,12 +21,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamis.llm.common import arrow_map, texts
+from tamis.llm.common import arrow_map, materialise, texts
+from tamis.session import reach
+
+log = logging.getLogger(__name__)
 
 BUCKETS = 1 << 18
 #: The scorer's sample: so many documents, those of the smallest hash of their id.
 MOST_DOCUMENTS = 6000
 CACHE_ENTRIES = 400_000
+#: Tasks that learn side by side, and rounds; each task sends the driver two numbers of four bytes for each bucket.
+LEARNERS, ROUNDS = 8, 10
 ABSTAIN, BAD, GOOD = 0, 1, 2
 #: Frequent words of English, French, German and Spanish.
 STOP = frozenset(
@@ -93,7 +101,7 @@ def _unpack(patterns: np.ndarray) -> np.ndarray:
     return np.stack([patterns // 3**k % 3 for k in range(LABELLERS - 1, -1, -1)], axis=1)
 
 
-def label_model(counts: dict[int, int], rounds: int = 200) -> tuple[dict[int, float], np.ndarray, float]:
+def label_model(counts: dict[int, int], rounds: int = 20_000) -> tuple[dict[int, float], np.ndarray, float]:
     """(posterior of good by pattern, vote chances by labeller, class and vote, share of good)."""
     if not counts:
         return {}, np.full((LABELLERS, 2, 3), 1 / 3), 0.5
@@ -112,9 +120,12 @@ def label_model(counts: dict[int, int], rounds: int = 200) -> tuple[dict[int, fl
         logs = np.log(chance)
         score = np.einsum("pjv,jcv->pc", one_hot, logs) + np.log([1 - share, share])
         new = 1 / (1 + np.exp(np.clip(score[:, 0] - score[:, 1], -50, 50)))
-        if np.abs(new - q).max() < 1e-9:
-            break
+        change = np.abs(new - q).max()
         q = new
+        if change < 1e-9:
+            break
+    else:
+        log.warning("label model: %.2g off a fixed point after %d rounds", change, rounds)
     return dict(zip(keys.tolist(), q.tolist(), strict=True)), chance, share
 
 
@@ -138,20 +149,52 @@ def text_counts(text: str, s: tuple[float, ...]) -> tuple[np.ndarray, np.ndarray
     return u, 3 * c / max(1, c.sum())
 
 
-def fit_scorer(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, epochs: int = 12, rate: float = 0.5, seed: int = 5) -> np.ndarray:
-    """Weights of the buckets, from rows of ``text_counts``; the last one is the bias."""
+class Learner:
+    """Logistic weights of the buckets (the last one is the bias) and their sums of squared gradients, by single rows."""
+
+    def __init__(self, weights: np.ndarray, seen: np.ndarray, share: float, rate: float = 0.5):
+        self.w, self.seen, self.rate, self.rows = weights, seen, rate, 0
+        self.weight = (0.5 / (1 - share), 0.5 / share)
+
+    def learn(self, u: np.ndarray, c: np.ndarray, target: float) -> None:
+        """A row's buckets, their shares and its soft label."""
+        u, c = np.append(u, BUCKETS), np.append(c, 1.0)
+        p = 1 / (1 + np.exp(-np.clip(self.w[u] @ c, -30, 30)))
+        g = (p - target) * (target * self.weight[1] + (1 - target) * self.weight[0]) * c
+        self.seen[u] += g * g
+        self.w[u] -= self.rate * g / np.sqrt(self.seen[u])
+        self.rows += 1
+
+
+def fit_scorer(sample: DataFrame, rounds: int = ROUNDS) -> np.ndarray:
+    """Weights of the buckets and the bias, from a written ``sample(h, u, c, y)``: hash, buckets, shares, soft label. A round
+    is a job; the rows of a task stream through in the order of their hashes."""
+    spark = reach(sample.sparkSession)
+    means = sample.agg(F.avg("y").alias("y"), F.count("*").alias("n")).first()
     w, seen = np.zeros(BUCKETS + 1), np.full(BUCKETS + 1, 1e-2)
-    rows = [(np.append(u, BUCKETS), np.append(c, 1.0)) for u, c in rows]
-    rng = np.random.default_rng(seed)
-    share = min(max(float(target.mean()), 0.02), 0.98) if len(target) else 0.5
-    for _ in range(epochs):
-        for k in rng.permutation(len(rows)):
-            u, c = rows[k]
-            p = 1 / (1 + np.exp(-np.clip(w[u] @ c, -30, 30)))
-            weight = target[k] * 0.5 / share + (1 - target[k]) * 0.5 / (1 - share)
-            g = (p - target[k]) * weight * c
-            seen[u] += g * g
-            w[u] -= rate * g / np.sqrt(seen[u])
+    if not means["n"]:
+        return w
+    share = min(max(means["y"], 0.02), 0.98)
+    learner = sample.withColumn("k", F.pmod("h", F.lit(LEARNERS)))
+    dealt = materialise(learner.repartition(LEARNERS, "k").sortWithinPartitions("k", "h", "y"), "dealt")
+    for _ in range(rounds):
+        sent = spark.sparkContext.broadcast((w.astype(np.float32), seen.astype(np.float32)))  # a fixed size
+
+        def run(batches, sent=sent):
+            own: dict[int, Learner] = {}
+            for batch in batches:
+                for k, u, c, y in zip(batch.column("k").to_pylist(), batch.column("u"), batch.column("c"), batch.column("y").to_pylist(), strict=True):
+                    if k not in own:
+                        own[k] = Learner(*(x.astype(float) for x in sent.value), share)
+                    own[k].learn(u.values.to_numpy().astype(np.int64), c.values.to_numpy(), y)
+            for x in own.values():
+                yield pa.RecordBatch.from_arrays([pa.array([x.rows]), *(pa.array([v.astype("<f4").tobytes()], pa.binary()) for v in (x.w, x.seen))], names=["n", "w", "seen"])
+
+        # a row for each learner, or for each file of a learner whose rows fill several
+        got = dealt.select("k", "u", "c", "y").mapInArrow(run, "n long, w binary, seen binary").collect()
+        total = sum(r["n"] for r in got)
+        w, seen = (sum(np.frombuffer(r[x], "<f4").astype(float) * (r["n"] / total) for r in got) for x in ("w", "seen"))
+        sent.unpersist()
     return w
 
 
@@ -204,10 +247,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: i
         return step
 
     own = narrow.join(F.broadcast(ids), "id").select("text", F.xxhash64("id").alias("h"), F.xxhash64("text").alias("g"))
-    counted = arrow_map(own, ["text", "h", "g"], "h long, g long, p int, u array<int>, c array<double>", count)
-    sample = counted.orderBy("h", "g").limit(most).select("p", "u", "c").toArrow()
-    rows = [(u.values.to_numpy().astype(np.int64), c.values.to_numpy()) for u, c in zip(sample.column("u"), sample.column("c"), strict=True)]
-    return fit_scorer(rows, np.array([posterior[p] for p in sample.column("p").to_pylist()]))
+    counted = materialise(arrow_map(own, ["text", "h", "g"], "h long, g long, p int, u array<int>, c array<double>", count), "features")
+    first = counted.select("h", "g").orderBy("h", "g").limit(most).distinct()  # ids may repeat: the bound is on rows
+    soft = F.create_map(*(F.lit(x) for p, q in posterior.items() for x in (p, float(q)))) if posterior else F.lit(None)
+    return fit_scorer(counted.join(F.broadcast(first), ["h", "g"]).select("h", "u", "c", F.element_at(soft, F.col("p")).alias("y"))) if posterior else np.zeros(BUCKETS + 1)
 
 
 def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = MOST_DOCUMENTS) -> DataFrame:
