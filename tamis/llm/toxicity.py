@@ -52,7 +52,8 @@ def coded(found: list[str], vocab: dict[str, int]) -> array:
 
 
 class Model:
-    """Bucket embeddings and softmax weights, trained by Adagrad on passages."""
+    """Bucket embeddings and softmax weights, trained on batches of passages by plain gradient steps of a falling rate, which
+    is a fifth of that of the embeddings for the softmax (a mean over the batch) and a tenth for its bias."""
 
     def __init__(self, seed: int = 7):
         rng = np.random.default_rng(seed)
