@@ -87,4 +87,4 @@ def test_odd_rows_pass_all_stages(spark, sf_dir):
 def test_registered():
     names = entry.queries()
     assert "pipeline" in names
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
