@@ -39,35 +39,39 @@ class WordTokenizer:
 
     def _learn(self, missing: set[bytes]) -> None:
         if len(self.cores) > self.entries:
-            self.cores.clear()
-        split = {}
+            self.cores = {}
+        whole, split = [], []
         for part in missing:
             core = part.rstrip(_TAIL)
-            tail = part[len(core) :]
-            if not (core and tail and core.decode().lower()[-1].isalnum()):
-                core, tail = part, b""
-            split[part] = (core, tail)
-        new = list({x for pair in split.values() for x in pair if x and x not in self.cores})
+            if len(core) == len(part) or not (core and core.decode().lower()[-1].isalnum()):
+                whole.append(part)
+            else:
+                split.append((part, core, part[len(core) :]))
+        cores = self.cores
+        new = [x for x in {*whole, *(s[1] for s in split), *(s[2] for s in split)} if x not in cores]
         for core, enc in zip(new, self.model.encode_batch_fast([x.decode() for x in new], add_special_tokens=False), strict=True):
             ids = enc.ids
-            self.cores[core] = struct.pack(f"<{len(ids)}I", *ids)
-        for part, (core, tail) in split.items():
-            self.parts[part] = self.cores[core] + self.cores[tail] if tail else self.cores[core]
+            cores[core] = struct.pack(f"<{len(ids)}I", *ids)
+        self.parts.update(zip(whole, map(cores.__getitem__, whole), strict=True))
+        self.parts.update((part, cores[core] + cores[tail]) for part, core, tail in split)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = [(t if b"\xcc" in t or b"\xcd" in t or b"<|" in t else t.lower()).split() for t in texts]
-        found = [list(map(self.parts.get, words)) for words in split]
-        open_at = [k for k, ids in enumerate(found) if None in ids]
-        for lo in range(0, len(open_at), 64):
-            some = open_at[lo : lo + 64]
-            missing = {w for k in some for w, ids in zip(split[k], found[k], strict=True) if ids is None and w not in self.parts}
-            spare = {w: self.parts[w] for k in some for w, ids in zip(split[k], found[k], strict=True) if ids is None and w in self.parts}
-            if len(self.parts) + len(missing) > self.entries:
-                self.parts.clear()
+        out = []
+        for lo in range(0, len(split), 64):
+            some = split[lo : lo + 64]
+            before = self.parts
+            missing = set().union(*some).difference(before)
+            if len(before) + len(missing) > self.entries:
+                self.parts = {}
             self._learn(missing)
-            for k in some:
-                found[k] = [ids if ids is not None else self.parts[w] if w in self.parts else spare[w] for w, ids in zip(split[k], found[k], strict=True)]
-        return [b"".join(ids) for ids in found]
+            get = self.parts.get
+            for words in some:
+                found = list(map(get, words))
+                if self.parts is not before:  # what a full cache held is looked up there
+                    found = [before[w] if ids is None else ids for w, ids in zip(words, found, strict=True)]
+                out.append(b"".join(found))
+        return out
 
 
 @lru_cache(maxsize=4)
