@@ -9,8 +9,9 @@ the histogram alone, and the plan's size depends on the bin size, never on the n
 3. The actual lengths of each group take the places of its rounded size, which leaves gaps.
 4. What remains of the large lengths, then the small ones, longest first, go best-fit into the tightest gap.
 
-Rounding can cost more than it gains where lengths differ much, so the plan with the fewest sequences is taken, plain best
-fit among them; plans cost the driver a few seconds at any number of pieces.
+Rounding can cost more than it gains where lengths differ much, so plans are made for several limits between large and
+small lengths and several numbers of groups, and the one with the fewest sequences is taken; every plan goes through all
+four steps. Plans cost the driver a few seconds at any number of pieces.
 
 Executors then turn (length, rank among the pieces of this length) into (sequence, offset).
 """
@@ -33,8 +34,9 @@ from tamis.llm.tokens import tokenizer, vocabulary
 log = logging.getLogger(__name__)
 
 CAPACITY = 4096
-#: Numbers of groups, and the parts of the capacity above which lengths are large, that plans are made for.
-GROUPS, SMALL = (48, 96, 192), (8, 4, 16, 32, 64)
+#: Numbers of groups, and the parts of the capacity above which lengths are large, that plans are made for. Few groups leave
+#: gaps that small lengths fill; above half the capacity a configuration holds one large length.
+GROUPS, SMALL = (12, 48, 96, 192), (3, 4, 8, 16, 32, 64, 2)
 #: A plan that needs at most this share of sequences more than all tokens fill is good enough; within the other share of the
 #: best one, a limit is worth more groups.
 NEAR, CLOSE = 0.001, 0.005
@@ -177,21 +179,25 @@ def configurations(sizes: list[int], demand: list[int], capacity: int, slack: fl
 
 
 def plan_packing(counts: np.ndarray, capacity: int = CAPACITY, groups: tuple[int, ...] = GROUPS) -> Plan:
-    """A plan for ``counts[length]`` pieces of each length up to ``capacity``: of best fit alone (all lengths small, so there
-    is nothing to group) and of the scheme with each limit between small and large lengths, the one of the fewest sequences.
-    A limit is tried with the fewest groups first, and with more only while that comes within ``CLOSE`` of the best plan,
-    which even lengths do and lengths of all sizes do not. The search ends within ``NEAR`` of the bound that all tokens set."""
+    """A plan for ``counts[length]`` pieces of each length up to ``capacity``: of the scheme with each limit between small and
+    large lengths, the one of the fewest sequences, the first of those. Where no length is above the least limit, those above
+    half the longest are large, so that there is always something to group. A limit is tried with the fewest groups first, and
+    with more only while that comes within ``CLOSE`` of the best plan, which even lengths do and lengths of all sizes do not.
+    Every limit is tried with the fewest groups unless a plan meets the bound that all tokens set; the search ends within
+    ``NEAR`` of it."""
     counts = np.asarray(counts, np.int64)
     least = -(-int((np.arange(len(counts)) * counts).sum()) // capacity)
-    best, tried, limits = grouped_plan(counts, capacity, 1, 1), set(), list(SMALL)
+    longest = int(np.flatnonzero(counts).max(initial=0))
+    limits = [small for small in SMALL if longest > capacity // small] or [2 * capacity // max(longest, 1)]
+    best, tried = None, set()
     for n in groups:
         found = {}
         for small in limits:
             runs = tuple(r[0][0] for r in _groups(counts, capacity // small + 1, n))
-            if best.sequences > least * (1 + NEAR) and runs and runs not in tried:
+            if runs not in tried and (best is None or best.sequences > least * (1 if n == groups[0] else 1 + NEAR)):
                 tried.add(runs)
                 found[small] = grouped_plan(counts, capacity, n, small)
-                best = min(best, found[small], key=lambda p: p.sequences)
+                best = min(best or found[small], found[small], key=lambda p: p.sequences)
         limits = [small for small, p in found.items() if p.sequences <= best.sequences * (1 + CLOSE)]
     return best
 

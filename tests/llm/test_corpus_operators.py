@@ -899,6 +899,25 @@ def test_packing_groups_lengths_of_any_size(low, high, n):
     assert plan.sequences <= 1.005 * min([*others, plain_best_fit(lengths, 4096)])
 
 
+@pytest.mark.parametrize("kind", ["log-normal", "geometric", "tiny", "one", "documents"])
+def test_packing_plans_go_through_configurations(spark, docs, monkeypatch, kind):
+    """Also where plain best fit fills every sequence, and where all lengths are below the least limit."""
+    rng = np.random.default_rng(5)
+    lengths = {
+        "log-normal": lambda: np.clip(rng.lognormal(6.5, 1, 20_000), 1, 4096).astype(int),
+        "geometric": lambda: np.minimum(4096, rng.geometric(0.002, 20_000)),
+        "tiny": lambda: rng.integers(1, 50, 9_000),
+        "one": lambda: np.ones(10_000, int),
+        "documents": lambda: np.array([r["length"] for r in packing.pack(docs).select("length").collect()]),
+    }[kind]()
+    used, plain = [], packing.configurations
+    monkeypatch.setattr(packing, "configurations", lambda *a, **k: used.append(plain(*a, **k)) or used[-1])
+    plan = packing.plan_packing(np.bincount(lengths, minlength=4097))
+    assert used and all(used)
+    assert all(plan.rank.get(n, 0) == k for n, k in enumerate(np.bincount(lengths)) if n)
+    assert plan.sequences <= 1.005 * plain_best_fit(lengths, 4096)
+
+
 def test_dearest_configuration():
     rng = np.random.default_rng(2)
     for _ in range(40):
