@@ -17,10 +17,16 @@ def parameters(asked: DataFrame) -> DataFrame:
     """(run_id, name, value, source) of each run and parameter, from ``asked(run_id, via, name, given, configured)`` of
     strings: as ``config.resolve`` does for one run. What is given wins, then the settings file, then the default; zero and
     empty values fall through, but a given target size counts even if it is zero. Names without a row have their default,
-    other names than a run's parameters are left aside."""
-    defaults = F.array(*(F.struct(F.lit(n).alias("name"), F.lit(None if v is None else str(v)).cast("string").alias("preset")) for n, v in RUN_DEFAULTS.items()))
-    every = asked.select("run_id").distinct().withColumn("d", F.explode(defaults)).select("run_id", "d.*")
-    rows = every.join(asked, ["run_id", "name"], "left")
+    other names than a run's parameters are left aside. Rows are taken as they come; what is grouped is a number for each
+    run, whose bits tell the names that have a row."""
+    presets = {n: (F.lit(None if v is None else str(v)).cast("string"), F.lit(1 << i)) for i, (n, v) in enumerate(RUN_DEFAULTS.items())}
+    known = F.col("run_id").isNotNull() & F.col("name").isin(*presets)
+    preset, bit = (F.coalesce(*(F.when(F.col("name") == n, v[k]) for n, v in presets.items())) for k in (0, 1))
+    present = asked.where(known).withColumn("preset", preset)
+    every = F.array(*(F.struct(F.lit(n).alias("name"), p.alias("preset"), b.alias("bit")) for n, (p, b) in presets.items()))
+    seen = asked.groupBy("run_id").agg(F.bit_or(F.when(known, bit).otherwise(0)).alias("seen"))
+    absent = seen.select("run_id", "seen", F.inline(every)).where(F.col("seen").bitwiseAND(F.col("bit")) == 0)
+    rows = present.unionByName(absent.drop("seen", "bit"), allowMissingColumns=True)
     exact = F.col("name") == "target_size"
     given = F.coalesce(_set(F.col("given")) | exact & F.col("given").isNotNull() & (F.col("given") != ""), F.lit(False))
     configured = F.coalesce(_set(F.col("configured")) | exact & F.col("configured").isNotNull() & (F.col("configured") != ""), F.lit(False))

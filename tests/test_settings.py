@@ -77,3 +77,20 @@ def test_local_output_is_for_local_mode():
     with pytest.raises(ValueError):
         cli.output_address(Far, "out")
     assert cli.output_address(Far, "hdfs://a/out/") == "hdfs://a/out"
+
+
+def test_parameters_of_many_runs_without_joins(spark):
+    """Odd rows as a join of every run with every name gives them, from one aggregation of numbers."""
+    from tamis.config import RUN_DEFAULTS
+    from tamis.plans import runs
+
+    rows = [("r", "cli", "stride", "3", None), ("r", "web", "stride", "0", "2"), ("r", "cli", "colour", "red", None), ("r", "cli", None, "1", None)]
+    rows += [(None, "cli", "stride", "9", None), ("s", "cli", "target_size", "0", "5"), ("t", "cli", "colour", "red", None)]
+    asked = spark.createDataFrame(rows, "run_id string, via string, name string, given string, configured string")
+    got = runs.parameters(asked)
+    preset = {n: None if v is None else str(v) for n, v in RUN_DEFAULTS.items()}
+    want = [(run, n, v, "default") for run in ("r", "s", "t", None) for n, v in preset.items() if (run, n) not in {("r", "stride"), ("s", "target_size")}]
+    want += [("r", "stride", "3", "cli"), ("r", "stride", "2", "config"), ("s", "target_size", "0", "cli")]
+    assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(map(str, want))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Sort" not in plan
