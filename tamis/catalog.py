@@ -235,7 +235,7 @@ def adjacent_cosine(spark, d):
 
 @_query(_with(_VECTORS, sql.greedy("nodes", 0.35), "SELECT ord FROM kept"))
 def greedy_keep(spark, d):
-    return similarity.greedy_keep(_vectors(spark, d), 0.35).select("ord")
+    return similarity.greedy_select(_vectors(spark, d), 0.35).select("ord")
 
 
 @_query(

@@ -33,7 +33,7 @@ def without_duplicates(chosen: DataFrame, cfg: Config, method: str | None = None
     else:
         narrow = chosen.select("video_id", "prelim_ord", "ml_score", "embed")
         nodes = ordered(narrow, "video_id", [F.desc("ml_score"), "prelim_ord"], "ord", size).select("video_id", "ord", "prelim_ord", "embed")
-        kept = similarity.greedy_keep(nodes, cfg.cosine_threshold).join(nodes.select("video_id", "ord", "prelim_ord"), ["video_id", "ord"]).select("video_id", "prelim_ord")
+        kept = similarity.greedy_select(nodes, cfg.cosine_threshold).join(nodes.select("video_id", "ord", "prelim_ord"), ["video_id", "ord"]).select("video_id", "prelim_ord")
     return chosen.join(kept, ["video_id", "prelim_ord"], "left_semi")
 
 
