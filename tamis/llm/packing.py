@@ -181,8 +181,8 @@ def configurations(sizes: list[int], demand: list[int], capacity: int, slack: fl
 def plan_packing(counts: np.ndarray, capacity: int = CAPACITY, groups: tuple[int, ...] = GROUPS) -> Plan:
     """A plan for ``counts[length]`` pieces of each length up to ``capacity``: of the scheme with each limit between small and
     large lengths, the one of the fewest sequences, the first of those. Where no length is above the least limit, those above
-    half the longest are large, so that there is always something to group. A limit is tried with the fewest groups first, and
-    with more only while that comes within ``CLOSE`` of the best plan, which even lengths do and lengths of all sizes do not.
+    half the longest are large, so that there is always something to group. A limit is tried with the two fewest numbers of groups
+    first, and with more only while that comes within ``CLOSE`` of the best plan, which even lengths do and lengths of all sizes do not.
     Every limit is tried with the fewest groups unless a plan meets the bound that all tokens set; the search ends within
     ``NEAR`` of it."""
     counts = np.asarray(counts, np.int64)
@@ -198,7 +198,8 @@ def plan_packing(counts: np.ndarray, capacity: int = CAPACITY, groups: tuple[int
                 tried.add(runs)
                 found[small] = grouped_plan(counts, capacity, n, small)
                 best = min(best or found[small], found[small], key=lambda p: p.sequences)
-        limits = [small for small, p in found.items() if p.sequences <= best.sequences * (1 + CLOSE)]
+        if n != groups[0]:
+            limits = [small for small, p in found.items() if p.sequences <= best.sequences * (1 + CLOSE)]
     return best
 
 
